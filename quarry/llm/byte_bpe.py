@@ -29,53 +29,19 @@ from pyspark.sql import functions as F
 from quarry.llm.common import columns, texts_of
 
 #: Pre-tokens of up to so many characters are remembered, up to so many of them in a worker.
-SHORT, REMEMBERED = 24, 1 << 17
+SHORT, REMEMBERED = 24, 3 << 17
 #: Texts longer than this are split piece by piece, with bounded memory.
 LONG = 1 << 20
 
 
-class RankQueue:
-    """Positions by rank; ``pop`` gives the leftmost position of the lowest rank."""
-
-    def __init__(self) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.leaf: dict[int, int] = {}
-        self.middle: dict[int, int] = {}
-        self.top = 0
-
-    def push(self, rank: int, at: int) -> None:
-        held = self.buckets.get(rank)
-        if held is None:
-            self.buckets[rank] = [at]
-            leaf, middle = rank >> 6, rank >> 12
-            self.leaf[leaf] = self.leaf.get(leaf, 0) | 1 << (rank & 63)
-            self.middle[middle] = self.middle.get(middle, 0) | 1 << (leaf & 63)
-            self.top |= 1 << middle
-        else:
-            heappush(held, at)
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        middle = (self.top & -self.top).bit_length() - 1
-        word = self.middle[middle]
-        leaf = middle << 6 | (word & -word).bit_length() - 1
-        bits = self.leaf[leaf]
-        rank = leaf << 6 | (bits & -bits).bit_length() - 1
-        held = self.buckets[rank]
-        at = heappop(held)
-        if not held:
-            del self.buckets[rank]
-            self.leaf[leaf] = bits = bits & bits - 1
-            if not bits:
-                self.middle[middle] = word = word & word - 1
-                if not word:
-                    self.top &= self.top - 1
-        return rank, at
-
-
 class ByteBpe:
-    """``ranks``: bytes of each token with its rank, which is its id. Every single byte must be a token."""
+    """``ranks``: bytes of each token with its rank, which is its id. Every single byte must be a token.
+
+    ``merge`` keeps its queue in plain local variables, since most pre-tokens
+    are short: ``buckets`` has the positions of each rank (a heap, leftmost
+    first), ``leaf`` a bit for each rank, ``middle`` a bit for each word of
+    ``leaf`` that isn't 0, and ``top`` a bit for each such word of ``middle``.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
@@ -84,35 +50,60 @@ class ByteBpe:
         for token, rank in ranks.items():
             self.token[rank] = token
         self.known: dict[str, bytes] = {}
+        self.byte = [bytes([i]) for i in range(256)]
+        self.bit = [1 << i for i in range(64)]
+        self.leaf = [0] * ((len(self.token) >> 6) + 1)  # all 0 between calls
+        self.middle = [0] * ((len(self.token) >> 12) + 1)
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        if piece in self.ranks:
-            return [self.ranks[piece]]
-        ranks, n = self.ranks, len(piece)
-        part: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
+        ranks = self.ranks
+        if piece in ranks:
+            return [ranks[piece]]
+        rank_of, bit, leaf, middle, n = ranks.get, self.bit, self.leaf, self.middle, len(piece)
+        part: list[bytes | None] = [self.byte[b] for b in piece]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = RankQueue()
-        for i in range(n - 1):
-            rank = ranks.get(piece[i : i + 2])
-            if rank is not None:
-                queue.push(rank, i)
-        while (found := queue.pop()) is not None:
-            rank, i = found
-            left = part[i]
-            if left is None or (j := after[i]) >= n or ranks.get(left + part[j]) != rank:
+        buckets: dict[int, list[int]] = {}
+        top = 0
+        pushed = [(r, i) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
+        while True:
+            for rank, at in pushed:
+                if (held := buckets.get(rank)) is not None:
+                    heappush(held, at)
+                    continue
+                buckets[rank] = [at]
+                word = rank >> 6
+                if not leaf[word]:
+                    if not middle[word >> 6]:
+                        top |= bit[word >> 6]
+                    middle[word >> 6] |= bit[word & 63]
+                leaf[word] |= bit[rank & 63]
+            if not top:
+                return [ranks[p] for p in part if p is not None]
+            word = (top & -top).bit_length() - 1
+            word = word << 6 | (middle[word] & -middle[word]).bit_length() - 1
+            rank = word << 6 | (leaf[word] & -leaf[word]).bit_length() - 1
+            held = buckets[rank]
+            i = heappop(held)
+            if not held:
+                del buckets[rank]
+                leaf[word] &= leaf[word] - 1
+                if not leaf[word]:
+                    word >>= 6
+                    middle[word] &= middle[word] - 1
+                    if not middle[word]:
+                        top &= top - 1
+            pushed = []
+            if (left := part[i]) is None or (j := after[i]) >= n or rank_of(both := left + part[j]) != rank:
                 continue  # stale
-            part[i] = both = left + part[j]
-            part[j] = None
+            part[i], part[j] = both, None
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (rank := ranks.get(both + part[k])) is not None:
-                    queue.push(rank, i)
-            h = before[i]
-            if h >= 0 and (rank := ranks.get(part[h] + both)) is not None:
-                queue.push(rank, h)
-        return [ranks[p] for p in part if p is not None]
+                if (r := rank_of(both + part[k])) is not None:
+                    pushed.append((r, i))
+            if (h := before[i]) >= 0 and (r := rank_of(part[h] + both)) is not None:
+                pushed.append((r, h))
 
     def _ids(self, piece: str) -> bytes:
         out = np.array(self.merge(piece.encode("utf-8")), "<u4").tobytes()
