@@ -1,5 +1,7 @@
 """DuckDB statements for the queries of this subpackage that SQL can express."""
 
+from quarry.llm.license_texts import TEMPLATES
+
 EXACT_DEDUP = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
 g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
@@ -32,4 +34,26 @@ o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY (NOT fits AND NO
 SELECT doc_id, size, source_size, target, (least(whole + (fits OR extra0 OR extra1)::INT, 3) * size)::BIGINT AS taken FROM o
 """
 
-ORACLES = {"op2_mixing": MIXING, "op9_exact_dedup": EXACT_DEDUP}
+LICENSE_SCAN = rf"""
+WITH l(template, body) AS (VALUES {", ".join("('%s', '%s')" % (k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))}),
+v AS (SELECT template, trim(regexp_replace(lower(body), '[^a-z0-9]+', ' ', 'g')) AS t FROM l),
+w AS (SELECT template, string_split(t, ' ') AS w FROM v),
+ts AS (SELECT DISTINCT template, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM w),
+n AS (SELECT template, count(*) AS n_shingles FROM ts GROUP BY template),
+d AS (SELECT doc_id, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d),
+s AS (SELECT doc_id, i - 1 AS place, array_to_string(w[i:i + 4], ' ') AS s FROM p),
+m AS (SELECT doc_id, template, count(DISTINCT s) AS n_matched, min(place) AS first_word, max(place) + 4 AS last_word FROM s JOIN ts USING (s) GROUP BY ALL)
+SELECT doc_id, template, n_shingles, n_matched, round(n_matched / n_shingles, 6) AS containment, first_word::INT AS first_word, last_word::INT AS last_word
+FROM m JOIN n USING (template) WHERE n_matched >= 0.8 * n_shingles
+"""
+
+TOP_K = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLES = {"op1_license_scan": LICENSE_SCAN, "op4_topk_search": TOP_K, "op2_mixing": MIXING, "op9_exact_dedup": EXACT_DEDUP}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, exact_dedup, mixing
+from quarry.llm import byte_bpe, exact_dedup, license_scan, mixing, secret_scan, topk_search, toxicity
 from quarry.llm.oracles import ORACLES
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -16,10 +16,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(documents(spark, sf_dir))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, chain).select("doc_id", "p_junk", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_bpe.read_ranks(spark, public_tokenizers.path(VOCABULARY))
     ids = byte_bpe.encoded_documents(documents(spark, sf_dir), vocabulary, public_tokenizers.PATTERN)
@@ -27,11 +41,19 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(documents(spark, sf_dir), ["doc_id"])
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of_kind = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    counts = [of_kind(r.kind).alias(f"n_{r.kind}") for r in secret_scan.RULES]
+    return found.select("doc_id", *counts, F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op5_byte_bpe, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mixing, op3_toxicity, op4_topk_search, op5_byte_bpe, op6_secret_scan, op9_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
