@@ -110,3 +110,48 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+#: Columns of packed blocks of documents.
+BLOCKS = "ids array<bigint>, ends binary, data binary"
+#: An id that is null sorts after all others.
+NO_ID = np.iinfo(np.int64).max
+
+
+def blocks(docs: DataFrame, most: int, change=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A saved table of documents in compressed blocks of at most ``most`` bytes (or one document): (block, ids, ends, data).
+
+    ``change`` turns a text into bytes (UTF-8 by default); ``ends`` are the places in
+    the data where documents end.  The block numbers are fixed by the saved table.
+    """
+    of = change or (lambda text: text.encode("utf-8", "surrogatepass"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("ids", pa.list_(pa.int64())), ("ends", pa.binary()), ("data", pa.binary())])
+        held, n = [], 0
+
+        def out() -> pa.RecordBatch:
+            ends = np.cumsum([len(t) for _, t in held], dtype=np.int64)
+            return table(schema, [([i for i, _ in held], squeeze(ends), squeeze(b"".join(t for _, t in held)))])
+
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), texts_of(batch), strict=True):
+                raw = of(text)
+                if held and n + len(raw) > most:
+                    yield out()
+                    held, n = [], 0
+                held.append((i, raw))
+                n += len(raw)
+        if held:
+            yield out()
+
+    rows = columns(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+    return saved(rows.mapInArrow(pack, BLOCKS).withColumn("block", F.monotonically_increasing_id()), "blocks")
+
+
+def sums_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(values, first) if len(first) else values[:0]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, exact_dedup, license_scan, mixing, secret_scan, topk_search, toxicity
+from quarry.llm import byte_bpe, exact_dedup, license_scan, lm_scoring, mixing, secret_scan, topk_search, toxicity
 from quarry.llm.oracles import ORACLES
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -49,11 +49,15 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_score(documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mixing, op3_toxicity, op4_topk_search, op5_byte_bpe, op6_secret_scan, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mixing, op3_toxicity, op4_topk_search, op5_byte_bpe, op6_secret_scan, op8_lm_scoring, op9_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
