@@ -56,4 +56,17 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLES = {"op1_license_scan": LICENSE_SCAN, "op4_topk_search": TOP_K, "op2_mixing": MIXING, "op9_exact_dedup": EXACT_DEDUP}
+NEAR_DEDUP = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id AS least FROM d UNION SELECT u.b, r.least FROM r JOIN u ON r.doc_id = u.a AND r.least < u.b),
+c AS (SELECT doc_id, min(least) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.doc_id = d.doc_id
+"""
+
+ORACLES = {"op10_near_dedup": NEAR_DEDUP, "op1_license_scan": LICENSE_SCAN, "op4_topk_search": TOP_K, "op2_mixing": MIXING, "op9_exact_dedup": EXACT_DEDUP}

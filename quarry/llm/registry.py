@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, exact_dedup, license_scan, lm_scoring, mixing, secret_scan, topk_search, toxicity
+from quarry.llm import byte_bpe, exact_dedup, license_scan, lm_scoring, mixing, near_dedup, secret_scan, topk_search, toxicity
 from quarry.llm.oracles import ORACLES
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -57,7 +57,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mixing, op3_toxicity, op4_topk_search, op5_byte_bpe, op6_secret_scan, op8_lm_scoring, op9_exact_dedup)}
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mixing, op3_toxicity, op4_topk_search, op5_byte_bpe, op6_secret_scan, op8_lm_scoring, op9_exact_dedup, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
