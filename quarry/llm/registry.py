@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, exact_dedup, license_scan, lm_scoring, mixing, near_dedup, secret_scan, topk_search, toxicity
+from quarry.llm import byte_bpe, exact_dedup, license_scan, lm_scoring, mixing, near_dedup, secret_scan, suffix_dedup, topk_search, toxicity
 from quarry.llm.oracles import ORACLES
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -49,6 +49,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.suffix_dedup(documents(spark, sf_dir))
+    removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long")
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_score(documents(spark, sf_dir))
 
@@ -61,7 +67,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mixing, op3_toxicity, op4_topk_search, op5_byte_bpe, op6_secret_scan, op8_lm_scoring, op9_exact_dedup, op10_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mixing, op3_toxicity, op4_topk_search, op5_byte_bpe, op6_secret_scan, op7_suffix_dedup, op8_lm_scoring, op9_exact_dedup, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
