@@ -87,3 +87,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (alone | (F.col("doc_id").eqNullSafe(F.col("keep")) & (F.col("row") == F.col("first_row")))).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """The rows that ``exact_dedup`` keeps, with all their columns. Only ids and digests of the others are joined to them."""
+    judged = saved(exact_dedup(docs, id_col, text_col, block).select(F.col(id_col).alias("_id"), "keep_id", "kept", F.col("text_sha256").alias("_sha")), "judged")
+    rows = docs.withColumn("_digest", F.sha2(normalised(F.col(f"`{text_col}`")), 256))
+    this = rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha"))
+    elsewhere = ~F.col("_id").eqNullSafe(F.col("keep_id"))
+    out = rows.join(judged.where(elsewhere).select("_id", "_sha").distinct(), this, "left_anti")
+    again = judged.where(~elsewhere & ~F.col("kept")).select("_id", "_sha").distinct()  # rows repeated with their id
+    if again.limit(1).count():
+        out = out.join(again, this, "left_anti").unionByName(out.join(again, this, "left_semi").dropDuplicates([id_col, "_digest"]))
+    return out.drop("_digest")

@@ -83,37 +83,61 @@ def thresholds(sizes: DataFrame, budget: DataFrame) -> DataFrame:
     return out.select("key", F.coalesce("threshold", F.lit(1 << WIDTH)).alias("threshold"), F.coalesce("left_over", F.lit(0.0)).alias("left"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS) -> DataFrame:
-    """One row per input row: the id, ``source``, ``size``, ``source_size``, ``target``, ``times`` and ``taken``.
+def _sized(docs: DataFrame, id_col: str, text_col: str | None, source_col: str, seed: int) -> DataFrame:
+    """The rows with what the plan decides by: ``_key``, ``_hash`` and, given a text, ``_size``."""
+    source = F.col(f"`{source_col}`")
+    rows = docs.withColumn("_key", F.coalesce(F.concat(F.lit("0"), source), F.lit("1"))).withColumn("_hash", unit_hash(F.col(f"`{id_col}`"), seed))
+    return rows if text_col is None else rows.withColumn("_size", words_in(F.col(f"`{text_col}`")))
 
-    ``times`` is how often the mix uses the document (0 to ``repeats``) and
-    ``taken`` is ``times * size``.  Documents are used whole.  A null text has
-    size 0; a null source is a source of its own, last in order; null ids
-    count as one id.  Rows that share an id are taken or left together, so
-    repeated rows can move a source's total by their joint size.  Empty
-    documents come with whatever threshold their hash falls under and take
-    nothing.  An empty table gives an empty result.  Reruns agree, whatever
-    the partitioning.
-    """
-    key = F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))
-    sizes = columns(docs, id_col, text_col, source_col).toDF("doc_id", "text", "source")
-    sizes = saved(sizes.select("doc_id", "source", key.alias("key"), words_in(F.col("text")).alias("size"), unit_hash(F.col("doc_id"), seed).alias("h")), "sizes")
+
+def _times(rows: DataFrame, plan: DataFrame, repeats: int) -> DataFrame:
+    """Rows of ``_sized`` with the plan's columns and ``_times``."""
+    more = F.col("_hash") <= F.col("threshold")
+    for i in range(TOP_UPS):
+        more |= F.coalesce(F.col("_hash") == F.col(f"extra{i}"), F.lit(False))
+    return rows.join(plan.withColumnRenamed("key", "_key"), "_key").withColumn("_times", F.least(F.col("whole") + more.cast("int"), F.lit(repeats)))
+
+
+def mix_plan(sizes: DataFrame, repeats: int = REPEATS) -> DataFrame:
+    """One row for each key of (key, h, size): ``source_size``, ``target``, and which hashes are taken once more than ``whole`` times."""
     src = saved(targets(sizes.select("key", "size"), repeats=repeats), "targets")
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(repeats))).otherwise(0).cast("int")
     src = src.withColumn("whole", whole).withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
-    slim = sizes.select("key", "h", "size")
-    plan = saved(src.drop("left").join(thresholds(slim, src.select("key", "left")), "key"), "plan")
+    plan = saved(src.drop("left").join(thresholds(sizes, src.select("key", "left")), "key"), "plan")
     for n in range(TOP_UPS):
         chosen = [f"extra{i}" for i in range(n)]
         fits = (F.col("h") > F.col("threshold")) & (F.col("size") > 0) & (F.col("size") <= F.col("left"))
         for c in chosen:
             fits &= ~F.col(c).eqNullSafe(F.col("h"))
-        open_ = slim.join(plan.select("key", "threshold", "left", *chosen), "key").where(fits)
+        open_ = sizes.join(plan.select("key", "threshold", "left", *chosen), "key").where(fits)
         best = open_.groupBy("key").agg(F.max("size").alias("size"))
         best = open_.select("key", "size", "h").join(best, ["key", "size"]).groupBy("key", "size").agg(F.min("h").alias(f"extra{n}"))
         plan = saved(plan.join(best, "key", "left").withColumn("left", F.col("left") - F.coalesce("size", F.lit(0))).drop("size"), "plan")
-    more = F.col("h") <= F.col("threshold")
-    for i in range(TOP_UPS):
-        more |= F.coalesce(F.col("h") == F.col(f"extra{i}"), F.lit(False))
-    out = sizes.join(plan, "key").withColumn("times", F.least(F.col("whole") + more.cast("int"), F.lit(repeats)))
-    return out.select(F.col("doc_id").alias(id_col), "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
+    return plan
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS) -> DataFrame:
+    """One row per input row: the id, ``source``, ``size``, ``source_size``, ``target``, ``times`` and ``taken``.
+
+    ``times`` is how often the mix uses the document (0 to ``repeats``) and
+    ``taken`` is ``times * size``.  Documents are used whole.  A null text has
+    size 0; a null source is a source of its own, last in order; null ids
+    count as one id.  Rows that share an id are taken or left together, so
+    repeated rows can move a source's total by their joint size.  Empty
+    documents come with whatever threshold their hash falls under and take
+    nothing.  An empty table gives an empty result.  Reruns agree, whatever
+    the partitioning.
+    """
+    rows = _sized(columns(docs, id_col, text_col, source_col).toDF("doc_id", "text", "source"), "doc_id", "text", "source", seed).drop("text")
+    sizes = saved(rows, "sizes")
+    plan = mix_plan(sizes.select(F.col("_key").alias("key"), F.col("_hash").alias("h"), F.col("_size").alias("size")), repeats)
+    out = _times(sizes, plan, repeats)
+    return out.select(F.col("doc_id").alias(id_col), "source", F.col("_size").alias("size"), "source_size", "target", F.col("_times").alias("times"), (F.col("_times") * F.col("_size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS) -> DataFrame:
+    """The mix itself: the rows, each as often as the mix uses it. Texts are never shuffled: each row is held against its source's plan."""
+    slim = _sized(columns(docs, id_col, text_col, source_col), id_col, text_col, source_col, seed)
+    plan = mix_plan(saved(slim.select(F.col("_key").alias("key"), F.col("_hash").alias("h"), F.col("_size").alias("size")), "sizes"), repeats)
+    rows = _times(_sized(docs, id_col, None, source_col, seed), plan, repeats).where("_times > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -78,25 +78,26 @@ def near_enough(common: int, a: int, b: int) -> bool:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, print, signature) of (doc_id, text)."""
+    """(doc_id, text_hash, n, print, signature) of (doc_id, text_hash, text)."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in runs(list(zip(batch.column(0).to_pylist(), texts_of(batch), strict=True)), lambda r: len(r[1]), AT_ONCE):
-                sets = shingle_sets([t for _, t in part])
+            for part in runs(list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch), strict=True)), lambda r: len(r[2]), AT_ONCE):
+                sets = shingle_sets([t for _, _, t in part])
                 full = [i for i, s in enumerate(sets) if len(s)]
                 signed = dict(zip(full, signatures([sets[i] for i in full]), strict=True)) if full else {}
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([i for i, _ in part], pa.int64()),
+                        pa.array([i for i, _, _ in part], pa.int64()),
+                        pa.array([h for _, h, _ in part], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                         pa.array([signed[i].tobytes() if i in signed else None for i in range(len(sets))], pa.binary()),
                     ],
-                    ["doc_id", "n", "print", "signature"],
+                    ["doc_id", "text_hash", "n", "print", "signature"],
                 )
 
-    return docs.mapInArrow(mark, "doc_id bigint, n bigint, print binary, signature binary")
+    return docs.mapInArrow(mark, "doc_id bigint, text_hash bigint, n bigint, print binary, signature binary")
 
 
 def _groups(nodes: DataFrame, buckets: int) -> DataFrame:
@@ -198,7 +199,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: the id, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per input row: the id, ``n_shingles``, ``component_id``, ``kept`` and ``text_hash`` (XXH64 of the text).
 
     A document's set is its distinct five-word shingles with A-Z in lower
     case; with fewer words, the whole sequence as one.  Documents with
@@ -208,7 +209,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     and are kept.  Rows that share an id are one document as far as ``kept``
     goes.  An empty table gives an empty result.  Other columns are ignored.
     """
-    texts = columns(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+    texts = columns(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     marked = saved(_marked(texts), "near-marks")
     nodes = marked.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature"))
     nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
@@ -241,6 +242,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     of = nodes.join(labels, "node", "left").select("print", "doc_id", F.coalesce("label", "node").alias("label"))
     least = of.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of = of.join(least, "label").select("print", "component_id")
-    out = marked.select("doc_id", "n", "print").join(of, "print", "left")
+    out = marked.select("doc_id", "text_hash", "n", "print").join(of, "print", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash")
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that ``near_dedup`` keeps, with all their columns: one document of each component."""
+    judged = near_dedup(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_text")).distinct()
+    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    return rows.join(saved(judged, "near-judged"), rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_anti").drop("_hash")
