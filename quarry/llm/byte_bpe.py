@@ -18,7 +18,8 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
-from itertools import islice
+from itertools import islice, pairwise
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import columns, texts_of
 
-#: Pre-tokens of up to so many characters are remembered, up to so many of them in a worker.
-SHORT, REMEMBERED = 24, 3 << 17
+#: Pre-tokens of up to so many characters are remembered, so many of them in each of two generations in a worker.
+SHORT, REMEMBERED = 24, 1 << 18
 #: Texts longer than this are split piece by piece, with bounded memory.
 LONG = 1 << 20
 
@@ -49,27 +50,29 @@ class ByteBpe:
         self.token = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.token[rank] = token
-        self.known: dict[str, bytes] = {}
-        self.byte = [bytes([i]) for i in range(256)]
+        self.byte = [ranks[bytes([i])] for i in range(256)]
+        #: What two adjacent tokens merge to: the rank of their joined bytes, by both ids in one integer.
+        self.pair = {left << 32 | right: rank for t, rank in ranks.items() for i in range(1, len(t)) if (left := ranks.get(t[:i])) is not None and (right := ranks.get(t[i:])) is not None}
         self.bit = [1 << i for i in range(64)]
         self.leaf = [0] * ((len(self.token) >> 6) + 1)  # all 0 between calls
         self.middle = [0] * ((len(self.token) >> 12) + 1)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        ranks = self.ranks
-        if piece in ranks:
-            return [ranks[piece]]
-        rank_of, bit, leaf, middle, n = ranks.get, self.bit, self.leaf, self.middle, len(piece)
-        part: list[bytes | None] = [self.byte[b] for b in piece]
+        if piece in self.ranks:
+            return [self.ranks[piece]]
+        rank_of, bit, leaf, middle, n = self.pair.get, self.bit, self.leaf, self.middle, len(piece)
+        part = list(map(self.byte.__getitem__, piece))  # ids by position; -1 once merged into the left
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         buckets: dict[int, list[int]] = {}
         top = 0
-        pushed = [(r, i) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
+        pushed = [(r, i) for i, (a, b) in enumerate(pairwise(part)) if (r := rank_of(a << 32 | b)) is not None]
         while True:
             for rank, at in pushed:
-                if (held := buckets.get(rank)) is not None:
-                    heappush(held, at)
+                if rank in buckets:
+                    heappush(buckets[rank], at)
                     continue
                 buckets[rank] = [at]
                 word = rank >> 6
@@ -79,37 +82,42 @@ class ByteBpe:
                     middle[word >> 6] |= bit[word & 63]
                 leaf[word] |= bit[rank & 63]
             if not top:
-                return [ranks[p] for p in part if p is not None]
+                return [p for p in part if p >= 0]
             word = (top & -top).bit_length() - 1
-            word = word << 6 | (middle[word] & -middle[word]).bit_length() - 1
-            rank = word << 6 | (leaf[word] & -leaf[word]).bit_length() - 1
+            mask = middle[word]
+            word = word << 6 | (mask & -mask).bit_length() - 1
+            mask = leaf[word]
+            rank = word << 6 | (mask & -mask).bit_length() - 1
             held = buckets[rank]
             i = heappop(held)
             if not held:
                 del buckets[rank]
-                leaf[word] &= leaf[word] - 1
-                if not leaf[word]:
+                leaf[word] = mask = mask & mask - 1
+                if not mask:
                     word >>= 6
-                    middle[word] &= middle[word] - 1
-                    if not middle[word]:
+                    middle[word] = mask = middle[word] & middle[word] - 1
+                    if not mask:
                         top &= top - 1
             pushed = []
-            if (left := part[i]) is None or (j := after[i]) >= n or rank_of(both := left + part[j]) != rank:
+            if (left := part[i]) < 0 or (j := after[i]) >= n or rank_of(left << 32 | part[j]) != rank:
                 continue  # stale
-            part[i], part[j] = both, None
+            part[i], part[j] = rank, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := rank_of(both + part[k])) is not None:
+                if (r := rank_of(rank << 32 | part[k])) is not None:
                     pushed.append((r, i))
-            if (h := before[i]) >= 0 and (r := rank_of(part[h] + both)) is not None:
+            if (h := before[i]) >= 0 and (r := rank_of(part[h] << 32 | rank)) is not None:
                 pushed.append((r, h))
 
     def _ids(self, piece: str) -> bytes:
-        out = np.array(self.merge(piece.encode("utf-8")), "<u4").tobytes()
+        out = self.older.get(piece)
+        if out is None:
+            ids = self.merge(piece.encode("utf-8"))
+            out = pack(f"<{len(ids)}I", *ids)
         if len(piece) <= SHORT:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
+                self.older, self.known = self.known, {}
             self.known[piece] = out
         return out
 
@@ -120,11 +128,14 @@ class ByteBpe:
             while some := [m.group() for m in islice(found, 1 << 16)]:
                 out.append(self._joined(some))
             return b"".join(out)
-        return self._joined([m for m in self.pieces.findall(text)])
+        return self._joined(self.pieces.findall(text))
 
     def _joined(self, pieces: list[str]) -> bytes:
-        get, ids = self.known.get, self._ids
-        return b"".join([get(p) or ids(p) for p in pieces])
+        ids, out = self._ids, []
+        for start in range(0, len(pieces), 4096):
+            get = self.known.get  # a new table now and then
+            out += [get(p) or ids(p) for p in pieces[start : start + 4096]]
+        return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that the ids stand for."""
