@@ -1,4 +1,8 @@
-"""Queries of the engine by name, with their SQL."""
+"""Every query of the engine by name, with SQL for DuckDB where SQL can express it."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from quarry.plans import queries_raster, queries_runs, queries_splats
+
+QUERIES = queries_raster.QUERIES | queries_splats.QUERIES | queries_runs.QUERIES
+ORACLES = queries_raster.ORACLES | queries_splats.ORACLES | queries_runs.ORACLES
