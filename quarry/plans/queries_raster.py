@@ -306,16 +306,16 @@ def np_gradient(spark, sf_dir):
     return metrics.gradient(views.pixel(spark, sf_dir), "d").select("r", "c", r6("gradient"))
 
 
-SHIFTED_UV = "SELECT event_id AS pid, event_id // w AS r0, (event_id * 0.37::DOUBLE) % w AS u, (event_id * 0.11::DOUBLE) % h - 0.5 AS v, h, w FROM (SELECT r * w + c AS event_id, h, w FROM pixel) e"
+SHIFTED_UV = "SELECT event_id AS pid, event_id // w AS r0, (event_id * 0.37213::DOUBLE) % w AS u, (event_id * 0.11317::DOUBLE) % h - 0.5 AS v, h, w FROM (SELECT r * w + c AS event_id, h, w FROM pixel) e"
 
 
 @query(f"""WITH {PX}, q AS ({SHIFTED_UV}), t AS (SELECT pid, floor(u)::BIGINT AS u0, floor(v)::BIGINT AS v0, u - floor(u) AS fu, v - floor(v) AS fv, h, w FROM q),
 k AS (SELECT pid, (u0 + i + w) % w AS c, greatest(0, least(h - 1, v0 + j)) AS r, CASE WHEN i = 1 THEN fu ELSE 1 - fu END * CASE WHEN j = 1 THEN fv ELSE 1 - fv END AS wt FROM t, range(0, 2) a(i), range(0, 2) b(j))
-SELECT pid, round(sum(wt * d), 3) AS d FROM k JOIN pixel USING (r, c) GROUP BY pid""")
+SELECT pid, round(sum(wt * d), 5) AS d FROM k JOIN pixel USING (r, c) GROUP BY pid""")
 def bilinear_sample(spark, sf_dir):
     px = views.pixel(spark, sf_dir)
-    points = px.selectExpr("r * w + c as pid", "h", "w").selectExpr("pid", "(pid * 0.37e0) % w as u", "(pid * 0.11e0) % h - 0.5e0 as v", "h", "w")
-    return raster.bilinear(points, px, ["d"]).select("pid", F.round("d", 3).alias("d"))
+    points = px.selectExpr("r * w + c as pid", "h", "w").selectExpr("pid", "(pid * 0.37213e0) % w as u", "(pid * 0.11317e0) % h - 0.5e0 as v", "h", "w")
+    return raster.bilinear(points, px, ["d"]).select("pid", F.round("d", 5).alias("d"))
 
 
 @query(f"""WITH {PX}, o AS (SELECT dy, dx FROM range(-8, 9) y(dy), range(-8, 9) x(dx)), n AS (SELECT a.r, a.c, a.r + dy AS r2, (a.c + dx + a.w) % a.w AS c2 FROM pixel a, o WHERE a.r + dy BETWEEN 0 AND a.h - 1)

@@ -77,8 +77,8 @@ def missing_producer(spark, sf_dir):
     return provenance.incoherent(views.artifact(spark, sf_dir)).where("fault = 'no producer'").select("stage_idx", "path", "line")
 
 
-@query(f"""WITH {RC}, i AS (SELECT * FROM artifact WHERE kind = 'input'), o AS (SELECT * FROM artifact WHERE kind = 'output'),
-j AS (SELECT i.stage_idx, i.path, i.sha, i.line, o.stage_idx AS producer, o.sha AS made, row_number() OVER (PARTITION BY i.stage_idx, i.path, i.line ORDER BY o.stage_idx DESC, o.line DESC) AS n FROM i JOIN o ON o.path = i.path AND o.stage_idx < i.stage_idx)
+@query(f"""WITH {RC}, i AS (SELECT *, row_number() OVER () AS id FROM artifact WHERE kind = 'input'), o AS (SELECT * FROM artifact WHERE kind = 'output'),
+j AS (SELECT i.stage_idx, i.path, i.sha, i.line, o.stage_idx AS producer, o.sha AS made, row_number() OVER (PARTITION BY i.id ORDER BY o.stage_idx DESC, o.line DESC) AS n FROM i JOIN o ON o.path = i.path AND o.stage_idx < i.stage_idx)
 SELECT stage_idx, path, line, producer FROM j WHERE n = 1 AND made <> sha""")
 def stale_chain(spark, sf_dir):
     return provenance.incoherent(views.artifact(spark, sf_dir)).where("fault = 'stale'").select("stage_idx", "path", "line", "producer")
