@@ -16,11 +16,12 @@ and links are confirmed on those alone:
   shared ones on both sides; this is exact, and settles most of a crowd of
   variants that resemble each other without being near enough.
 * First every member of a group is held against the group's most central
-  member.  Then all pairs within the limit whose ends are not yet connected
-  are held against each other, each pair once.
+  member, found by a plain aggregate.  Then all pairs within the limit whose
+  ends are not yet connected are held against each other, each pair in the
+  first group it has, and only links that connect something come out.
 
-A group's node numbers meet in one task, 8 bytes each; pairs of a crowd are
-compared in tiles, so memory does not grow with their number.
+A group's node numbers meet in one task, 8 bytes each.  Their sets do not: a
+large group is dealt out by pairs of its parts.
 
 Connected components come from repeated minimum labels with pointer jumping,
 each round a saved table.
@@ -46,6 +47,8 @@ PERCENT = 85
 #: Characters of text that are hashed at a time.
 AT_ONCE = 1 << 20
 TILE = 1024
+#: Members of a group that one task holds, twice.
+PART = 1024
 _SEEDS = mix64(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _SHIFTS = mix64(_SEEDS)
 
@@ -101,69 +104,129 @@ def _marked(docs: DataFrame) -> DataFrame:
 
 
 def _groups(nodes: DataFrame, buckets: int) -> DataFrame:
-    """(members): nodes that share an index key, two or more, each distinct group once."""
+    """(grp, keys, members): nodes that share an index key, two or more; each distinct group once, with the numbers of its keys."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node = np.asarray(batch.column(0), np.int64)
             keys = index_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(node), VALUES)).ravel()
-            who, bucket = np.repeat(node, CHUNKS * WIDTH), keys % np.uint64(buckets)
+            who, which, bucket = np.repeat(node, VALUES), np.tile(np.arange(VALUES, dtype=np.uint8), len(node)), keys % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             at = [(b, order[cuts[b] : cuts[b + 1]]) for b in range(buckets) if cuts[b + 1] > cuts[b]]
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in at], pa.int32()), "keys": [squeeze(keys[o]) for _, o in at], "who": [squeeze(who[o]) for _, o in at]})
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in at], pa.int32()), **{n: [squeeze(v[o]) for _, o in at] for n, v in (("keys", keys), ("which", which), ("who", who))}})
 
     def gather(cells: pa.Table) -> pa.Table:
-        keys = np.concatenate([unsqueeze(x, np.uint64) for x in cells.column("keys").to_pylist()])
-        who = np.concatenate([unsqueeze(x, np.int64) for x in cells.column("who").to_pylist()])
+        keys, which, who = (np.concatenate([unsqueeze(x, t) for x in cells.column(n).to_pylist()]) for n, t in (("keys", np.uint64), ("which", np.uint8), ("who", np.int64)))
         order = np.lexsort((who, keys))
-        keys, who = keys[order], who[order]
+        keys, which, who = keys[order], which[order], who[order]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         last = np.r_[first[1:], len(keys)]
-        many = last - first > 1
-        found = {who[a:b].tobytes() for a, b in zip(first[many].tolist(), last[many].tolist(), strict=True)}
-        return pa.table({"members": pa.array([np.frombuffer(x, np.int64) for x in sorted(found)], pa.list_(pa.int64()))})
+        found: dict[bytes, list[int]] = {}
+        for i, j in zip(first[last - first > 1].tolist(), last[last - first > 1].tolist(), strict=True):
+            found.setdefault(who[i:j].tobytes(), []).append(int(which[i]))
+        return pa.table({"keys": pa.array(list(found.values()), pa.list_(pa.int32())), "members": pa.array([np.frombuffer(x, np.int64) for x in found], pa.list_(pa.int64()))})
 
-    cells = nodes.select("node", "signature").mapInArrow(spread, "bucket int, keys binary, who binary")
-    found = saved(cells.groupBy("bucket").applyInArrow(gather, "members array<bigint>"), "near-groups")
-    return found.groupBy(F.xxhash64("members").alias("mark"), F.size("members").alias("size"), F.element_at("members", 1).alias("least")).agg(F.first("members").alias("members")).select("members")
+    cells = nodes.select("node", "signature").mapInArrow(spread, "bucket int, keys binary, which binary, who binary")
+    found = saved(cells.groupBy("bucket").applyInArrow(gather, "keys array<int>, members array<bigint>"), "near-groups")
+    same = found.groupBy(F.xxhash64("members").alias("mark"), F.size("members").alias("size"), F.element_at("members", 1).alias("least"))
+    return same.agg(F.flatten(F.collect_list("keys")).alias("keys"), F.first("members").alias("members")).select("keys", "members").withColumn("grp", F.monotonically_increasing_id())
 
 
-def _pairs(groups: DataFrame, known: DataFrame, first: bool) -> DataFrame:
-    """Distinct pairs (a, b) of nodes of a group that may link.
+def _values(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, VALUES)
+
+
+def _may_link(n: np.ndarray, alone: np.ndarray, m: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sets of sizes n and m can share enough, given how many shingles of each no other set has: the intersection of a link is at least PERCENT / (100 + PERCENT) of both sizes."""
+    return (100 + PERCENT) * np.minimum(n - alone, m - other) >= PERCENT * (n + m)
 
-    ``known`` has (node, n, alone, label, signature).  The first time, all
-    members with the most central one; then all pairs with different labels.
-    """
 
-    def compare(rows: pa.Table) -> pa.Table:
-        node, n, alone, label = (np.asarray(rows.column(c), np.int64) for c in ("node", "n", "alone", "label"))
-        values = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(len(node), VALUES)
-        order = np.lexsort((node, alone))
-        node, n, alone, label, values = (x[order] for x in (node, n, alone, label, values))
-        out_a, out_b = [], []
-        for i in range(0, 1 if first else len(node)):
-            for s in range(i + 1, len(node), TILE):
-                to = slice(s, s + TILE)
-                both = 100 * np.minimum(n[i] - alone[i], n[to] - alone[to])
-                # the intersection is at least PERCENT / (100 + PERCENT) of both sizes
-                fits = (100 + PERCENT) * both >= 100 * PERCENT * (n[i] + n[to])
-                if not first:
-                    fits &= label[to] != label[i]
-                at = np.flatnonzero(fits) + s
-                if len(at):
-                    at = at[(values[at] != values[i]).sum(1) <= LIMIT]
-                    out_a.append(np.minimum(node[at], node[i]))
-                    out_b.append(np.maximum(node[at], node[i]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-        return pa.table({"a": a, "b": b})
-
-    opened = groups.withColumn("grp", F.monotonically_increasing_id()).select("grp", F.explode("members").alias("node"))
-    opened = saved(opened, "near-members").join(known, "node")
-    if not first:
-        mixed = opened.groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("grp")
-        opened = opened.join(mixed, "grp", "left_semi")
-    return opened.groupBy("grp").applyInArrow(compare, "a bigint, b bigint").distinct()
+def _to_centre(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of each group's most central member with the others, if they may link."""
+    opened = members.select("grp", "node").join(known, "node")
+    centre = opened.groupBy("grp").agg(F.min(F.struct("alone", "node", "n", "signature")).alias("p"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, n, alone, b, m, other = (np.asarray(batch.column(i), np.int64) for i in (0, 1, 2, 4, 5, 6))
+            good = (a != b) & _may_link(n, alone, m, other) & ((_values(batch.column(3)) != _values(batch.column(7))).sum(1) <= LIMIT)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[good]), pa.array(np.maximum(a, b)[good])], ["a", "b"])
+
+    both = opened.join(centre, "grp").select("node", "n", "alone", "signature", "p.node", "p.n", "p.alone", "p.signature")
+    return both.toDF(*"abcdefgh").mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def _pairs_of(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """A row and the later rows that it may link to and isn't connected with, each pair in the first of its keys' groups only."""
+    n, alone, label, part = (np.asarray(rows.column(c), np.int64) for c in ("n", "alone", "label", "part"))
+    values, keys = _values(rows.column("signature")), np.array(rows.column("keys")[0].as_py())
+    apart = rows.column("first")[0].as_py() != rows.column("second")[0].as_py()
+    for i in range(len(n)):
+        for s in range(i + 1, len(n), TILE):
+            to = slice(s, s + TILE)
+            at = np.flatnonzero(_may_link(n[i], alone[i], n[to], alone[to]) & (label[to] != label[i]) & ((part[to] != part[i]) | (not apart))) + s
+            if not len(at):
+                continue
+            differ = values[at] != values[i]
+            close = differ.sum(1) <= LIMIT
+            at, differ = at[close], differ[close].reshape(-1, CHUNKS, WIDTH)
+            chunk = (differ.sum(2) <= 1).argmax(1)
+            in_chunk = differ[np.arange(len(at)), chunk]
+            key = chunk * WIDTH + np.where(in_chunk.any(1), in_chunk.argmax(1), 0)
+            at = at[np.isin(key, keys)]
+            if len(at):
+                yield i, at
+
+
+def _across(members: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of a group that have different labels, confirmed on full sets.
+
+    A large group is dealt out by pairs of parts of at most ``PART`` members,
+    so a task holds two parts.  Full sets are fetched only for members that
+    some other one may link to.
+    """
+    opened = members.join(known, "node")
+    mixed = opened.groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("grp")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    opened = opened.join(mixed, "grp", "left_semi").withColumn("part", (F.col("at") % F.col("parts")).cast("int")).withColumn("other", other)
+    opened = opened.withColumns({"first": F.least("part", "other"), "second": F.greatest("part", "other")})
+    task = ["grp", "first", "second"]
+    opened = opened.select(*task, "node", "n", "alone", "label", "part", "signature", "keys")
+
+    def narrowed(rows: pa.Table) -> pa.Table:
+        some = np.zeros(rows.num_rows, bool)
+        for i, at in _pairs_of(rows):
+            some[i] = some[at] = True
+        return rows.filter(pa.array(some))
+
+    def linked(rows: pa.Table) -> pa.Table:
+        node, sets, label = np.asarray(rows.column("node")), [unsqueeze(x, np.uint64) for x in rows.column("shingles").to_pylist()], rows.column("label").to_pylist()
+        above = {v: v for v in label}
+        size = np.array([len(s) for s in sets])
+
+        def root(v: int) -> int:
+            while above[v] != v:
+                above[v] = v = above[above[v]]
+            return v
+
+        out = []
+        for i, at in _pairs_of(rows):
+            at = np.array([j for j in at.tolist() if root(label[j]) != root(label[i])], np.int64)
+            if not len(at):
+                continue
+            every = np.concatenate([sets[j] for j in at])
+            place = np.minimum(np.searchsorted(sets[i], every), len(sets[i]) - 1)
+            common = np.add.reduceat((sets[i][place] == every).astype(np.int64), np.cumsum(size[at]) - size[at])
+            for j in at[100 * common >= PERCENT * (size[at] + size[i] - common)].tolist():
+                p, q = root(label[i]), root(label[j])
+                if p != q:  # one link is enough to connect them
+                    above[max(p, q)] = min(p, q)
+                    out.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    few = saved(opened.groupBy(*task).applyInArrow(narrowed, opened.schema), "near-open")
+    return saved(few.join(sets.select("node", "shingles"), "node").groupBy(*task).applyInArrow(linked, "a bigint, b bigint"), "near-links")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -233,12 +296,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     known = nodes.join(wanted.select("node"), "node").join(alone, "node", "left").select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"), F.col("node").alias("label"), "signature")
     # what has too many shingles to itself can't reach the least similarity with anything
     known = saved(known.where(100 * (F.col("n") - F.col("alone")) >= PERCENT * F.col("n")), "near-known")
-    tried = saved(_pairs(groups, known, True), "near-pairs")
-    links = _confirmed(tried, sets)
+    members = groups.select("grp", "keys", F.ceil(F.size("members") / PART).cast("int").alias("parts"), F.posexplode("members").alias("at", "node"))
+    links = _confirmed(saved(_to_centre(members, known), "near-pairs"), sets)
     labels = components(links)
     now = known.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select("node", "n", "alone", "label", "signature")
-    more = saved(_pairs(groups, saved(now, "near-known"), False).join(tried, ["a", "b"], "left_anti"), "near-pairs")
-    labels = components(links.union(_confirmed(more, sets)))
+    labels = components(links.union(_across(members, saved(now, "near-known"), sets)))
     of = nodes.join(labels, "node", "left").select("print", "doc_id", F.coalesce("label", "node").alias("label"))
     least = of.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of = of.join(least, "label").select("print", "component_id")
