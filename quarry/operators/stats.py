@@ -42,6 +42,13 @@ def share(condition: Column, empty: float) -> Column:
     return F.coalesce(F.avg(condition.cast("double")), F.lit(empty))
 
 
+def interface_step(pairs: DataFrame) -> DataFrame:
+    """(``step_log``): the weighted median seam of pairs (``step``, ``depth``, ``wt``), without the farthest tenth."""
+    cut = pairs.agg(F.percentile("depth", 0.9).alias("cut"))
+    near = pairs.crossJoin(F.broadcast(cut)).where("depth <= cut")
+    return weighted_percentile(near, "step", "wt", 0.5).withColumnRenamed("percentile", "step_log")
+
+
 def dynamic_range(value: str = "d") -> Column:
     return F.percentile(value, 0.99) / F.greatest(F.percentile(value, 0.01), F.lit(1e-9))
 
@@ -77,11 +84,10 @@ def ground_plane(points: DataFrame, rounds: int = 20) -> tuple[tuple[float, floa
 
 
 def plane_measures(coef: tuple[float, float, float]) -> dict[str, float]:
-    """Height over the plane, its tilt in degrees, normal and offset."""
+    """The plane's unit normal (y positive) and offset ``d``, the origin's height over it, its tilt in degrees."""
     a, b, c = coef
     n = math.sqrt(a * a + 1 + b * b)
-    sign = 1.0 if c <= 0 else -1.0
-    return {"h_rel": abs(c) / n, "tilt_deg": math.degrees(math.acos(min(1.0, 1.0 / n))), "nx": -a / n * sign, "ny": sign / n, "nz": -b / n * sign, "d": abs(c) / n}
+    return {"nx": -a / n, "ny": 1 / n, "nz": -b / n, "d": -c / n, "h_rel": abs(c) / n, "tilt_deg": math.degrees(math.acos(min(1.0, 1.0 / n)))}
 
 
 def pair_moments(overlap: DataFrame) -> DataFrame:

@@ -55,5 +55,4 @@ def hole_pixels(px: DataFrame, pitch_deg: str) -> DataFrame:
 
 def central_window(size: int, share: float = S7["center_frac"]) -> tuple[int, int]:
     """First and end of the middle part of a side."""
-    half = round(size * share / 2)
-    return size // 2 - half, size // 2 + half
+    return round(size * (1 - share) / 2), round(size * (1 + share) / 2)
