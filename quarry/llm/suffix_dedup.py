@@ -7,9 +7,13 @@ leftmost of equals).  Equal windows have equal minimizers at equal places, so
 whatever repeats meets in one bucket.  Neighbouring windows with the same
 minimizer travel as one passage of ``LEAST`` to ``LEAST + SPAN - 1`` bytes.
 
-1. Each block of documents sends its distinct passages to the buckets, each
-   with the smallest id that has it here and its places in that document.
-   Later documents of the block are settled at once: all of their passage is
+0. Each block of documents sends the hashes of its distinct minimizers to the
+   buckets, a few bytes each, and gets back a bit for each: whether another
+   document has it.  What no other document has can't be part of a repeat,
+   and its passages go no further.
+1. Each block sends its distinct passages to the buckets, each with the
+   smallest id that has it here and its places in that document.  Later
+   documents of the block are settled at once: all of their passage is
    repeated.  So a passage that a third of all documents share costs one
    entry for each block.
 2. A bucket sorts its passages and drops minimizers that only one document
@@ -36,11 +40,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from quarry.llm.common import NO_ID, blocks, mix64, saved, squeeze, unsqueeze
+from quarry.llm.common import NO_ID, blocks, mix64, squeeze, table, unsqueeze
 
-LEAST, ANCHOR = 50, 16
+LEAST, ANCHOR = 50, 24
 #: Minimizer places in a window, which is also the most windows a passage has.
 SPAN = LEAST - ANCHOR + 1
 LONGEST = LEAST + SPAN - 1
@@ -50,39 +53,51 @@ PIECE = 8 << 20
 #: Passages whose suffixes are sorted at a time, if they have different minimizers.
 AT_ONCE = 4096
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_STEP = np.uint64(0xA0761D6478BD642F)
+_STEPS = mix64(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
 CELLS = "bucket int, block bigint, bytes binary, lengths binary, anchors binary, ids binary, counts binary, docs binary, places binary"
 SPANS = "block bigint, docs binary, starts binary, lengths binary"
 
 
 def anchor_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the ANCHOR bytes from each place."""
-    h, n = _BYTE[data], 1
-    while n < ANCHOR:
-        h, n = mix64(h[:-n] * _STEP + h[n:]), 2 * n
-    return h
+    """A hash of the ANCHOR bytes from each place, put together from those of 8 and 16."""
+    h = _BYTE[data]
+    for step in range(3):
+        h = h[: -(1 << step)] * _STEPS[step] + h[1 << step :]
+    return mix64((h[:-8] * _STEPS[3] + h[8:])[:-8] * _STEPS[4] + h[16:])
 
 
 def passages(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(document, start, length, place of the anchor) of every passage; documents lie at starts to ends, none over PIECE."""
+    """(document, start, length, place and hash of the anchor) of every passage; documents lie at starts to ends, none over PIECE."""
     if len(data) < LEAST:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        return (*(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, np.uint64))
     hashes = anchor_hashes(data)
     # place in the low bits: the leftmost of equal hashes is the smallest
-    low = (hashes >> np.uint64(24)) << np.uint64(24) | np.arange(len(hashes), dtype=np.uint64)
+    low = (hashes & ~np.uint64((1 << 24) - 1)) | np.arange(len(hashes), dtype=np.uint64)
     n = 1
     while n < SPAN:
         step = min(n, SPAN - n)
         low = np.minimum(low[:-step], low[step:])
         n += step
-    anchor = (low & np.uint64((1 << 24) - 1)).astype(np.int64)
-    doc = np.repeat(np.arange(len(starts)), np.maximum(ends - starts - LEAST + 1, 0))
-    first = np.concatenate([[0], np.cumsum(np.maximum(ends - starts - LEAST + 1, 0))])
-    window = np.arange(len(doc)) - first[doc] + starts[doc]
-    own = anchor[window]
-    cut = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])]) if len(own) else np.zeros(0, np.int64)
+    whole = np.zeros(len(low) + 1, np.int8)  # +1 where a document's windows begin, -1 behind them
+    has = ends - starts >= LEAST
+    np.add.at(whole, starts[has], 1)
+    np.add.at(whole, ends[has] - LEAST + 1, -1)
+    window = np.flatnonzero(np.cumsum(whole[:-1], dtype=np.int8))
+    own = low[window]
+    cut = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (window[1:] != window[:-1] + 1)]) if len(own) else np.zeros(0, np.int64)
+    # a document that ends where the next begins leaves LEAST - 1 places between their windows
     last = np.r_[cut[1:], len(own)] - 1 if len(own) else cut
-    return doc[cut], window[cut], window[last] + LEAST - window[cut], own[cut]
+    start, anchor = window[cut], (own[cut] & np.uint64((1 << 24) - 1)).astype(np.int64)
+    return np.searchsorted(ends, start, "right"), start, window[last] + LEAST - start, anchor, hashes[anchor]
+
+
+def planes(values: np.ndarray) -> np.ndarray:
+    """Integers by byte place, which compresses well."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+
+
+def unplanes(data: bytes, dtype: type) -> np.ndarray:
+    return np.ascontiguousarray(unsqueeze(data, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
 def rows_of(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
@@ -106,37 +121,77 @@ def in_order(*columns: np.ndarray) -> np.ndarray:
     return np.lexsort(columns[::-1])
 
 
-def _send(x: dict, buckets: int) -> tuple[list[tuple], tuple | None]:
-    """The cells and the settled spans of a block."""
+def _passages_of(x: dict) -> tuple[np.ndarray, ...]:
+    """A block's data, starts of its documents, their ids, and its passages."""
     data, ends = np.frombuffer(unsqueeze(x["data"]), np.uint8), unsqueeze(x["ends"], np.int64)
     ids = np.array([NO_ID if i is None else i for i in x["ids"]], np.int64)
-    found: list[list[np.ndarray]] = []
-    starts = np.r_[0, ends[:-1]]
-    long = np.flatnonzero(ends - starts > PIECE)
-    plain = np.where(ends - starts > PIECE, starts, ends)  # long ones are empty here
+    starts, found = np.r_[0, ends[:-1]], []
     if len(data) <= PIECE:
-        found.append(list(passages(data, starts, plain)))
+        found.append(passages(data, starts, ends))
     else:
-        for d in np.flatnonzero(plain > starts).tolist():
-            part = passages(data[starts[d] : ends[d]], np.array([0]), ends[d : d + 1] - starts[d])
-            found.append([part[0] + d, part[1] + starts[d], part[2], part[3] + starts[d]])
-    for d in long.tolist():
-        for a in range(int(starts[d]), int(ends[d]) - LEAST + 1, PIECE - LEAST + 1):
-            piece = data[a : min(a + PIECE, int(ends[d]))]
-            part = passages(piece, np.array([0]), np.array([len(piece)]))
-            found.append([part[0] + d, part[1] + a, part[2], part[3] + a])
-    doc, start, length, anchor = (np.concatenate([f[i] for f in found]) for i in range(4))
+        for d, (a, end) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+            for at in range(a, max(a + 1, end - LEAST + 1), PIECE - LEAST + 1):
+                piece = data[at : min(at + PIECE, end)]
+                doc, start, length, anchor, mark = passages(piece, np.array([0]), np.array([len(piece)]))
+                found.append((doc + d, start + at, length, anchor + at, mark))
+    return data, starts, ids, *(np.concatenate([f[i] for f in found]) for i in range(5))
+
+
+def _by_bucket(marks: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of hashes by bucket, then value, and where buckets begin."""
+    bucket = marks % np.uint64(buckets)
+    order = np.lexsort((marks, bucket))
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _anchors(ids: np.ndarray, doc: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A block's distinct minimizers by hash, and whether two ids have one."""
+    order = np.argsort(mark, kind="stable")
+    mark, of = mark[order], ids[doc[order]]
+    first = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]]) if len(mark) else np.zeros(0, np.int64)
+    return mark[first], (np.minimum.reduceat(of, first) < np.maximum.reduceat(of, first)) if len(first) else np.zeros(0, bool)
+
+
+def _announce(x: dict, buckets: int) -> Iterator[tuple]:
+    _, _, ids, doc, _, _, _, mark = _passages_of(x)
+    marks, several = _anchors(ids, doc, mark)
+    order, cuts = _by_bucket(marks, buckets)
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        at = order[cuts[b] : cuts[b + 1]]
+        # 44 of the hash's bits: equal ones are told apart later
+        yield b, x["block"], squeeze(planes(np.diff(marks[at] >> np.uint64(20), prepend=np.uint64(0)))), squeeze(np.packbits(several[at]))
+
+
+def _recognise(cells: pa.Table) -> pa.Table:
+    """For each block, a bit for each of its minimizers in a bucket: whether another document may have it."""
+    xs = cells.to_pylist()
+    marks = [np.cumsum(unplanes(x["marks"], np.uint64), dtype=np.uint64) for x in xs]
+    every = np.sort(np.concatenate([np.unique(m) for m in marks]))
+    again = np.unique(every[1:][every[1:] == every[:-1]])
+    bits = [squeeze(np.packbits(np.isin(m, again) | np.unpackbits(unsqueeze(x["several"], np.uint8), count=len(m)).astype(bool))) for m, x in zip(marks, xs, strict=True)]
+    return pa.table({"bucket": pa.array([x["bucket"] for x in xs], pa.int32()), "block": pa.array([x["block"] for x in xs], pa.int64()), "bits": pa.array(bits, pa.binary())})
+
+
+def _send(x: dict, bits: dict[int, bytes], buckets: int) -> Iterator[tuple]:
+    """The cells of a block, and its settled spans as a cell without passages."""
+    data, starts, ids, doc, start, length, anchor, mark = _passages_of(x)
+    marks, _ = _anchors(ids, doc, mark)
+    order, cuts = _by_bucket(marks, buckets)
+    again = np.zeros(len(marks), bool)
+    for b, held in bits.items():
+        at = order[cuts[b] : cuts[b + 1]]
+        again[at] = np.unpackbits(unsqueeze(held, np.uint8), count=len(at)).astype(bool)
+    kept = again[np.searchsorted(marks, mark)]
+    doc, start, length, anchor, mark = (v[kept] for v in (doc, start, length, anchor, mark))
     if not len(doc):
-        return [], None
+        return
     # equal passages of the block: by a hash of all their bytes, then by the bytes
-    mark = mix64(length.astype(np.uint64))
-    hashes = anchor_hashes(data)
+    content, hashes = mix64(length.astype(np.uint64) << np.uint64(8) | (anchor - start).astype(np.uint64)), anchor_hashes(data)
     for i in range(-(-LONGEST // ANCHOR)):
-        mark = mix64(mark * _STEP + hashes[start + np.minimum(ANCHOR * i, length - ANCHOR)])
-    mark = mix64(mark + (anchor - start).astype(np.uint64))
-    order = in_order(mark, ids[doc], start)
-    doc, start, length, anchor, mark = (v[order] for v in (doc, start, length, anchor, mark))
-    same = np.r_[False, mark[1:] == mark[:-1]]
+        content = mix64(content * _STEPS[7] + hashes[start + np.minimum(ANCHOR * i, length - ANCHOR)])
+    order = in_order(content, ids[doc], start)
+    doc, start, length, anchor, mark, content = (v[order] for v in (doc, start, length, anchor, mark, content))
+    same = np.r_[False, content[1:] == content[:-1]]
     at = np.flatnonzero(same)
     if len(at):
         same[at] = (length[at] == length[at - 1]) & (rows_of(data, start[at], length[at], LONGEST) == rows_of(data, start[at - 1], length[at - 1], LONGEST)).all(1)
@@ -144,22 +199,26 @@ def _send(x: dict, buckets: int) -> tuple[list[tuple], tuple | None]:
     first = np.flatnonzero(~same)
     least = ids[doc[first]]
     later = ids[doc] > least[group]
-    settled = (x["block"], squeeze(doc[later]), squeeze(start[later] - starts[doc[later]]), squeeze(length[later])) if later.any() else None
+    if later.any():
+        yield x["block"] % buckets, x["block"], None, squeeze(length[later]), None, None, None, squeeze(doc[later]), squeeze(start[later] - starts[doc[later]])
     own = np.flatnonzero(~later)
-    bucket_of = (mix64(hashes[anchor[first]]) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket_of, kind="stable")
+    bucket_of = (mark[first] % np.uint64(buckets)).astype(np.int64)
+    order = in_order(bucket_of, start[first])
     cuts = np.searchsorted(bucket_of[order], np.arange(buckets + 1))
     count = np.bincount(group[own], minlength=len(first))
     before = np.r_[0, np.cumsum(count)]
-    cells = []
     for b in np.flatnonzero(np.diff(cuts)).tolist():
         g = order[cuts[b] : cuts[b + 1]]
         f, size = first[g], length[first[g]]
-        body = data[np.repeat(start[f], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
-        n = count[g]
-        mine = own[np.repeat(before[g], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        cells.append((b, x["block"], *map(squeeze, (body, size.astype(np.uint8), (anchor[f] - start[f]).astype(np.uint8), least[g], n.astype(np.int32), doc[mine].astype(np.int32), start[mine] - starts[doc[mine]]))))
-    return cells, settled
+        body = data[_ranges(start[f], size)]
+        mine = own[_ranges(before[g], count[g])]
+        numbers = (planes(np.diff(v.astype(np.int64), prepend=0)) for v in (least[g], count[g], doc[mine], start[mine] - starts[doc[mine]]))
+        yield b, x["block"], *map(squeeze, (body, size.astype(np.uint8), (anchor[f] - start[f]).astype(np.uint8), *numbers))
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... for each start, as many as its size."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
 def repeat_groups(words: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -217,18 +276,27 @@ def _intervals(common: list[int], before: list[int]) -> Iterator[tuple[int, int,
 
 def _receive(cells: pa.Table) -> pa.Table:
     """Spans of one bucket for each block."""
-    xs = cells.to_pylist()
+    every = cells.to_pylist()
+    xs = [x for x in every if x["bytes"] is not None]
+    # what blocks have settled passes through
+    rows = [(x["block"], x["docs"], x["places"], x["lengths"]) for x in every if x["bytes"] is None]
+    if xs:
+        rows += _repeats(xs)
+    cols = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.table({"block": pa.array(cols[0], pa.int64()), "docs": pa.array(cols[1], pa.binary()), "starts": pa.array(cols[2], pa.binary()), "lengths": pa.array(cols[3], pa.binary())})
+
+
+def _repeats(xs: list[dict]) -> list[tuple]:
+    """(block, documents, starts, lengths) of what one bucket's passages show to be repeated."""
     size = [unsqueeze(x["lengths"], np.uint8) for x in xs]
     block = np.repeat(np.arange(len(xs)), [len(s) for s in size])
     length = np.concatenate(size).astype(np.int64)
     data = np.concatenate([unsqueeze(x["bytes"], np.uint8) for x in xs])
     anchor = np.concatenate([unsqueeze(x["anchors"], np.uint8) for x in xs]).astype(np.int64)
-    ids = np.concatenate([unsqueeze(x["ids"], np.int64) for x in xs])
-    count = np.concatenate([unsqueeze(x["counts"], np.int32) for x in xs]).astype(np.int64)
-    docs, places = (np.concatenate([unsqueeze(x[c], t) for x in xs]) for c, t in (("docs", np.int32), ("places", np.int64)))
+    ids, count, docs, places = (np.concatenate([np.cumsum(unplanes(x[c], np.int64)) for x in xs]) for c in ("ids", "counts", "docs", "places"))
     begin, own = np.cumsum(length) - length, np.cumsum(count) - count
     key = words_of(rows_of(data, begin + anchor, np.full(len(begin), ANCHOR), ANCHOR))
-    order = in_order(key[:, 0], key[:, 1])
+    order = in_order(*key.T)
     new = np.r_[True, (key[order][1:] != key[order][:-1]).any(1)]
     group = np.cumsum(new) - 1
     first = np.flatnonzero(new)
@@ -238,7 +306,7 @@ def _receive(cells: pa.Table) -> pa.Table:
 
     if len(kept):
         words = words_of(rows_of(data, begin[kept], length[kept], LONGEST))
-        order = in_order(key[kept, 0], key[kept, 1], *words.T, length[kept], anchor[kept], ids[kept])
+        order = in_order(*key[kept].T, *words.T, length[kept], anchor[kept], ids[kept])
         kept, words = kept[order], words[order]
         new = np.r_[True, (words[1:] != words[:-1]).any(1) | (length[kept][1:] != length[kept][:-1]) | (anchor[kept][1:] != anchor[kept][:-1]) | (key[kept][1:] != key[kept][:-1]).any(1)]
         first, same = np.flatnonzero(new), np.cumsum(new) - 1
@@ -248,7 +316,7 @@ def _receive(cells: pa.Table) -> pa.Table:
         # of each distinct passage, those with the smallest id are open to the others
         open_ = ids[kept] == ids[kept[first]][same]
         distinct, its = kept[first], words[first]
-        near = _sharing(data, begin, length, anchor, key, distinct)
+        near = _sharing(data, begin, length, anchor, distinct)
         if near.any():
             chosen = np.flatnonzero(near)
             number = np.cumsum(np.r_[True, (key[distinct[chosen]][1:] != key[distinct[chosen]][:-1]).any(1)])
@@ -274,21 +342,20 @@ def _receive(cells: pa.Table) -> pa.Table:
     order = in_order(to, doc, place)
     to, doc, place, span = (v[order] for v in (to, doc, place, span))
     cuts = np.searchsorted(to, np.arange(len(xs) + 1))
-    rows = [(xs[b]["block"], *map(squeeze, (doc[i:j].astype(np.int64), place[i:j], span[i:j]))) for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if j > i]
-    cols = list(zip(*rows, strict=True)) or [()] * 4
-    return pa.table({"block": pa.array(cols[0], pa.int64()), "docs": pa.array(cols[1], pa.binary()), "starts": pa.array(cols[2], pa.binary()), "lengths": pa.array(cols[3], pa.binary())})
+    return [(xs[b]["block"], *map(squeeze, (doc[i:j].astype(np.int64), place[i:j], span[i:j]))) for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if j > i]
 
 
-def _sharing(data: np.ndarray, begin: np.ndarray, length: np.ndarray, anchor: np.ndarray, key: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+def _sharing(data: np.ndarray, begin: np.ndarray, length: np.ndarray, anchor: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     """Which distinct passages may share a window with another one.
 
-    A window reaches 33 bytes from the anchor's start, or 17 to the left of it: one of
-    these strings must be the same in both.
+    A window that begins ``left`` bytes before the anchor or later reaches
+    ``LEAST - left`` bytes from the anchor's start, and an earlier one that
+    many bytes to the left: one of these two strings is the same in both.
     """
-    right, left = LEAST - (SPAN - 1) // 2, (SPAN - 1) // 2
+    left = (SPAN - 1) // 2
     near = np.zeros(len(distinct), bool)
     at, room = begin[distinct] + anchor[distinct], length[distinct] - anchor[distinct]
-    for start, size, has in ((at, right, room >= right), (at - left, left + ANCHOR, anchor[distinct] >= left)):
+    for start, size, has in ((at, LEAST - left, room >= LEAST - left), (at - left, left + ANCHOR, anchor[distinct] >= left)):
         some = np.flatnonzero(has)
         if len(some) < 2:
             continue
@@ -313,21 +380,22 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     packed = blocks(docs, BLOCK_BYTES, None, id_col, text_col)
     buckets = max(32, min(8192, packed.count() // 2))
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in CELLS.split(", ")]
-        schema = pa.schema([(n, {"bucket": pa.int32(), "block": pa.int64()}.get(n, pa.binary())) for n in names])
+    def announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("marks", pa.binary()), ("several", pa.binary())])
         for batch in batches:
             for x in batch.to_pylist():
-                cells, settled = _send(x, buckets)
-                if settled:
-                    cells.append((-1, settled[0], None, settled[3], None, None, None, settled[1], settled[2]))
-                if cells:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*cells, strict=True), schema, strict=True)], schema=schema)
-
-    cells = packed.mapInArrow(send, CELLS)
-    cells = saved(cells, "passages")
-    settled = cells.where("bucket = -1").select("block", "docs", F.col("places").alias("starts"), "lengths")
-    spans = cells.where("bucket >= 0").groupBy("bucket").applyInArrow(_receive, SPANS).unionByName(settled)
+                if rows := list(_announce(x, buckets)):
+                    yield table(schema, rows)
+
+    def send(block: pa.Table, known: pa.Table) -> pa.Table:
+        (x,) = block.to_pylist()
+        rows = list(_send(x, dict(zip(known.column("bucket").to_pylist(), known.column("bits").to_pylist(), strict=True)), buckets))
+        schema = pa.schema([(n, {"bucket": pa.int32(), "block": pa.int64()}.get(n, pa.binary())) for n in (c.split()[0] for c in CELLS.split(", "))])
+        return pa.Table.from_batches([table(schema, rows)] if rows else [], schema)
+
+    told = packed.mapInArrow(announce, "bucket int, block bigint, marks binary, several binary").groupBy("bucket").applyInArrow(_recognise, "bucket int, block bigint, bits binary")
+    cells = packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(send, CELLS)
+    spans = cells.groupBy("bucket").applyInArrow(_receive, SPANS)
 
     def cut(block: pa.Table, found: pa.Table) -> pa.Table:
         (x,) = block.to_pylist()
