@@ -166,9 +166,13 @@ def _recognise(cells: pa.Table) -> pa.Table:
     """For each block, a bit for each of its minimizers in a bucket: whether another document may have it."""
     xs = cells.to_pylist()
     marks = [np.cumsum(unplanes(x["marks"], np.uint64), dtype=np.uint64) for x in xs]
-    every = np.sort(np.concatenate([np.unique(m) for m in marks]))
-    again = np.unique(every[1:][every[1:] == every[:-1]])
-    bits = [squeeze(np.packbits(np.isin(m, again) | np.unpackbits(unsqueeze(x["several"], np.uint8), count=len(m)).astype(bool))) for m, x in zip(marks, xs, strict=True)]
+    every = np.concatenate(marks)
+    order = np.argsort(every, kind="stable")
+    same = every[order][1:] == every[order][:-1]
+    again = np.empty(len(every), bool)
+    again[order] = np.r_[False, same] | np.r_[same, False]
+    ends = np.cumsum([len(m) for m in marks])
+    bits = [squeeze(np.packbits(again[e - len(m) : e] | np.unpackbits(unsqueeze(x["several"], np.uint8), count=len(m)).astype(bool))) for m, e, x in zip(marks, ends.tolist(), xs, strict=True)]
     return pa.table({"bucket": pa.array([x["bucket"] for x in xs], pa.int32()), "block": pa.array([x["block"] for x in xs], pa.int64()), "bits": pa.array(bits, pa.binary())})
 
 
