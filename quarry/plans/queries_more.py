@@ -41,12 +41,14 @@ def depth_scaling(spark, sf_dir):
     return views.pixel(spark, sf_dir).select("r", "c", r6("log_depth", "-ln(d + 1e-6)"), F.when(~F.col("sky"), (F.col("d") * 2.5).cast("float")).alias("metric"))
 
 
-@query(f"""WITH {PX}, s AS (SELECT DISTINCT s FROM (SELECT unnest([0, 24, 48, 66]) AS s)), t AS (SELECT s.s, r, c, d + s.s * 0.1::DOUBLE AS v, least(c - s.s + 1, 32 - (c - s.s))::DOUBLE AS wt FROM pixel, s WHERE c >= s.s AND c < s.s + 32 AND c < 98)
+@query(f"""WITH {PX}, s AS (SELECT unnest(range(0, 2 * h - 31, 24)) AS s FROM dim UNION SELECT 2 * h - 32 FROM dim), t AS (SELECT s.s, r, c, d + s.s * 0.1::DOUBLE AS v, least(c - s.s + 1, 32 - (c - s.s))::DOUBLE AS wt FROM pixel, s WHERE c >= s.s AND c < s.s + 32)
 SELECT r, c, round(sum(v * wt) / greatest(sum(wt), 1e-12), 6) AS v, count(*) AS tiles FROM t GROUP BY r, c""")
 def tile_mosaic(spark, sf_dir):
     """Overlapping tiles of what a model gives, feathered into one field."""
-    starts = g.tile_starts(98, 32, 8)
-    px = views.pixel(spark, sf_dir).where("c < 98").withColumn("s", F.explode(F.array(*[F.lit(s) for s in starts]))).where("c >= s and c < s + 32")
+    px = views.pixel(spark, sf_dir)
+    width = px.select("w").first()
+    starts = g.tile_starts(width["w"] if width else 32, 32, 8)
+    px = px.withColumn("s", F.explode(F.array(*[F.lit(s) for s in starts]))).where("c >= s and c < s + 32")
     px = px.withColumns({"v": F.col("d") + F.col("s") * 0.1, "wt": F.expr("cast(least(c - s + 1, 32 - (c - s)) as double)")})
     return px.groupBy("r", "c").agg(F.round(F.sum(F.col("v") * F.col("wt")) / F.greatest(F.sum("wt"), F.lit(1e-12)), 6).alias("v"), F.count("*").alias("tiles"))
 
@@ -95,14 +97,15 @@ def bg_solid_angle_gate(spark, sf_dir):
     return gates.verdict(share, "bg_solid_angle").select(F.round(F.element_at("metrics", "fraction"), 6).alias("fraction"), "pass")
 
 
-@query(f"""WITH {PX}, {KERNEL}, {TILE}, ct AS (SELECT t.r, t.c, y.k * x.k AS k, {MIRROR.format('(t.r + y.i)', '20')} AS r2, {MIRROR.format('(t.c + x.i)', '24')} AS c2 FROM tl t, kn y, kn x),
+@query(f"""WITH {PX}, {KERNEL}, {TILE}, ct AS (SELECT t.r, t.c, y.k * x.k AS k, {MIRROR.format('(t.r + y.i)', 't.h')} AS r2, {MIRROR.format('(t.c + x.i)', 't.w')} AS c2 FROM tl t, kn y, kn x),
 m AS (SELECT ct.r, ct.c, sum(k * a) AS ma, sum(k * b) AS mb, sum(k * a * a) AS aa, sum(k * b * b) AS bb, sum(k * a * b) AS ab FROM ct JOIN tl ON tl.r = r2 AND tl.c = c2 GROUP BY ALL),
-s AS (SELECT r // 10 AS tj, c // 12 AS ti, avg((2 * ma * mb + 1e-4) * (2 * (ab - ma * mb) + 9e-4) / ((ma * ma + mb * mb + 1e-4) * ((aa - ma * ma) + (bb - mb * mb) + 9e-4))) AS s FROM m GROUP BY 1, 2)
+s AS (SELECT r * 4 // z.h AS tj, c * 8 // z.w AS ti, avg((2 * ma * mb + 1e-4) * (2 * (ab - ma * mb) + 9e-4) / ((ma * ma + mb * mb + 1e-4) * ((aa - ma * ma) + (bb - mb * mb) + 9e-4))) AS s FROM m, dim d, LATERAL (SELECT d.h AS h, 2 * d.h AS w) z GROUP BY 1, 2)
 SELECT round(min(s), 5) AS ssim_worst, round(avg(s), 5) AS ssim_mean, min(s) >= 0.30 AND avg(s) >= 0.55 AS pass FROM s""")
 def fidelity_gate(spark, sf_dir):
     """Worst and mean tile of an image against its source."""
-    px = views.pixel(spark, sf_dir).where("r < 20 and c < 24").withColumns({"h": F.lit(20).cast("long"), "w": F.lit(24).cast("long"), "a": F.col("red") / 255.0, "b": ((F.col("red") + F.col("k")) % 256) / 255.0})
-    tiles = metrics.ssim(px, "a", "b").groupBy(F.expr("r div 10").alias("tj"), F.expr("c div 12").alias("ti")).agg(F.avg("ssim").alias("s"))
+    px = views.pixel(spark, sf_dir).withColumns({"a": F.col("red") / 255.0, "b": ((F.col("red") + F.col("k")) % 256) / 255.0})
+    size = F.broadcast(px.agg(F.max("h").alias("h"), F.max("w").alias("w")))
+    tiles = metrics.ssim(px, "a", "b").crossJoin(size).groupBy(F.expr("r * 4 div h").alias("tj"), F.expr("c * 8 div w").alias("ti")).agg(F.avg("ssim").alias("s"))
     measured = tiles.agg(F.min("s").alias("ssim_worst"), F.avg("s").alias("ssim_mean"))
     out = gates.verdict(measured, "fidelity_at_origin")
     return out.select(*[F.round(F.element_at("metrics", k), 5).alias(k) for k in ("ssim_worst", "ssim_mean")], "pass")

@@ -84,13 +84,13 @@ def stale_chain(spark, sf_dir):
     return provenance.incoherent(views.artifact(spark, sf_dir)).where("fault = 'stale'").select("stage_idx", "path", "line", "producer")
 
 
-OTHER = "b AS (SELECT stage_idx, kind, path, CASE WHEN path % 7 = 0 THEN sha + 1 ELSE sha END AS sha, line FROM artifact WHERE path % 11 <> 0)"
+OTHER = "b AS (SELECT stage_idx, kind, path, CASE WHEN state = 'O' AND flag = 'A' THEN sha + 1 ELSE sha END AS sha, line FROM artifact WHERE flag <> 'R')"
 
 
 @query(f"""WITH {RC}, {OTHER} SELECT stage_idx, kind, path, line, a.sha AS sha_a, b.sha AS sha_b FROM artifact a FULL JOIN b USING (stage_idx, kind, path, line) WHERE a.sha IS DISTINCT FROM b.sha""")
 def run_diff(spark, sf_dir):
     a = views.artifact(spark, sf_dir)
-    b = a.where("path % 11 <> 0").withColumn("sha", F.when(F.col("path") % 7 == 0, F.col("sha") + 1).otherwise(F.col("sha")))
+    b = a.where("flag <> 'R'").withColumn("sha", F.when((F.col("state") == "O") & (F.col("flag") == "A"), F.col("sha") + 1).otherwise(F.col("sha")))
     return provenance.run_difference(a, b)
 
 
@@ -100,11 +100,11 @@ def missing_receipts(spark, sf_dir):
     return provenance.missing_stages(registry, views.receipt(spark, sf_dir).where("status <> 'P'"))
 
 
-@query("""WITH pin AS (SELECT p_partkey AS name FROM part WHERE p_partkey % 3 <> 0), f AS (SELECT DISTINCT l_partkey AS name FROM lineitem WHERE l_partkey % 5 <> 0)
+@query("""WITH pin AS (SELECT c_custkey AS name FROM customer), f AS (SELECT DISTINCT l_partkey AS name FROM lineitem)
 SELECT name, 'missing' AS fault FROM pin WHERE name NOT IN (SELECT name FROM f) UNION ALL SELECT name, 'unpinned' FROM f WHERE name NOT IN (SELECT name FROM pin)""")
 def pins_anti(spark, sf_dir):
-    pinned = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("name"))
-    found = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_partkey % 5 <> 0").select(F.col("l_partkey").alias("name")).distinct()
+    pinned = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("name"))
+    found = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_partkey").alias("name")).distinct()
     return provenance.pin_faults(pinned, found)
 
 

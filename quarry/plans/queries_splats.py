@@ -221,16 +221,15 @@ def near_limit(spark, sf_dir):
 
 
 KERNEL = "kn(i, k) AS (VALUES " + ", ".join(f"({i - 5}, {k!r}::DOUBLE)" for i, k in enumerate(metrics.gaussian())) + ")"
-TILE = "tl AS (SELECT r, c, red / 255.0::DOUBLE AS a, ((red + k) % 256) / 255.0::DOUBLE AS b FROM pixel WHERE r < 20 AND c < 24)"
+TILE = "tl AS (SELECT r, c, h, w, red / 255.0::DOUBLE AS a, ((red + k) % 256) / 255.0::DOUBLE AS b FROM pixel)"
 MIRROR = "CASE WHEN {0} < 0 THEN -{0} - 1 WHEN {0} >= {1} THEN 2 * {1} - 1 - {0} ELSE {0} END"
 
 
-@query(f"""WITH {PX}, {KERNEL}, {TILE}, ct AS (SELECT t.r, t.c, y.k * x.k AS k, {MIRROR.format('(t.r + y.i)', '20')} AS r2, {MIRROR.format('(t.c + x.i)', '24')} AS c2 FROM tl t, kn y, kn x),
+@query(f"""WITH {PX}, {KERNEL}, {TILE}, ct AS (SELECT t.r, t.c, y.k * x.k AS k, {MIRROR.format('(t.r + y.i)', 't.h')} AS r2, {MIRROR.format('(t.c + x.i)', 't.w')} AS c2 FROM tl t, kn y, kn x),
 m AS (SELECT ct.r, ct.c, sum(k * a) AS ma, sum(k * b) AS mb, sum(k * a * a) AS aa, sum(k * b * b) AS bb, sum(k * a * b) AS ab FROM ct JOIN tl ON tl.r = r2 AND tl.c = c2 GROUP BY ALL)
 SELECT r, c, round((2 * ma * mb + 1e-4) * (2 * (ab - ma * mb) + 9e-4) / ((ma * ma + mb * mb + 1e-4) * ((aa - ma * ma) + (bb - mb * mb) + 9e-4)), 5) AS ssim FROM m""")
-def ssim_tile(spark, sf_dir):
-    px = views.pixel(spark, sf_dir).where("r < 20 and c < 24").withColumns({"h": F.lit(20).cast("long"), "w": F.lit(24).cast("long")})
-    px = px.withColumns({"a": F.col("red") / 255.0, "b": ((F.col("red") + F.col("k")) % 256) / 255.0})
+def ssim_map(spark, sf_dir):
+    px = views.pixel(spark, sf_dir).withColumns({"a": F.col("red") / 255.0, "b": ((F.col("red") + F.col("k")) % 256) / 255.0})
     return metrics.ssim(px, "a", "b").select("r", "c", F.round("ssim", 5).alias("ssim"))
 
 

@@ -53,13 +53,13 @@ def splat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DETECTION_SQL = """detection AS (SELECT l.doc_id % 10 AS face, l.doc_id AS box, ((l.doc_id * 37) % 100) / 100.0::DOUBLE AS score, CASE WHEN l.doc_id % 3 = 0 THEN 'chair' ELSE 'person' END AS label,
     ((l.doc_id * 13) % 500)::DOUBLE AS x0, ((l.doc_id * 29) % 500)::DOUBLE AS y0, ((l.doc_id * 13) % 500 + 20 + n_chars % 60)::DOUBLE AS x1, ((l.doc_id * 29) % 500 + 20 + n_chars % 90)::DOUBLE AS y1
-  FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE l.doc_id % 16 = 0)"""
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
 
 
 def detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(face, box, score, label, x0, y0, x1, y1): boxes on faces of 640 pixels."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "n_chars")
-    both = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").where("doc_id % 16 = 0").join(docs, "doc_id")
+    both = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").join(docs, "doc_id")
     return both.selectExpr(
         "doc_id % 10 as face", "doc_id as box", "((doc_id * 37) % 100) / 100e0 as score", "if(doc_id % 3 = 0, 'chair', 'person') as label",
         "cast((doc_id * 13) % 500 as double) as x0", "cast((doc_id * 29) % 500 as double) as y0", "cast((doc_id * 13) % 500 + 20 + n_chars % 60 as double) as x1", "cast((doc_id * 29) % 500 + 20 + n_chars % 90 as double) as y1",
@@ -67,7 +67,7 @@ def detection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RECEIPT_SQL = """receipt AS (SELECT o_orderkey AS stage_idx, o_orderstatus AS status, (o_totalprice > 100000) AS passed FROM orders),
-artifact AS (SELECT l_orderkey AS stage_idx, CASE WHEN l_linenumber % 2 = 0 THEN 'input' ELSE 'output' END AS kind, l_partkey AS path, l_suppkey AS sha, l_linenumber AS line FROM lineitem)"""
+artifact AS (SELECT l_orderkey AS stage_idx, CASE WHEN l_linenumber % 2 = 0 THEN 'input' ELSE 'output' END AS kind, l_partkey AS path, l_suppkey AS sha, l_linenumber AS line, l_returnflag AS flag, l_linestatus AS state FROM lineitem)"""
 
 
 def receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,6 @@ def receipt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(stage_idx, kind, path, sha, line): inputs and outputs of stages."""
+    """(stage_idx, kind, path, sha, line, flag, state): inputs and outputs of stages."""
     kind = F.when(F.col("l_linenumber") % 2 == 0, "input").otherwise("output").alias("kind")
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").alias("stage_idx"), kind, F.col("l_partkey").alias("path"), F.col("l_suppkey").alias("sha"), F.col("l_linenumber").alias("line"))
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").alias("stage_idx"), kind, F.col("l_partkey").alias("path"), F.col("l_suppkey").alias("sha"), F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("state"))
