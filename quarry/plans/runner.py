@@ -32,7 +32,7 @@ class Run:
 
 def digest(df: DataFrame) -> str:
     """The same for the same rows in any order and partitioning: count and two sums of row hashes, each one aggregate."""
-    cols = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    cols = [F.array_sort(F.map_entries(f"`{c}`")) if kind.startswith("map<") else F.col(f"`{c}`") for c, kind in sorted(df.dtypes)]
     row = df.select(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(1), *cols).alias("b")).agg(F.count("*"), F.sum(F.col("a").cast("decimal(38,0)")), F.sum(F.col("b").cast("decimal(38,0)"))).first()
     return sha256_json([str(v) for v in row])
 
