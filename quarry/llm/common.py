@@ -58,6 +58,15 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that go to Python at a time: texts are long, and each task holds a batch several times over.
+ROWS_A_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows per Arrow batch to what tables of texts need."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_A_BATCH))
+
+
 def columns(df: DataFrame, *names: str) -> DataFrame:
     """Just these columns, so that others of a table can't clash with an operator's own."""
     return df.select(*[F.col(f"`{n}`") for n in names])

@@ -45,7 +45,7 @@ VALUES, LIMIT = CHUNKS * WIDTH, 2 * CHUNKS - 1
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Characters of text that are hashed at a time.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 TILE = 1024
 #: Members of a group that one task holds, twice.
 PART = 1024

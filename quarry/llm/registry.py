@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import byte_bpe, exact_dedup, license_scan, lm_scoring, mixing, near_dedup, secret_scan, suffix_dedup, topk_search, toxicity
+from quarry.llm.common import small_batches
 from quarry.llm.oracles import ORACLES
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -16,7 +16,7 @@ _BASE = 0xD6E8FEB86659FD93
 _STEP = np.uint64(0xA0761D6478BD642F)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2**64."""
     out = []
@@ -36,7 +36,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     word = ~space
     starts = np.flatnonzero(word & np.r_[True, space[:-1]]) if len(data) else np.zeros(0, np.int64)
     stops = np.flatnonzero(word & np.r_[space[1:], True]) + 1 if len(data) else np.zeros(0, np.int64)
-    size = 1 << max(16, int(len(data)).bit_length())
+    size = 1 << max(20, int(len(data)).bit_length())
     up, down = _powers(size)
     sums = np.r_[np.uint64(0), np.cumsum(_BYTE[data] * up[: len(data)], dtype=np.uint64)]
     hashes = mix64((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64) * _STEP)
