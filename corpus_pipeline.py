@@ -21,6 +21,7 @@ ORACLE_SQL = None
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain doesn't call toxic; it learns from the labelled ones."""
+    common.small_batches(spark)
     chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, chain, prefix="_p_").where(F.col("_p_toxic") < TOXIC).select(*docs.columns)
 
@@ -32,6 +33,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
+    common.small_batches(spark)
     return near_dedup.without_near_copies(docs)
 
 
@@ -42,6 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids): each whole text's token ids, four bytes each, lowest first."""
+    common.small_batches(spark)
     vocabulary = byte_bpe.read_ranks(spark, public_tokenizers.path(VOCABULARY))
     coded = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary, public_tokenizers.PATTERN)
     return coded.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
