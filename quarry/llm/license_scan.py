@@ -57,7 +57,7 @@ def bands(shingles: Column) -> Column:
 
 def template_tables(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(template, h, n): distinct shingles of each template and their number; (template, band): bands of its segments."""
-    rows = spark.createDataFrame(sorted(templates.items()), "template string, text string")
+    rows = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("template"), F.lit(v).alias("text")) for k, v in sorted(templates.items())])))
     cut = rows.select("template", F.posexplode(shingle_hashes(license_words(F.col("text")))).alias("at", "h"))
     sizes = cut.groupBy("template").agg(F.count_distinct("h").alias("n"))
     segments = cut.groupBy("template", F.floor(F.col("at") / STRIDE).alias("segment")).agg(F.collect_set("h").alias("hs"))
