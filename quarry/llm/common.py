@@ -42,19 +42,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/quarry-{spark.sparkContext.applicationId}"
 
 
-#: Files of a saved table for each core of the cluster, at most.
+#: Files of a saved slim table for each core of the cluster, at most.
 FILES_A_CORE = 8
 
 
-def saved(df: DataFrame, tag: str) -> DataFrame:
+def saved(df: DataFrame, tag: str, slim: bool = False) -> DataFrame:
     """The same rows, written to the shared folder and read from there.
 
-    Where there are many more partitions than cores, a task writes several of
-    them one after the other, so that small tables don't become thousands of
-    files.
+    A ``slim`` table has a few numbers for each row.  Where there are many more
+    partitions than cores, a task writes several of its partitions one after
+    the other, so that it doesn't become thousands of tiny files.
     """
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.coalesce(FILES_A_CORE * df.sparkSession.sparkContext.defaultParallelism).write.parquet(path)
+    out = df.coalesce(FILES_A_CORE * df.sparkSession.sparkContext.defaultParallelism) if slim else df
+    out.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

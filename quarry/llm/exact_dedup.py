@@ -54,7 +54,7 @@ def block_names(texts: DataFrame, keys: list[str], block: int = BLOCK) -> DataFr
             return done.dropDuplicates(keys)
         even = F.col("at") % 2 == 0
         pairs = now.where("m > 1").groupBy(*keys, ((F.col("m") + 1) / 2).cast("int").alias("m"), F.floor(F.col("at") / 2).cast("int").alias("at"))
-        pairs = saved(pairs.agg(F.max(F.when(even, F.col("name"))).alias("left"), F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("right")), "pairs")
+        pairs = saved(pairs.agg(F.max(F.when(even, F.col("name"))).alias("left"), F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("right")), "pairs", True)
         now = saved(pairs.join(_named(pairs, ["left", "right"], "names"), ["left", "right"]).select(*keys, "m", "at", "name"), "level")
         level, most = level + 1, (most + 1) // 2
 
@@ -70,11 +70,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = columns(docs, id_col, text_col).toDF("doc_id", "raw").select("doc_id", normalised(F.col("raw")).alias("text"))
     print_ = [F.sha2(F.col("text"), 256).alias("sha"), F.xxhash64("text").alias("fp"), F.octet_length("text").alias("n")]
     slim = saved(text.select("doc_id", *print_).withColumn("row", F.monotonically_increasing_id()), "prints")
-    shared = slim.groupBy("fp", "n").agg(F.count("*").alias("copies")).where("copies > 1").select("fp", "n")
+    # a table of its own, so that the joins with it are plain ones whose hot keys can be split
+    shared = saved(slim.groupBy("fp", "n").agg(F.count("*").alias("copies")).where("copies > 1").select("fp", "n"), "shared", True)
     rows = slim.join(shared, ["fp", "n"], "left_semi").groupBy("doc_id", "sha").agg(F.min("row").alias("first_row"), F.count("*").alias("rows"))
     named = block_names(text.select("doc_id", "text", *print_).join(shared.hint("shuffle_hash"), ["fp", "n"], "left_semi").select("doc_id", "sha", "text"), ["doc_id", "sha"], block)
     same = rows["doc_id"].eqNullSafe(named["doc_id"]) & (rows["sha"] == named["sha"])
-    named = saved(rows.join(named, same).select(rows["doc_id"], rows["sha"], "first_row", "rows", "level", "name"), "identities")
+    named = saved(rows.join(named, same).select(rows["doc_id"], rows["sha"], "first_row", "rows", "level", "name"), "identities", True)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"))
     groups = named.groupBy("level", "name").agg(F.min(order).alias("keep"), F.sum("rows").alias("size"))
     back = named.join(groups, ["level", "name"]).select(F.col("doc_id").alias("d"), F.col("sha").alias("s"), "first_row", F.col("keep.id").alias("keep"), "size")
@@ -91,7 +92,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """The rows that ``exact_dedup`` keeps, with all their columns. Only ids and digests of the others are joined to them."""
-    judged = saved(exact_dedup(docs, id_col, text_col, block).select(F.col(id_col).alias("_id"), "keep_id", "kept", F.col("text_sha256").alias("_sha")), "judged")
+    judged = saved(exact_dedup(docs, id_col, text_col, block).select(F.col(id_col).alias("_id"), "keep_id", "kept", F.col("text_sha256").alias("_sha")), "judged", True)
     rows = docs.withColumn("_digest", F.sha2(normalised(F.col(f"`{text_col}`")), 256))
     this = rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha"))
     elsewhere = ~F.col("_id").eqNullSafe(F.col("keep_id"))

@@ -75,7 +75,7 @@ def thresholds(sizes: DataFrame, budget: DataFrame) -> DataFrame:
     for level in range(1, LEVELS + 1):
         shift = WIDTH - BITS * level
         sums = inside.withColumn("bucket", F.shiftright("h", shift)).groupBy("key", "bucket").agg(F.sum("size").alias("size"))
-        edge = saved(_boundary(sums.join(edge.select("key", "left"), "key"), "bucket").withColumnRenamed("bucket", "prefix"), "edge")
+        edge = saved(_boundary(sums.join(edge.select("key", "left"), "key"), "bucket").withColumnRenamed("bucket", "prefix"), "edge", True)
         inside = sizes.withColumn("prefix", F.shiftright("h", shift)).join(edge.select("key", "prefix"), ["key", "prefix"], "left_semi")
     last = inside.groupBy("key", "h").agg(F.sum("size").alias("size")).join(edge.select("key", "left"), "key")
     stop = _boundary(last, "h").select("key", (F.col("h") - 1).alias("threshold"), F.col("left").alias("left_over"))
@@ -100,10 +100,10 @@ def _times(rows: DataFrame, plan: DataFrame, repeats: int) -> DataFrame:
 
 def mix_plan(sizes: DataFrame, repeats: int = REPEATS) -> DataFrame:
     """One row for each key of (key, h, size): ``source_size``, ``target``, and which hashes are taken once more than ``whole`` times."""
-    src = saved(targets(sizes.select("key", "size"), repeats=repeats), "targets")
+    src = saved(targets(sizes.select("key", "size"), repeats=repeats), "targets", True)
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(repeats))).otherwise(0).cast("int")
     src = src.withColumn("whole", whole).withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
-    plan = saved(src.drop("left").join(thresholds(sizes, src.select("key", "left")), "key"), "plan")
+    plan = saved(src.drop("left").join(thresholds(sizes, src.select("key", "left")), "key"), "plan", True)
     for n in range(TOP_UPS):
         chosen = [f"extra{i}" for i in range(n)]
         fits = (F.col("h") > F.col("threshold")) & (F.col("size") > 0) & (F.col("size") <= F.col("left"))
@@ -112,7 +112,7 @@ def mix_plan(sizes: DataFrame, repeats: int = REPEATS) -> DataFrame:
         open_ = sizes.join(plan.select("key", "threshold", "left", *chosen), "key").where(fits)
         best = open_.groupBy("key").agg(F.max("size").alias("size"))
         best = open_.select("key", "size", "h").join(best, ["key", "size"]).groupBy("key", "size").agg(F.min("h").alias(f"extra{n}"))
-        plan = saved(plan.join(best, "key", "left").withColumn("left", F.col("left") - F.coalesce("size", F.lit(0))).drop("size"), "plan")
+        plan = saved(plan.join(best, "key", "left").withColumn("left", F.col("left") - F.coalesce("size", F.lit(0))).drop("size"), "plan", True)
     return plan
 
 

@@ -225,8 +225,8 @@ def _across(members: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
                     out.append((min(node[i], node[j]), max(node[i], node[j])))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
-    few = saved(opened.groupBy(*task).applyInArrow(narrowed, opened.schema), "near-open")
-    return saved(few.join(sets.select("node", "shingles"), "node").groupBy(*task).applyInArrow(linked, "a bigint, b bigint"), "near-links")
+    few = saved(opened.groupBy(*task).applyInArrow(narrowed, opened.schema), "near-open", True)
+    return saved(few.join(sets.select("node", "shingles"), "node").groupBy(*task).applyInArrow(linked, "a bigint, b bigint"), "near-links", True)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -243,18 +243,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    return saved(both.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint"), "near-links")
+    return saved(both.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint"), "near-links", True)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for the ends of the links: the smallest node each can reach."""
     edges = links.select("a", "b").union(links.select("b", "a")).toDF("a", "b")
-    labels = saved(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    labels = saved(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "node"), "labels", True)
     while True:
         seen = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         low = labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("label").alias("far"))
-        new = saved(low.join(jump, "low").select("node", "old", F.least("low", "far").alias("label")), "labels")
+        new = saved(low.join(jump, "low").select("node", "old", F.least("low", "far").alias("label")), "labels", True)
         changed = new.where("old <> label").limit(1).count()
         labels = new.select("node", "label")
         if not changed:
@@ -275,9 +275,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = columns(docs, id_col, text_col).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     marked = saved(_marked(texts), "near-marks")
     nodes = marked.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature"))
-    nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
+    nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes", True)
     groups = saved(_groups(nodes, max(16, min(4096, nodes.count() // 4096))), "near-groups")
-    wanted = saved(nodes.join(groups.select(F.explode("members").alias("node")).distinct(), "node", "left_semi").select("node", "print", F.col("doc_id").alias("of")), "near-wanted")
+    wanted = saved(nodes.join(groups.select(F.explode("members").alias("node")).distinct(), "node", "left_semi").select("node", "print", F.col("doc_id").alias("of")), "near-wanted", True)
 
     def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,12 +295,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     alone = single.groupBy("node").agg(F.count("*").alias("alone"))
     known = nodes.join(wanted.select("node"), "node").join(alone, "node", "left").select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"), F.col("node").alias("label"), "signature")
     # what has too many shingles to itself can't reach the least similarity with anything
-    known = saved(known.where(100 * (F.col("n") - F.col("alone")) >= PERCENT * F.col("n")), "near-known")
+    known = saved(known.where(100 * (F.col("n") - F.col("alone")) >= PERCENT * F.col("n")), "near-known", True)
     members = groups.select("grp", "keys", F.ceil(F.size("members") / PART).cast("int").alias("parts"), F.posexplode("members").alias("at", "node"))
-    links = _confirmed(saved(_to_centre(members, known), "near-pairs"), sets)
+    links = _confirmed(saved(_to_centre(members, known), "near-pairs", True), sets)
     labels = components(links)
     now = known.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select("node", "n", "alone", "label", "signature")
-    labels = components(links.union(_across(members, saved(now, "near-known"), sets)))
+    labels = components(links.union(_across(members, saved(now, "near-known", True), sets)))
     of = nodes.join(labels, "node", "left").select("print", "doc_id", F.coalesce("label", "node").alias("label"))
     least = of.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of = of.join(least, "label").select("print", "component_id")
@@ -313,4 +313,4 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows that ``near_dedup`` keeps, with all their columns: one document of each component."""
     judged = near_dedup(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_text")).distinct()
     rows = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
-    return rows.join(saved(judged, "near-judged"), rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_anti").drop("_hash")
+    return rows.join(saved(judged, "near-judged", True), rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_anti").drop("_hash")

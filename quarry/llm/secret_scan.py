@@ -91,7 +91,7 @@ def scan_secrets(versions: DataFrame, keys: list[str], ledger_path: str | None =
     named = [f"key{i}" for i in range(len(keys))]
     rows = columns(versions, *keys, text_col).toDF(*named, "text").withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.withColumn("blob", F.sha2("text", 256))
-    paths = saved(rows.select(*named, "blob"), "paths")
+    paths = saved(rows.select(*named, "blob"), "paths", True)
     ledger_path = ledger_path or f"{shared_dir(spark)}/ledger-{version}-{uuid.uuid4().hex}"
     spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger_path)
     seen = spark.read.schema(LEDGER).parquet(ledger_path).where(F.col("rule_version") == version)

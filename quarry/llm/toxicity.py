@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, mo
     counted = sample.select("text", "fold", *marks).mapInArrow(count, f"gram string, fold int, n long, {', '.join(f'{m} long' for m in marks)}")
     sizes = {r["fold"]: r for r in sample.groupBy("fold").agg(F.count("*").alias("n"), *[F.sum(m).alias(m) for m in marks]).collect()}
     sums = [F.sum(F.when(F.col("fold") != f, F.col(c)).otherwise(0)).alias(f"{c}_{f}") for f in range(FOLDS) for c in ("n", *marks)]
-    grouped = saved(counted.groupBy("gram").agg(*[F.sum(c).alias(f"{c}_all") for c in ("n", *marks)], *sums), "toxicity-grams")
+    grouped = saved(counted.groupBy("gram").agg(*[F.sum(c).alias(f"{c}_all") for c in ("n", *marks)], *sums), "toxicity-grams", True)
     chosen: dict[tuple[int, object], list[str]] = {}
     for i, m in enumerate(marks):
         for part in ("all", *range(FOLDS)):
