@@ -1,24 +1,14 @@
-"""License scans with MinHash bands over overlapping text windows, with DataFrame functions only.
+"""License scans by exact containment of word shingles, with DataFrame functions only.
 
 A text becomes words (runs of a-z and 0-9 of the lower-cased text) and
 five-word shingles.  Shingles that occur in no template are left out at once;
-they match nothing.  What remains is grouped by windows of ``WINDOW`` word
-positions that start every ``STRIDE``; templates are cut into segments of at
-most ``STRIDE`` shingles, so every occurrence of a segment lies within one
-window.  Windows and segments get ``BANDS`` MinHash bands of ``ROWS`` values;
-a shared band retrieves the segment's template.
+they match nothing.  Every template that shares a shingle with the text is
+judged: the share of the template's distinct shingles that the whole text holds
+must reach ``CONTAINED``.  No retrieval stands before that, since any banding
+misses some templates that a text holds in full.  Shingles are compared by
+64-bit hashes.
 
-A window that holds a segment has at most ``WINDOW`` other shingles' places
-besides, so their similarity is ``STRIDE / WINDOW`` = 0.5 for whole segments
-and 0.4 if a fifth of the segment is changed.  A band collides with probability
-s**2, all bands miss with (1 - s**2)**48: 2.3e-4 at 0.4, 1e-6 at 0.5.  A
-template of several segments has several chances.
-
-Retrieved templates are verified exactly: the share of the template's distinct
-shingles that the whole text holds must reach ``CONTAINED``.  Shingles are
-compared by 64-bit hashes.
-
-Only the template tables are broadcast; their size is fixed by ``TEMPLATES``.
+Only the template table is broadcast; its size is fixed by ``TEMPLATES``.
 """
 
 from __future__ import annotations
@@ -30,8 +20,6 @@ from quarry.llm.common import columns, saved
 from quarry.llm.license_texts import TEMPLATES
 
 SHINGLE = 5
-WINDOW, STRIDE = 64, 32
-BANDS, ROWS = 48, 2
 CONTAINED = 0.8
 
 
@@ -48,20 +36,12 @@ def shingle_hashes(words: Column) -> Column:
     return F.when(F.size(words) >= SHINGLE, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
-def bands(shingles: Column) -> Column:
-    """Band keys of a set of shingle hashes."""
-    lowest = lambda k: F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, F.lit(k))))
-    low = [lowest(k) for k in range(BANDS * ROWS)]
-    return F.array(*[F.xxhash64(F.lit(b), *low[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)])
-
-
-def template_tables(spark: SparkSession, templates: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """(template, h, n): distinct shingles of each template and their number; (template, band): bands of its segments."""
+def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
+    """(template, h, n): distinct shingles of each template and their number."""
     rows = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("template"), F.lit(v).alias("text")) for k, v in sorted(templates.items())])))
-    cut = rows.select("template", F.posexplode(shingle_hashes(license_words(F.col("text")))).alias("at", "h"))
+    cut = rows.select("template", F.explode(shingle_hashes(license_words(F.col("text")))).alias("h"))
     sizes = cut.groupBy("template").agg(F.count_distinct("h").alias("n"))
-    segments = cut.groupBy("template", F.floor(F.col("at") / STRIDE).alias("segment")).agg(F.collect_set("h").alias("hs"))
-    return cut.select("template", "h").distinct().join(sizes, "template"), segments.select("template", F.explode(bands(F.col("hs"))).alias("band")).distinct()
+    return cut.distinct().join(sizes, "template")
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -73,18 +53,13 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     match nothing.  Repeated rows are scanned each.  An empty table gives an
     empty result.  Other columns are ignored.
     """
-    shingles, segments = (F.broadcast(t) for t in template_tables(docs.sparkSession, templates))
+    shingles = F.broadcast(template_table(docs.sparkSession, templates))
     rows = columns(docs, id_col, text_col).toDF("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     rows = rows.select("row", "doc_id", license_words(F.col("text")).alias("words"))
     places = rows.select("row", "doc_id", F.posexplode(shingle_hashes(F.col("words"))).alias("at", "h"))
     hits = saved(places.join(F.broadcast(shingles.select("h").distinct()), "h", "left_semi"), "license-hits")
-    last = F.floor(F.col("at") / STRIDE)
-    windows = hits.select("row", "h", F.explode(F.array(last, last - 1)).alias("window")).groupBy("row", "window").agg(F.collect_set("h").alias("hs"))
-    keyed = windows.select("row", F.explode(bands(F.col("hs"))).alias("band"))
-    retrieved = keyed.join(segments, "band").select("row", "template").distinct()
     matched = hits.join(shingles, "h").groupBy("row", "template").agg(
         F.first("doc_id").alias("doc_id"), F.first("n").alias("n_shingles"), F.count_distinct("h").alias("n_matched"), F.min("at").alias("first_word"), (F.max("at") + SHINGLE - 1).alias("last_word")
     )
     share = F.col("n_matched") / F.col("n_shingles")
-    verified = matched.where(share >= CONTAINED).join(retrieved, ["row", "template"], "left_semi")
-    return verified.select(F.col("doc_id").alias(id_col), "template", "n_shingles", "n_matched", F.round(share, 6).alias("containment"), "first_word", "last_word")
+    return matched.where(share >= CONTAINED).select(F.col("doc_id").alias(id_col), "template", "n_shingles", "n_matched", F.round(share, 6).alias("containment"), "first_word", "last_word")
