@@ -7,9 +7,12 @@ the next bits, ``LEVELS`` times.  What is left of it is resolved by single hash
 values.  A document is taken if its hash is at or below its source's threshold,
 so no document table is ever sorted, and a larger budget takes a superset.
 
-The threshold stops short of the budget by less than one document; ``TOP_UPS``
-further documents, each the largest that still fits (ties to the smaller hash),
-fill most of that gap.
+The threshold stops short of the budget at the first document that doesn't fit.
+What is left is filled by further documents, each the largest that still fits
+(ties to the smaller hash), until none fits.  How many of each size that makes
+follows from one histogram of sizes per source; which ones, from hash thresholds
+again, per source and size.  They have fewer words together than the document at
+which the threshold stopped, so their list is short.
 
 A histogram has at most ``2**BITS`` rows per source, and the sums are combined
 before the shuffle, so one source with a third of all rows costs no more than
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import columns, saved, words_in
 
-BITS, LEVELS, WIDTH, TOP_UPS = 12, 3, 60, 2
+BITS, LEVELS, WIDTH = 12, 3, 60
 #: No document is used more often.
 REPEATS = 3
 
@@ -90,37 +93,58 @@ def _sized(docs: DataFrame, id_col: str, text_col: str | None, source_col: str,
     return rows if text_col is None else rows.withColumn("_size", words_in(F.col(f"`{text_col}`")))
 
 
-def _times(rows: DataFrame, plan: DataFrame, repeats: int) -> DataFrame:
+def _times(rows: DataFrame, plan: DataFrame, extras: DataFrame, repeats: int) -> DataFrame:
     """Rows of ``_sized`` with the plan's columns and ``_times``."""
-    more = F.col("_hash") <= F.col("threshold")
-    for i in range(TOP_UPS):
-        more |= F.coalesce(F.col("_hash") == F.col(f"extra{i}"), F.lit(False))
-    return rows.join(plan.withColumnRenamed("key", "_key"), "_key").withColumn("_times", F.least(F.col("whole") + more.cast("int"), F.lit(repeats)))
+    more = (F.col("_hash") <= F.col("threshold")) | F.coalesce("extra", F.lit(False))
+    extras = extras.select(F.col("key").alias("_key"), F.col("h").alias("_hash"), F.lit(True).alias("extra"))
+    rows = rows.join(plan.withColumnRenamed("key", "_key"), "_key").join(extras, ["_key", "_hash"], "left")
+    return rows.withColumn("_times", F.least(F.col("whole") + more.cast("int"), F.lit(repeats)))
 
 
-def mix_plan(sizes: DataFrame, repeats: int = REPEATS) -> DataFrame:
-    """One row for each key of (key, h, size): ``source_size``, ``target``, and which hashes are taken once more than ``whole`` times."""
+def _top_ups(sizes: DataFrame, plan: DataFrame, most: int | None) -> DataFrame:
+    """(key, h) beyond the threshold: each the largest that still fits into ``left``, until none fits or there are ``most``.
+
+    Rows that share a hash count with their joint size.
+    """
+    beyond = sizes.join(plan.select("key", "threshold", "left"), "key").where(F.col("h") > F.col("threshold"))
+    units = beyond.groupBy("key", "h").agg(F.sum("size").alias("size"), F.first("left").alias("left"))
+    units = saved(units.where("size > 0 and size <= left"), "open", True)
+    counts = units.groupBy("key", "size").agg(F.count("*").alias("n"), F.first("left").alias("left"))
+    of = counts.groupBy("key").agg(F.first("left").alias("left"), F.sort_array(F.collect_list(F.struct("size", "n")), False).alias("by_size"))
+    none = F.expr("cast(array() as array<struct<size: bigint, k: bigint>>)")
+    start = F.struct(F.col("left").alias("left"), F.lit((1 << 62) if most is None else most).cast("long").alias("more"), none.alias("takes"))
+
+    def take(acc: Column, x: Column) -> Column:
+        k = F.least(x["n"], F.floor(acc["left"] / x["size"]), acc["more"])
+        takes = F.when(k > 0, F.concat(acc["takes"], F.array(F.struct(x["size"].alias("size"), k.alias("k"))))).otherwise(acc["takes"])
+        return F.struct((acc["left"] - k * x["size"]).alias("left"), (acc["more"] - k).alias("more"), takes.alias("takes"))
+
+    takes = of.select("key", F.inline(F.aggregate("by_size", start, take)["takes"]))
+    takes = saved(takes.select("key", "size", F.struct("key", "size").alias("both"), F.col("k").cast("double").alias("k")), "takes", True)
+    some = saved(units.join(takes, ["key", "size"]).select(F.col("both").alias("key"), "h", F.lit(1).cast("long").alias("size")), "top-ups", True)
+    stops = thresholds(some, takes.select(F.col("both").alias("key"), F.col("k").alias("left")))
+    return saved(some.join(stops, "key").where(F.col("h") <= F.col("threshold")).select(F.col("key.key").alias("key"), "h"), "extras", True)
+
+
+def mix_plan(sizes: DataFrame, repeats: int = REPEATS, top_ups: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """For each key of (key, h, size) its ``source_size``, ``target``, ``whole`` and ``threshold``, and (key, h) of what is taken beyond thresholds.
+
+    Hashes up to the threshold or among the latter are taken once more than ``whole`` times.
+    """
     src = saved(targets(sizes.select("key", "size"), repeats=repeats), "targets", True)
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(repeats))).otherwise(0).cast("int")
     src = src.withColumn("whole", whole).withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
     plan = saved(src.drop("left").join(thresholds(sizes, src.select("key", "left")), "key"), "plan", True)
-    for n in range(TOP_UPS):
-        chosen = [f"extra{i}" for i in range(n)]
-        fits = (F.col("h") > F.col("threshold")) & (F.col("size") > 0) & (F.col("size") <= F.col("left"))
-        for c in chosen:
-            fits &= ~F.col(c).eqNullSafe(F.col("h"))
-        open_ = sizes.join(plan.select("key", "threshold", "left", *chosen), "key").where(fits)
-        best = open_.groupBy("key").agg(F.max("size").alias("size"))
-        best = open_.select("key", "size", "h").join(best, ["key", "size"]).groupBy("key", "size").agg(F.min("h").alias(f"extra{n}"))
-        plan = saved(plan.join(best, "key", "left").withColumn("left", F.col("left") - F.coalesce("size", F.lit(0))).drop("size"), "plan", True)
-    return plan
-
-
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS) -> DataFrame:
+    return plan, _top_ups(sizes, plan, top_ups)
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS, top_ups: int | None = None) -> DataFrame:
     """One row per input row: the id, ``source``, ``size``, ``source_size``, ``target``, ``times`` and ``taken``.
 
     ``times`` is how often the mix uses the document (0 to ``repeats``) and
-    ``taken`` is ``times * size``.  Documents are used whole.  A null text has
+    ``taken`` is ``times * size``.  Documents are used whole; what a
+    source misses of its target is less than any document it leaves out, unless
+    ``top_ups`` limits how many are taken beyond the threshold.  A null text has
     size 0; a null source is a source of its own, last in order; null ids
     count as one id.  Rows that share an id are taken or left together, so
     repeated rows can move a source's total by their joint size.  Empty
@@ -130,14 +154,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = _sized(columns(docs, id_col, text_col, source_col).toDF("doc_id", "text", "source"), "doc_id", "text", "source", seed).drop("text")
     sizes = saved(rows, "sizes")
-    plan = mix_plan(sizes.select(F.col("_key").alias("key"), F.col("_hash").alias("h"), F.col("_size").alias("size")), repeats)
-    out = _times(sizes, plan, repeats)
+    plan, extras = mix_plan(sizes.select(F.col("_key").alias("key"), F.col("_hash").alias("h"), F.col("_size").alias("size")), repeats, top_ups)
+    out = _times(sizes, plan, extras, repeats)
     return out.select(F.col("doc_id").alias(id_col), "source", F.col("_size").alias("size"), "source_size", "target", F.col("_times").alias("times"), (F.col("_times") * F.col("_size")).alias("taken"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS, top_ups: int | None = None) -> DataFrame:
     """The mix itself: the rows, each as often as the mix uses it. Texts are never shuffled: each row is held against its source's plan."""
     slim = _sized(columns(docs, id_col, text_col, source_col), id_col, text_col, source_col, seed)
-    plan = mix_plan(saved(slim.select(F.col("_key").alias("key"), F.col("_hash").alias("h"), F.col("_size").alias("size")), "sizes"), repeats)
-    rows = _times(_sized(docs, id_col, None, source_col, seed), plan, repeats).where("_times > 0")
+    plan, extras = mix_plan(saved(slim.select(F.col("_key").alias("key"), F.col("_hash").alias("h"), F.col("_size").alias("size")), "sizes"), repeats, top_ups)
+    rows = _times(_sized(docs, id_col, None, source_col, seed), plan, extras, repeats).where("_times > 0")
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -23,7 +23,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_sources(documents(spark, sf_dir), top_ups=2).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,6 +94,16 @@ def test_mixing_meets_targets(spark):
     assert mixed.columns == df.columns and mixed.groupBy("doc_id").count().join(out.where("times > 0"), "doc_id").where("count <> times").count() == 0
 
 
+def test_mixing_fills_past_a_long_document(spark):
+    rows = [(i, "w " * (20_000 if i % 300 == 0 else 100 + i % 7)) for i in range(1200)]
+    out = mixing.mix_sources(docs_of(spark, rows, ("a", "b", "c")), seed=4)
+    left = out.groupBy("source").agg((F.first("target") - F.sum("taken")).alias("left"), F.min("times").alias("low"))
+    open_ = out.join(left, "source").where("times = low and size <= left")
+    assert left.where("left < 0").count() == 0 and open_.count() == 0
+    mixed = mixing.mixed(docs_of(spark, rows, ("a", "b", "c")), seed=4).groupBy("doc_id").count()
+    assert {tuple(r) for r in mixed.collect()} == {(r["doc_id"], r["times"]) for r in out.where("times > 0").collect()}
+
+
 def test_mixing_of_nulls_and_repeats(spark, rows):
     out = mixing.mix_sources(docs_of(spark, rows))
     assert out.count() == len(rows) and out.where("size is null or taken is null or target is null").count() == 0
