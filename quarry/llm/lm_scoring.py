@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import blocks, lower_bytes, mix64, saved, squeeze, sums_by, unsqueeze
 
-DEPTH = 4
+DEPTH = 6
 BLOCK_BYTES, FAN_IN = 8 << 20, 64
 #: Every text ends with this byte, and contexts before a text's start are made of it.
 END = 10
@@ -318,9 +318,10 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             if cuts[s + 1] > cuts[s]:
                 logs[order[cuts[s] : cuts[s + 1]]] = unsqueeze(replied[s]["logs"], np.float32)
         each = np.zeros(len(key))
-        for a in range(0, len(key), 1 << 16):  # place in the low bits, so that sorted strings meet sorted grams
-            chunk = np.sort(key[a : a + (1 << 16)] << np.uint64(16) | np.arange(min(1 << 16, len(key) - a), dtype=np.uint64))
-            each[a + (chunk & np.uint64(0xFFFF)).astype(int)] = logs[np.searchsorted(grams, chunk >> np.uint64(16))]
+        for a in range(0, len(key), 1 << 16):  # in order, so that sorted strings meet sorted grams
+            chunk = key[a : a + (1 << 16)]
+            order = np.argsort(chunk)
+            each[a + order] = logs[np.searchsorted(grams, chunk[order])]
         score = np.add.reduceat(each, np.r_[0, ends[:-1]]) if len(ends) else each
         names: list[list[bytes]] = [[] for _ in range(shards)]
         for w in {w for b in bodies for w in b.split(b" ")} | {b""}:

@@ -287,6 +287,14 @@ def test_lm_scores(spark, monkeypatch):
         assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9) and math.isclose(a[6], b[6], rel_tol=1e-5)
 
 
+def test_lm_sees_more_than_a_word_of_four(spark):
+    ids = [i for i in range(100) if not lm_scoring.held_out(i)][:60]
+    # the byte after "xbcde" is told by the letter before it, five places back
+    rows = [(i, ("pbcdep " if n % 2 else "qbcdeq ") * 20) for n, i in enumerate(ids)]
+    got = lm_scoring.lm_score(docs_of(spark, rows)).agg(F.max("bits_per_byte").alias("most")).first()
+    assert got["most"] < 0.1
+
+
 def test_lm_without_training(spark):
     only = next(i for i in range(100) if lm_scoring.held_out(i))
     r = lm_scoring.lm_score(docs_of(spark, [(only, "ab")])).first()
