@@ -5,7 +5,7 @@ of ``16`` bits.  Two sets of similarity s differ in each value with probability
 1 - s.  All pairs within ``LIMIT = 2 * CHUNKS - 1`` differing values are found
 for certain: split over ``CHUNKS`` chunks, some chunk has at most one of them, so
 each set is indexed by every chunk with each one of its values left out.  At
-s = 0.85 a pair exceeds the limit of 19 in 50 with probability below 2e-5.
+s = 0.80 a pair exceeds the limit of 21 in 44 with probability below 1e-5.
 
 Sets that share an index key form groups.  Their members' full sets are read,
 and links are confirmed on those alone:
@@ -40,9 +40,9 @@ from pyspark.sql import functions as F
 from quarry.llm.common import columns, mix64, runs, saved, squeeze, texts_of, unsqueeze
 from quarry.llm.shingles import shingle_sets
 
-CHUNKS, WIDTH = 10, 5
+CHUNKS, WIDTH = 11, 4
 VALUES, LIMIT = CHUNKS * WIDTH, 2 * CHUNKS - 1
-#: Links have 100 * intersection >= PERCENT * union.
+#: Links have 100 * intersection >= percent * union, with this percent unless told otherwise.
 PERCENT = 85
 #: Characters of text that are hashed at a time.
 AT_ONCE = 1 << 18
@@ -76,8 +76,8 @@ def index_keys(values: np.ndarray) -> np.ndarray:
     return keys.reshape(len(values), CHUNKS * WIDTH)
 
 
-def near_enough(common: int, a: int, b: int) -> bool:
-    return 100 * common >= PERCENT * (a + b - common)
+def near_enough(common: int, a: int, b: int, percent: int = PERCENT) -> bool:
+    return 100 * common >= percent * (a + b - common)
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -137,12 +137,12 @@ def _values(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, VALUES)
 
 
-def _may_link(n: np.ndarray, alone: np.ndarray, m: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Whether sets of sizes n and m can share enough, given how many shingles of each no other set has: the intersection of a link is at least PERCENT / (100 + PERCENT) of both sizes."""
-    return (100 + PERCENT) * np.minimum(n - alone, m - other) >= PERCENT * (n + m)
+def _may_link(n: np.ndarray, alone: np.ndarray, m: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes n and m can share enough, given how many shingles of each no other set has: the intersection of a link is at least percent / (100 + percent) of both sizes."""
+    return (100 + percent) * np.minimum(n - alone, m - other) >= percent * (n + m)
 
 
-def _to_centre(members: DataFrame, known: DataFrame) -> DataFrame:
+def _to_centre(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of each group's most central member with the others, if they may link."""
     opened = members.select("grp", "node").join(known, "node")
     centre = opened.groupBy("grp").agg(F.min(F.struct("alone", "node", "n", "signature")).alias("p"))
@@ -150,14 +150,14 @@ def _to_centre(members: DataFrame, known: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, n, alone, b, m, other = (np.asarray(batch.column(i), np.int64) for i in (0, 1, 2, 4, 5, 6))
-            good = (a != b) & _may_link(n, alone, m, other) & ((_values(batch.column(3)) != _values(batch.column(7))).sum(1) <= LIMIT)
+            good = (a != b) & _may_link(n, alone, m, other, percent) & ((_values(batch.column(3)) != _values(batch.column(7))).sum(1) <= LIMIT)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[good]), pa.array(np.maximum(a, b)[good])], ["a", "b"])
 
     both = opened.join(centre, "grp").select("node", "n", "alone", "signature", "p.node", "p.n", "p.alone", "p.signature")
     return both.toDF(*"abcdefgh").mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def _pairs_of(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+def _pairs_of(rows: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """A row and the later rows that it may link to and isn't connected with, each pair in the first of its keys' groups only."""
     n, alone, label, part = (np.asarray(rows.column(c), np.int64) for c in ("n", "alone", "label", "part"))
     values, keys = _values(rows.column("signature")), np.array(rows.column("keys")[0].as_py())
@@ -165,7 +165,7 @@ def _pairs_of(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     for i in range(len(n)):
         for s in range(i + 1, len(n), TILE):
             to = slice(s, s + TILE)
-            at = np.flatnonzero(_may_link(n[i], alone[i], n[to], alone[to]) & (label[to] != label[i]) & ((part[to] != part[i]) | (not apart))) + s
+            at = np.flatnonzero(_may_link(n[i], alone[i], n[to], alone[to], percent) & (label[to] != label[i]) & ((part[to] != part[i]) | (not apart))) + s
             if not len(at):
                 continue
             differ = values[at] != values[i]
@@ -179,7 +179,7 @@ def _pairs_of(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
                 yield i, at
 
 
-def _across(members: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+def _across(members: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between nodes of a group that have different labels, confirmed on full sets.
 
     A large group is dealt out by pairs of parts of at most ``PART`` members,
@@ -196,7 +196,7 @@ def _across(members: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
 
     def narrowed(rows: pa.Table) -> pa.Table:
         some = np.zeros(rows.num_rows, bool)
-        for i, at in _pairs_of(rows):
+        for i, at in _pairs_of(rows, percent):
             some[i] = some[at] = True
         return rows.filter(pa.array(some))
 
@@ -211,14 +211,14 @@ def _across(members: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
             return v
 
         out = []
-        for i, at in _pairs_of(rows):
+        for i, at in _pairs_of(rows, percent):
             at = np.array([j for j in at.tolist() if root(label[j]) != root(label[i])], np.int64)
             if not len(at):
                 continue
             every = np.concatenate([sets[j] for j in at])
             place = np.minimum(np.searchsorted(sets[i], every), len(sets[i]) - 1)
             common = np.add.reduceat((sets[i][place] == every).astype(np.int64), np.cumsum(size[at]) - size[at])
-            for j in at[100 * common >= PERCENT * (size[at] + size[i] - common)].tolist():
+            for j in at[100 * common >= percent * (size[at] + size[i] - common)].tolist():
                 p, q = root(label[i]), root(label[j])
                 if p != q:  # one link is enough to connect them
                     above[max(p, q)] = min(p, q)
@@ -229,7 +229,7 @@ def _across(members: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
     return saved(few.join(sets.select("node", "shingles"), "node").groupBy(*task).applyInArrow(linked, "a bigint, b bigint"), "near-links", True)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are near enough."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +238,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             good = []
             for p, q in zip(x, y, strict=True):
                 p, q = unsqueeze(p, np.uint64), unsqueeze(q, np.uint64)
-                good.append(near_enough(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q)))
+                good.append(near_enough(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q), percent))
             yield pa.RecordBatch.from_pydict({"a": pa.array([v for v, g in zip(a, good, strict=True) if g], pa.int64()), "b": pa.array([v for v, g in zip(b, good, strict=True) if g], pa.int64())})
 
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
@@ -261,12 +261,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per input row: the id, ``n_shingles``, ``component_id``, ``kept`` and ``text_hash`` (XXH64 of the text).
 
     A document's set is its distinct five-word shingles with A-Z in lower
     case; with fewer words, the whole sequence as one.  Documents with
-    100 * intersection >= 85 * union are linked; ``component_id`` is the
+    100 * intersection >= ``percent`` * union are linked; pairs are found for
+    certain enough (see above) from 80 up; ``component_id`` is the
     smallest id reachable, nulls aside, and the row with that id is kept.
     Null texts and texts without words have the empty set, link with nothing
     and are kept.  Rows that share an id are one document as far as ``kept``
@@ -295,12 +296,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     alone = single.groupBy("node").agg(F.count("*").alias("alone"))
     known = nodes.join(wanted.select("node"), "node").join(alone, "node", "left").select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"), F.col("node").alias("label"), "signature")
     # what has too many shingles to itself can't reach the least similarity with anything
-    known = saved(known.where(100 * (F.col("n") - F.col("alone")) >= PERCENT * F.col("n")), "near-known", True)
+    known = saved(known.where(100 * (F.col("n") - F.col("alone")) >= percent * F.col("n")), "near-known", True)
     members = groups.select("grp", "keys", F.ceil(F.size("members") / PART).cast("int").alias("parts"), F.posexplode("members").alias("at", "node"))
-    links = _confirmed(saved(_to_centre(members, known), "near-pairs", True), sets)
+    links = _confirmed(saved(_to_centre(members, known, percent), "near-pairs", True), sets, percent)
     labels = components(links)
     now = known.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select("node", "n", "alone", "label", "signature")
-    labels = components(links.union(_across(members, saved(now, "near-known", True), sets)))
+    labels = components(links.union(_across(members, saved(now, "near-known", True), sets, percent)))
     of = nodes.join(labels, "node", "left").select("print", "doc_id", F.coalesce("label", "node").alias("label"))
     least = of.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of = of.join(least, "label").select("print", "component_id")
@@ -309,8 +310,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash")
 
 
-def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows that ``near_dedup`` keeps, with all their columns: one document of each component."""
-    judged = near_dedup(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_text")).distinct()
+    judged = near_dedup(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_text")).distinct()
     rows = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
     return rows.join(saved(judged, "near-judged", True), rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_anti").drop("_hash")

@@ -345,6 +345,19 @@ def test_near_dedup(spark, rows, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == {c for _, _, c in want}
 
 
+def test_near_copies_at_eighty_percent(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(0, 120, 2):
+        w = [f"w{rng.randrange(10**9)}" for _ in range(100)]
+        rows.append((i, " ".join(w)))
+        for k in (30, 70):  # 96 shingles, ten of them changed: 86 of 106 shared, 0.811
+            w[k] = "changed"
+        rows.append((i + 1, " ".join(w)))
+    kept = {p: {r["doc_id"] for r in near_dedup.without_near_copies(docs_of(spark, rows), percent=p).collect()} for p in (80, 85)}
+    assert kept[80] == set(range(0, 120, 2)) and kept[85] == set(range(120))
+
+
 def test_index_finds_all_pairs_within_the_limit():
     rng = np.random.default_rng(4)
     a = rng.integers(0, 1 << 16, (200, near_dedup.VALUES)).astype(np.uint16)
