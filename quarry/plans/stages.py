@@ -106,8 +106,11 @@ def compress(t: Tables, params: dict) -> Tables:
 
 
 def manifest(t: Tables, params: dict) -> Tables:
+    """All verdicts of the run; a run that lacks any gate's verdict isn't shippable."""
     every = _verdicts(*[t[n] for n in ("ingest_gates", "fuse_gates", "scale_gates", "layer_gates", "budget_gates")])
-    return {"gates": every, "summary": gates.summary(every)}
+    missing = every.agg(F.count_distinct("gate").alias("n")).select(F.col("n") < len(gates.GATES))
+    summary = gates.summary(every).crossJoin(missing.toDF("missing"))
+    return {"gates": every, "summary": summary.withColumn("shippable", F.col("shippable") & ~F.col("missing")).drop("missing")}
 
 
 STAGES = [

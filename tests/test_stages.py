@@ -10,7 +10,7 @@ import pandas as pd
 
 from quarry.functions import geometry as g
 from quarry.params import DEFAULTS, with_overrides
-from quarry.plans import runner, stages
+from quarry.plans import gates, runner, stages
 from quarry.sources import report
 
 
@@ -38,6 +38,12 @@ def test_run_of_a_room(spark, tmp_path):
     assert g.PIXEL in "(pi() / h)"
 
 
+def test_missing_verdicts_do_not_ship(spark):
+    good = gates.verdict(spark.createDataFrame([(0,)], "hits long"), "cleanplate_detector")
+    out = stages.manifest({n: good for n in ("ingest_gates", "fuse_gates", "scale_gates", "layer_gates", "budget_gates")}, DEFAULTS)
+    assert not out["summary"].first()["shippable"]
+
+
 def test_small_files():
     image = np.arange(24, dtype=np.uint8).reshape(2, 4, 3)
     assert report.png(image) == report.png(image.copy()) and report.png(image)[:4] == b"\x89PNG"
