@@ -14,9 +14,11 @@ any other rows.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +35,23 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
 
 
+@lru_cache(maxsize=8)
+def _private_dir(application: str) -> str:
+    return f"file://{tempfile.mkdtemp(prefix='quarry-shared-')}"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a private one only where none is configured, as in tests."""
+    """The folder all executors share: what ``spark.checkpoint.dir`` names.
+
+    Where it is unset, a folder of this machine serves if driver and executors
+    are one process (``local[n]``, as in tests); on a cluster that is an error,
+    since executors don't see each other's folders.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='quarry-shared-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = _private_dir(spark.sparkContext.applicationId)
     return f"{found.rstrip('/')}/quarry-{spark.sparkContext.applicationId}"
 
 
@@ -59,6 +72,27 @@ def saved(df: DataFrame, tag: str, slim: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a slim table (a few numbers and names each) up to which it is broadcast: some hundred megabytes.
+BROADCAST_ROWS = 2_000_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """The table, marked for broadcast if its number of rows allows; beyond that Spark joins as it sees fit."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, each lengthened until no column of the table has it, whatever its case."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 #: Rows that go to Python at a time: texts are long, and each task holds a batch several times over.
 ROWS_A_BATCH = 1000
 

@@ -1,14 +1,32 @@
-"""License scans by exact containment of word shingles, with DataFrame functions only.
+"""License scans: MinHash bands over text windows retrieve templates, exact containment judges them.
 
 A text becomes words (runs of a-z and 0-9 of the lower-cased text) and
-five-word shingles.  Shingles that occur in no template are left out at once;
-they match nothing.  Every template that shares a shingle with the text is
-judged: the share of the template's distinct shingles that the whole text holds
-must reach ``CONTAINED``.  No retrieval stands before that, since any banding
-misses some templates that a text holds in full.  Shingles are compared by
+five-word shingles.  A template matches if the whole text holds at least
+``CONTAINED`` of its distinct shingles.
+
+*Retrieval.* A template of n shingle places, of which a text holds 0.8 in order,
+has an unbroken run in the text: every break costs at least four shingles, so
+the longest run has 0.8 n / (n / 20 + 1) or more.  ``run_length`` stays at half of
+that or below, at one of ``RUNS``, so that texts which hold a template only in
+several damaged copies together are found too.  Every run of that length of a template is indexed, and
+every text is cut, all of it, into windows twice as long that overlap by half, so
+that each run lies wholly in some window and makes up half of it or more.  Windows
+of each run length meet only the templates of that length.  A window has
+``BANDS`` MinHash values, each a band of its own: bands of several values would
+need many more of them at similarity one half.  A value agrees with probability
+one half or more, so all 32 miss with probability 2**-32, if they were
+independent.  They come in two families (the shingle's hash, and its halves
+swapped), each with 16 orders, made by flipping the leading bits; within a family
+a small set's values are dependent, and what a test measures is the miss rate of
+whole scans: none in many thousand.  A run of one is a set of one, whose only
+MinHash value is the shingle itself.
+
+*Verdict.* Pairs of text and template that some band has retrieved, and no
+others, are judged by exact counts over the whole text.  Shingles are compared by
 64-bit hashes.
 
-Only the template table is broadcast; its size is fixed by ``TEMPLATES``.
+The index of the templates is broadcast while it has at most
+``common.BROADCAST_ROWS`` rows, else joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -16,11 +34,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import columns, saved
+from quarry.llm.common import columns, saved, sized
 from quarry.llm.license_texts import TEMPLATES
 
 SHINGLE = 5
 CONTAINED = 0.8
+#: Lengths of indexed runs, and the least number of shingle places of a template whose runs have that length.
+RUNS = {1: 1, 4: 20, 8: 60}
+ORDERS = 16
+BANDS = 2 * ORDERS
 
 
 def license_words(text: Column) -> Column:
@@ -36,30 +58,83 @@ def shingle_hashes(words: Column) -> Column:
     return F.when(F.size(words) >= SHINGLE, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
+def hashed(rows: DataFrame) -> DataFrame:
+    """The rows with ``hashes``, those of their shingles, in place of ``text``.
+
+    Words are a column of their own, since an expression inside a lambda is evaluated for each element.
+    """
+    rest = [c for c in rows.columns if c != "text"]
+    return rows.select(*rest, license_words(F.col("text")).alias("words")).select(*rest, shingle_hashes(F.col("words")).alias("hashes"))
+
+
+def run_length(places: Column) -> Column:
+    """Which of ``RUNS`` a template of so many shingle places is indexed by."""
+    out = F.lit(1)
+    for run, least in sorted(RUNS.items()):
+        out = F.when(places >= least, run).otherwise(out)
+    return out
+
+
+def windows(hashes: Column, size: int, stride: int) -> Column:
+    """Slices of an array, one at each multiple of the stride; the last ones may be shorter."""
+    return F.when(F.size(hashes) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(hashes) - 1) / stride).cast("int")), lambda i: F.slice(hashes, i * stride + 1, size))).otherwise(F.array().cast("array<array<bigint>>"))
+
+
+def banded(sets: DataFrame, run: int) -> DataFrame:
+    """The rows with one ``band`` value in place of ``w`` (an array of hashes): the least hash in each of ``BANDS`` orders."""
+    rest = [c for c in sets.columns if c != "w"]
+    if run == 1:
+        return sets.select(*rest, F.col("w")[0].alias("band"))
+    both = sets.withColumn("turned", F.transform("w", lambda x: F.shiftleft(x, 32).bitwiseOR(F.shiftrightunsigned(x, 32))))
+    masks = [((k << 60) + (1 << 63)) % (1 << 64) - (1 << 63) for k in range(ORDERS)]
+    least = [F.array_min(F.transform(c, lambda x, m=m: x.bitwiseXOR(F.lit(m)))) for c in ("w", "turned") for m in masks]
+    return both.select(*rest, F.explode(F.array(*least)).alias("band"))
+
+
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """(template, h, n): distinct shingles of each template and their number."""
+    """(template, n, run, hashes): number of distinct shingles, length of indexed runs, and all shingles in order; too short a template has none and is left out."""
     rows = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("template"), F.lit(v).alias("text")) for k, v in sorted(templates.items())])))
-    cut = rows.select("template", F.explode(shingle_hashes(license_words(F.col("text")))).alias("h"))
-    sizes = cut.groupBy("template").agg(F.count_distinct("h").alias("n"))
-    return cut.distinct().join(sizes, "template")
+    cut = hashed(rows).where(F.size("hashes") > 0)
+    return saved(cut.select("template", F.size(F.array_distinct("hashes")).cast("long").alias("n"), run_length(F.size("hashes")).alias("run"), "hashes"), "license-templates")
+
+
+def retrieved(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Distinct (id, mark, template) of rows (id, mark, hashes) that share a band with a run of the template."""
+    found = None
+    for run in sorted(RUNS):
+        of = table.where(F.col("run") == run)
+        parts = of.select("template", F.explode(F.transform(F.sequence(F.lit(1), F.size("hashes") - run + 1), lambda i: F.slice("hashes", i, run))).alias("w"))
+        index = sized(saved(banded(parts, run).distinct(), "license-index"))
+        cut = rows.select("id", "mark", F.explode(windows(F.col("hashes"), 2 * run if run > 1 else 1, run)).alias("w"))
+        hits = banded(cut, run).join(index, "band").select("id", "mark", "template")
+        found = hits if found is None else found.unionByName(hits)
+    return found.distinct()
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """A row for each text and template it contains: the id, ``template``, ``n_shingles``, ``n_matched``, ``containment``, ``first_word``, ``last_word``.
 
     ``n_shingles`` is the template's number of distinct shingles, ``n_matched``
-    how many of them the text holds, and the words are the places (from 0) of
-    the first and last word of what matched.  Null, empty and short texts
-    match nothing.  Repeated rows are scanned each.  An empty table gives an
-    empty result.  Other columns are ignored.
+    how many of them the whole text holds, and the words are the places (from 0)
+    of the first and last word of what matched.  Null, empty and short texts
+    match nothing.  Repeated rows are scanned each; null ids are ids.  Templates
+    of fewer than five words match nothing.  An empty table gives an empty
+    result.  Other columns are ignored.  A text of any length is one array of
+    eight bytes a word, and its windows one of sixteen bytes a word.
     """
-    shingles = F.broadcast(template_table(docs.sparkSession, templates))
-    rows = columns(docs, id_col, text_col).toDF("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    rows = rows.select("row", "doc_id", license_words(F.col("text")).alias("words"))
-    places = rows.select("row", "doc_id", F.posexplode(shingle_hashes(F.col("words"))).alias("at", "h"))
-    hits = saved(places.join(F.broadcast(shingles.select("h").distinct()), "h", "left_semi"), "license-hits")
-    matched = hits.join(shingles, "h").groupBy("row", "template").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n").alias("n_shingles"), F.count_distinct("h").alias("n_matched"), F.min("at").alias("first_word"), (F.max("at") + SHINGLE - 1).alias("last_word")
+    table = template_table(docs.sparkSession, templates)
+    texts = columns(docs, id_col, text_col).toDF("id", "text").withColumn("mark", F.xxhash64("text"))
+    pairs = saved(retrieved(hashed(texts), table), "license-pairs", True)
+    wanted = pairs.groupBy(F.col("id").alias("of"), F.col("mark").alias("its")).agg(F.collect_set("template").alias("templates"))
+    wanted = saved(wanted, "license-wanted", True)
+    open_ = texts.join(wanted, texts["id"].eqNullSafe(wanted["of"]) & (texts["mark"] == wanted["its"]))
+    open_ = hashed(open_.select("id", "templates", "text"))
+    open_ = saved(open_.withColumn("row", F.monotonically_increasing_id()), "license-open")
+    shingles = sized(saved(table.select("template", "n", F.explode(F.array_distinct("hashes")).alias("h")), "license-shingles"))
+    places = open_.select("row", "id", "templates", F.posexplode("hashes").alias("at", "h"))
+    hits = places.join(shingles, "h").where(F.array_contains("templates", F.col("template")))
+    matched = hits.groupBy("row", "template").agg(
+        F.first("id").alias("id"), F.first("n").alias("n_shingles"), F.count_distinct("h").alias("n_matched"), F.min("at").alias("first_word"), (F.max("at") + SHINGLE - 1).alias("last_word")
     )
     share = F.col("n_matched") / F.col("n_shingles")
-    return matched.where(share >= CONTAINED).select(F.col("doc_id").alias(id_col), "template", "n_shingles", "n_matched", F.round(share, 6).alias("containment"), "first_word", "last_word")
+    return matched.where(share >= CONTAINED).select(F.col("id").alias(id_col), "template", "n_shingles", "n_matched", F.round(share, 6).alias("containment"), "first_word", "last_word")

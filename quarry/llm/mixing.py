@@ -1,7 +1,8 @@
 """Mixing sources to target weights with hash-threshold histograms.
 
-Every document has a fixed 60-bit hash of its id.  For each source the words
-are summed by the leading ``BITS`` bits of the hash; the running sum shows the
+Every document has a fixed 60-bit hash: 40 bits of its id and, below them, 20 of
+its text, which tell rows apart that share an id.  For each source the words are
+summed by the leading ``BITS`` bits of the hash; the running sum shows the
 bucket in which the source's budget runs out, and only that bucket is split by
 the next bits, ``LEVELS`` times.  What is left of it is resolved by single hash
 values.  A document is taken if its hash is at or below its source's threshold,
@@ -16,9 +17,11 @@ which the threshold stopped, so their list is short.
 
 A histogram has at most ``2**BITS`` rows per source, and the sums are combined
 before the shuffle, so one source with a third of all rows costs no more than
-others.  The table of sources (one row each) is joined by Spark's own choice:
-broadcast if its measured size allows, else by a shuffle whose hot keys
-adaptive execution splits.
+others.  Sources may be many: their places come from a range sort with an offset
+for each partition, and the level at which water-filling settles from a few
+aggregates over all sources.  The table of sources (one row each) is joined by
+Spark's own choice: broadcast if its measured size allows, else by a shuffle
+whose hot keys adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -27,9 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarry.llm.common import columns, saved, words_in
+from quarry.llm.common import columns, saved, unused, words_in
 
 BITS, LEVELS, WIDTH = 12, 3, 60
+#: Bits of the hash that come from the text.
+TEXT_BITS = 20
 #: No document is used more often.
 REPEATS = 3
 
@@ -40,25 +45,43 @@ def unit_hash(key: Column, seed: int = 0) -> Column:
     return F.conv(F.substring(digest, 1, WIDTH // 4), 16, 10).cast("long")
 
 
+def row_hash(key: Column, text: Column, seed: int = 0) -> Column:
+    """The leading bits of the id's hash, then bits of the text's; null texts count as empty."""
+    low = (1 << TEXT_BITS) - 1
+    return F.shiftleft(F.shiftright(unit_hash(key, seed), TEXT_BITS), TEXT_BITS).bitwiseOR(F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(low)))
+
+
+def placed(sources: DataFrame) -> DataFrame:
+    """The rows with ``place``, from 0 in order of ``key``: a range sort, and an offset for each of its partitions."""
+    part = F.shiftright("at", 33)
+    ordered = saved(sources.repartitionByRange("key").sortWithinPartitions("key").withColumn("at", F.monotonically_increasing_id()), "sources", True)
+    counts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # a row for each partition
+    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("part", before.alias("offset"))
+    return ordered.withColumn("part", part).join(offsets, "part").withColumn("place", F.col("offset") + F.col("at") - F.shiftleft("part", 33)).drop("part", "offset", "at")
+
+
 def targets(sizes: DataFrame, weights: Column | None = None, repeats: int = REPEATS) -> DataFrame:
     """(key, source_size, target) from rows (key, size): shares by weight, none above ``repeats`` times the source.
 
     Sources in order of their key weigh 1, 2, 3, 1, ... unless ``weights`` (an
     expression over ``place``, from 0, and ``key``) says otherwise.  Sources
-    that reach their limit give what they cannot use to the others by weight.
+    that reach their limit give what they cannot use to the others by weight:
+    the level is raised to what the words left make for the weights left, until
+    no further source falls below it.
     """
-    place = F.row_number().over(W.orderBy("key")) - 1
-    src = sizes.groupBy("key").agg(F.sum("size").alias("source_size")).withColumn("place", place)
+    src = placed(sizes.groupBy("key").agg(F.sum("size").alias("source_size")))
     src = src.withColumn("weight", (F.col("place") % 3 + 1) if weights is None else weights).withColumn("most", F.col("source_size") * F.lit(repeats))
-    order = W.orderBy("room", "place")
-    src = src.withColumn("room", F.col("most") / F.col("weight"))
-    before, rest = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(0, W.unboundedFollowing)
-    whole = W.partitionBy()
-    src = src.withColumn("step", F.row_number().over(order)).withColumn("each", (F.sum("source_size").over(whole) - F.coalesce(F.sum("most").over(before), F.lit(0))) / F.sum("weight").over(rest))
-    src = src.withColumn("first", F.min(F.when(F.col("each") <= F.col("room"), F.col("step"))).over(whole))
-    src = src.withColumn("share", F.max(F.when(F.col("step") == F.col("first"), F.col("each"))).over(whole))
-    target = F.when(F.col("step") < F.col("first"), F.col("most").cast("double")).otherwise(F.least(F.col("share") * F.col("weight"), F.col("most").cast("double")))
-    return src.select("key", "source_size", target.alias("target"))
+    src = saved(src.withColumn("room", F.col("most") / F.col("weight")), "weights", True)
+    level, last = -1.0, None
+    while level != last:
+        full = F.col("room") < F.lit(level)
+        now = src.agg(F.sum("source_size").alias("words"), F.sum(F.when(full, F.col("most")).otherwise(0)).alias("given"), F.sum(F.when(full, 0).otherwise(F.col("weight"))).alias("weight")).first()
+        if not now["weight"]:
+            break
+        last, level = level, float(now["words"] - now["given"]) / float(now["weight"])
+    most = F.col("most").cast("double")
+    return src.select("key", "source_size", F.when(F.col("room") < level, most).otherwise(F.least(F.lit(level) * F.col("weight"), most)).alias("target"))
 
 
 def _boundary(units: DataFrame, by: str) -> DataFrame:
@@ -86,23 +109,18 @@ def thresholds(sizes: DataFrame, budget: DataFrame) -> DataFrame:
     return out.select("key", F.coalesce("threshold", F.lit(1 << WIDTH)).alias("threshold"), F.coalesce("left_over", F.lit(0.0)).alias("left"))
 
 
-def _sized(docs: DataFrame, id_col: str, text_col: str | None, source_col: str, seed: int) -> DataFrame:
-    """The rows with what the plan decides by: ``_key``, ``_hash`` and, given a text, ``_size``."""
-    source = F.col(f"`{source_col}`")
-    rows = docs.withColumn("_key", F.coalesce(F.concat(F.lit("0"), source), F.lit("1"))).withColumn("_hash", unit_hash(F.col(f"`{id_col}`"), seed))
-    return rows if text_col is None else rows.withColumn("_size", words_in(F.col(f"`{text_col}`")))
+def _times(rows: DataFrame, plan: DataFrame, extras: DataFrame, repeats: int, key: str, h: str, times: str, more: tuple[str, ...] = ()) -> DataFrame:
+    """The rows, each with how often the mix takes it (column ``times``) and ``more`` columns of the plan."""
+    own = [F.col(f"r.`{c}`") for c in rows.columns]
+    joined = rows.alias("r").join(plan.alias("p"), F.col(f"r.`{key}`") == F.col("p.key"))
+    extras = extras.select("key", "h", F.lit(True).alias("extra")).alias("e")
+    joined = joined.join(extras, (F.col(f"r.`{key}`") == F.col("e.key")) & (F.col(f"r.`{h}`") == F.col("e.h")), "left")
+    once_more = (F.col(f"r.`{h}`") <= F.col("p.threshold")) | F.coalesce(F.col("e.extra"), F.lit(False))
+    return joined.select(*own, F.least(F.col("p.whole") + once_more.cast("int"), F.lit(repeats)).alias(times), *[F.col(f"p.{c}") for c in more])
 
 
-def _times(rows: DataFrame, plan: DataFrame, extras: DataFrame, repeats: int) -> DataFrame:
-    """Rows of ``_sized`` with the plan's columns and ``_times``."""
-    more = (F.col("_hash") <= F.col("threshold")) | F.coalesce("extra", F.lit(False))
-    extras = extras.select(F.col("key").alias("_key"), F.col("h").alias("_hash"), F.lit(True).alias("extra"))
-    rows = rows.join(plan.withColumnRenamed("key", "_key"), "_key").join(extras, ["_key", "_hash"], "left")
-    return rows.withColumn("_times", F.least(F.col("whole") + more.cast("int"), F.lit(repeats)))
-
-
-def _top_ups(sizes: DataFrame, plan: DataFrame, most: int | None) -> DataFrame:
-    """(key, h) beyond the threshold: each the largest that still fits into ``left``, until none fits or there are ``most``.
+def _top_ups(sizes: DataFrame, plan: DataFrame) -> DataFrame:
+    """(key, h) beyond the threshold: each the largest that still fits into ``left``, until none fits.
 
     Rows that share a hash count with their joint size.
     """
@@ -110,14 +128,14 @@ def _top_ups(sizes: DataFrame, plan: DataFrame, most: int | None) -> DataFrame:
     units = beyond.groupBy("key", "h").agg(F.sum("size").alias("size"), F.first("left").alias("left"))
     units = saved(units.where("size > 0 and size <= left"), "open", True)
     counts = units.groupBy("key", "size").agg(F.count("*").alias("n"), F.first("left").alias("left"))
+    # as many entries as there are sizes below that of the document at the threshold
     of = counts.groupBy("key").agg(F.first("left").alias("left"), F.sort_array(F.collect_list(F.struct("size", "n")), False).alias("by_size"))
-    none = F.expr("cast(array() as array<struct<size: bigint, k: bigint>>)")
-    start = F.struct(F.col("left").alias("left"), F.lit((1 << 62) if most is None else most).cast("long").alias("more"), none.alias("takes"))
+    start = F.struct(F.col("left").alias("left"), F.expr("cast(array() as array<struct<size: bigint, k: bigint>>)").alias("takes"))
 
     def take(acc: Column, x: Column) -> Column:
-        k = F.least(x["n"], F.floor(acc["left"] / x["size"]), acc["more"])
+        k = F.least(x["n"], F.floor(acc["left"] / x["size"]))
         takes = F.when(k > 0, F.concat(acc["takes"], F.array(F.struct(x["size"].alias("size"), k.alias("k"))))).otherwise(acc["takes"])
-        return F.struct((acc["left"] - k * x["size"]).alias("left"), (acc["more"] - k).alias("more"), takes.alias("takes"))
+        return F.struct((acc["left"] - k * x["size"]).alias("left"), takes.alias("takes"))
 
     takes = of.select("key", F.inline(F.aggregate("by_size", start, take)["takes"]))
     takes = saved(takes.select("key", "size", F.struct("key", "size").alias("both"), F.col("k").cast("double").alias("k")), "takes", True)
@@ -126,7 +144,7 @@ def _top_ups(sizes: DataFrame, plan: DataFrame, most: int | None) -> DataFrame:
     return saved(some.join(stops, "key").where(F.col("h") <= F.col("threshold")).select(F.col("key.key").alias("key"), "h"), "extras", True)
 
 
-def mix_plan(sizes: DataFrame, repeats: int = REPEATS, top_ups: int | None = None) -> tuple[DataFrame, DataFrame]:
+def mix_plan(sizes: DataFrame, repeats: int = REPEATS) -> tuple[DataFrame, DataFrame]:
     """For each key of (key, h, size) its ``source_size``, ``target``, ``whole`` and ``threshold``, and (key, h) of what is taken beyond thresholds.
 
     Hashes up to the threshold or among the latter are taken once more than ``whole`` times.
@@ -135,33 +153,47 @@ def mix_plan(sizes: DataFrame, repeats: int = REPEATS, top_ups: int | None = Non
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(repeats))).otherwise(0).cast("int")
     src = src.withColumn("whole", whole).withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
     plan = saved(src.drop("left").join(thresholds(sizes, src.select("key", "left")), "key"), "plan", True)
-    return plan, _top_ups(sizes, plan, top_ups)
+    return plan, _top_ups(sizes, plan)
+
 
+def _keyed(source: Column) -> Column:
+    """Sources in order of code points, null after all others."""
+    return F.coalesce(F.concat(F.lit("0"), source.cast("string")), F.lit("1"))
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS, top_ups: int | None = None) -> DataFrame:
+
+def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """(id, source, key, h, size) of the rows, saved."""
+    rows = columns(docs, id_col, text_col, source_col).toDF("id", "text", "source")
+    return saved(rows.select("id", "source", _keyed(F.col("source")).alias("key"), row_hash(F.col("id"), F.col("text"), seed).alias("h"), words_in(F.col("text")).alias("size")), "sizes")
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS) -> DataFrame:
     """One row per input row: the id, ``source``, ``size``, ``source_size``, ``target``, ``times`` and ``taken``.
 
     ``times`` is how often the mix uses the document (0 to ``repeats``) and
-    ``taken`` is ``times * size``.  Documents are used whole; what a
-    source misses of its target is less than any document it leaves out, unless
-    ``top_ups`` limits how many are taken beyond the threshold.  A null text has
-    size 0; a null source is a source of its own, last in order; null ids
-    count as one id.  Rows that share an id are taken or left together, so
-    repeated rows can move a source's total by their joint size.  Empty
-    documents come with whatever threshold their hash falls under and take
-    nothing.  An empty table gives an empty result.  Reruns agree, whatever
-    the partitioning.
+    ``taken`` is ``times * size``.  Documents are used whole, and no source takes
+    more than its target; what it misses of it is less than any document it
+    leaves out.  A null text has size 0; a null source is a source of its own,
+    last in order; null ids count as one id.  Rows that share an id are told
+    apart by their texts; rows that share both are one document of their joint
+    size, taken or left together.  Empty documents come with whatever threshold
+    their hash falls under and take nothing.  An empty table gives an empty
+    result.  Reruns agree, whatever the partitioning.
+    """
+    sizes = _measured(docs, id_col, text_col, source_col, seed)
+    plan, extras = mix_plan(sizes.select("key", "h", "size"), repeats)
+    out = _times(sizes, plan, extras, repeats, "key", "h", "times", ("source_size", "target"))
+    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS) -> DataFrame:
+    """The mix itself: the rows, each as often as the mix uses it, with all their columns, whatever their names.
+
+    Nulls, repeats and empty tables are as in ``mix_sources``.  Texts are never
+    shuffled: each row is held against its source's plan.
     """
-    rows = _sized(columns(docs, id_col, text_col, source_col).toDF("doc_id", "text", "source"), "doc_id", "text", "source", seed).drop("text")
-    sizes = saved(rows, "sizes")
-    plan, extras = mix_plan(sizes.select(F.col("_key").alias("key"), F.col("_hash").alias("h"), F.col("_size").alias("size")), repeats, top_ups)
-    out = _times(sizes, plan, extras, repeats)
-    return out.select(F.col("doc_id").alias(id_col), "source", F.col("_size").alias("size"), "source_size", "target", F.col("_times").alias("times"), (F.col("_times") * F.col("_size")).alias("taken"))
-
-
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, repeats: int = REPEATS, top_ups: int | None = None) -> DataFrame:
-    """The mix itself: the rows, each as often as the mix uses it. Texts are never shuffled: each row is held against its source's plan."""
-    slim = _sized(columns(docs, id_col, text_col, source_col), id_col, text_col, source_col, seed)
-    plan, extras = mix_plan(saved(slim.select(F.col("_key").alias("key"), F.col("_hash").alias("h"), F.col("_size").alias("size")), "sizes"), repeats, top_ups)
-    rows = _times(_sized(docs, id_col, None, source_col, seed), plan, extras, repeats).where("_times > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan, extras = mix_plan(_measured(docs, id_col, text_col, source_col, seed).select("key", "h", "size"), repeats)
+    key, h, times, copy = unused(docs, "key", "h", "times", "copy")
+    rows = docs.withColumns({key: _keyed(F.col(f"`{source_col}`")), h: row_hash(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed)})
+    rows = _times(rows, plan, extras, repeats, key, h, times).where(F.col(f"`{times}`") > 0)
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(f"`{times}`")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -9,7 +9,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 """
 
 MIXING = r"""
-WITH s AS (
+WITH RECURSIVE s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
 a AS (SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY source),
@@ -26,12 +26,11 @@ j AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size)
 k AS (SELECT s.*, source_size, target, whole, target - whole * source_size AS budget,
         sum(size) OVER (PARTITION BY s.source ORDER BY h)::BIGINT AS run FROM s JOIN j ON s.source IS NOT DISTINCT FROM j.source),
 l AS (SELECT *, run <= budget AS fits, budget - coalesce(max(CASE WHEN run <= budget THEN run END) OVER (PARTITION BY source), 0) AS gap FROM k),
-m AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY (NOT fits AND size > 0 AND size <= gap) DESC, size DESC, h) = 1
-        AND NOT fits AND size > 0 AND size <= gap AS extra0 FROM l),
-n AS (SELECT *, gap - coalesce(max(CASE WHEN extra0 THEN size END) OVER (PARTITION BY source), 0) AS gap1 FROM m),
-o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY (NOT fits AND NOT extra0 AND size > 0 AND size <= gap1) DESC, size DESC, h) = 1
-        AND NOT fits AND NOT extra0 AND size > 0 AND size <= gap1 AS extra1 FROM n)
-SELECT doc_id, size, source_size, target, (least(whole + (fits OR extra0 OR extra1)::INT, 3) * size)::BIGINT AS taken FROM o
+m AS (SELECT source, doc_id, size, gap, row_number() OVER (PARTITION BY source ORDER BY size DESC, h) AS i FROM l WHERE NOT fits AND size > 0 AND size <= gap),
+n AS (SELECT DISTINCT source, 0::BIGINT AS i, gap, NULL::BIGINT AS doc_id, false AS extra FROM m
+      UNION ALL SELECT m.source, m.i, n.gap - CASE WHEN m.size <= n.gap THEN m.size ELSE 0 END, m.doc_id, m.size <= n.gap FROM n JOIN m ON m.i = n.i + 1 AND m.source IS NOT DISTINCT FROM n.source)
+SELECT l.doc_id, size, source_size, target, (least(whole + (fits OR coalesce(extra, false))::INT, 3) * size)::BIGINT AS taken
+FROM l LEFT JOIN (SELECT doc_id, extra FROM n WHERE extra) x ON x.doc_id = l.doc_id
 """
 
 LICENSE_SCAN = rf"""
