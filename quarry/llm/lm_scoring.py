@@ -10,18 +10,28 @@ training the counts stand still: a decision's probability is the mixture along
 the path of its context, and where a path leaves the tree the rest of the
 weight says one half.
 
-Counts come from all training texts, and both the counts and the tree are
-spread over shards by the last two bytes of context:
+Counts come from all training texts, none is pruned, and both the counts and the
+tree are spread over shards that are ranges of contexts, ordered by their last
+byte, then the one before, and so on.  The bounds are quantiles of the texts'
+own contexts, so that a frequent ending is cut as finely as it needs:
 
 1. Documents are packed in blocks.  Each block lists its distinct
-   (context, byte) strings and words, with their training counts.
-2. Lists of about ``FAN_IN`` blocks at a time are added up, shard by shard,
-   level by level, until each shard has one.
-3. Depths 0 and 1 span all shards.  Their counts and children's products are
-   256 x 256 numbers, added up on the driver and sent with the tasks.
+   (context, byte) strings and words, with their training counts, and sends each
+   shard its part.
+2. A shard adds up the lists that it got, and builds the nodes whose contexts lie
+   wholly in its range.  Contexts that a bound cuts, at most ``DEPTH`` for each
+   bound, are left open: the shard gives their counts and the products of the
+   children it has, as far as it has them.
+3. These parts are added up by context.  The driver gets one row for each open
+   context (a few kilobytes, as many as there are bounds times depths at most)
+   and weighs them from the deepest to the root.
 4. Each shard answers each block's list with log-probabilities and word counts.
 5. Each block scores its documents from the answers.
 
+There are as many shards as blocks, so what a shard holds doesn't grow with the
+corpus; what grows is the number of lists, blocks times shards.  Log-probabilities
+travel as doubles of 37 significant bits.
+
 The base score is the unigram model with one added to each count.
 """
 
@@ -36,13 +46,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import blocks, lower_bytes, mix64, saved, squeeze, sums_by, unsqueeze
+from quarry.llm.common import blocks, lower_bytes, planes, saved, squeeze, sums_by, table, unplanes, unsqueeze
 
-DEPTH = 6
-BLOCK_BYTES, FAN_IN = 8 << 20, 64
+#: Bytes of context, by default and at most: a string of context and byte must fit 64 bits.
+DEPTH, DEEPEST = 6, 7
+BLOCK_BYTES = 8 << 20
+#: Places whose strings are in memory at a time.
+AT_ONCE = 1 << 21
+#: Of so many places of a block, one tells where bounds of shards should be.
+SPARSE = 997
 #: Every text ends with this byte, and contexts before a text's start are made of it.
 END = 10
-CELLS = "shard int, salt int, block bigint, grams binary, gram_counts binary, words binary, word_counts binary"
 _HALF_LOGS = np.concatenate([[0.0], np.cumsum(np.log(np.arange(4096) + 0.5))])  # of (n - 1/2)(n - 3/2)...(1/2)
 _LOGS = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 8193)))])  # of n!
 
@@ -70,108 +84,171 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_half(zeros) + _log_half(ones) - _log_factorial(zeros + ones)
 
 
-def stream(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The (context, byte) string at each predicted place, last byte of context first, and where each text's places end."""
-    pad = bytes([END]) * DEPTH
-    raw = np.frombuffer(pad.join([b"", *[b + bytes([END]) for b in bodies]]), np.uint8)
-    ends = np.cumsum([len(b) + 1 + DEPTH for b in bodies], dtype=np.int64)
-    wide = raw.astype(np.uint64)
-    at = np.ones(len(raw), bool)
-    for d in range(DEPTH):
-        at[np.r_[0, ends[:-1]] + d] = False
-    at = np.flatnonzero(at)
-    key = wide[at].copy()
-    for d in range(1, DEPTH + 1):
-        key |= wide[at - d] << np.uint64(8 * (DEPTH + 1 - d))
-    return key, np.cumsum([len(b) + 1 for b in bodies], dtype=np.int64)
+class Places:
+    """The predicted places of some texts, and the strings of context and byte there.
 
+    A string has the byte lowest, the last byte of context highest.
+    """
 
-def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
-    top = grams >> np.uint64(8 * (DEPTH - 1))
-    return ((top * np.uint64(2654435761)) >> np.uint64(7)) % np.uint64(shards)
+    def __init__(self, bodies: list[bytes], depth: int) -> None:
+        self.depth, pad = depth, bytes([END]) * depth
+        self.raw = np.frombuffer(pad.join([b"", *[b + bytes([END]) for b in bodies]]), np.uint8)
+        #: where each text's places end, counted in places
+        self.ends = np.cumsum([len(b) + 1 for b in bodies], dtype=np.int64)
+        starts = np.r_[0, self.ends[:-1]] + depth * np.arange(len(bodies)) if len(bodies) else np.zeros(0, np.int64)
+        told = np.ones(len(self.raw), bool)
+        for d in range(depth):
+            told[starts + d] = False
+        self.at = np.flatnonzero(told)
+
+    def strings(self, at: np.ndarray) -> np.ndarray:
+        key = self.raw[at].astype(np.uint64)
+        for d in range(1, self.depth + 1):
+            key |= self.raw[at - d].astype(np.uint64) << np.uint64(8 * (self.depth + 1 - d))
+        return key
+
+    def pieces(self) -> Iterator[np.ndarray]:
+        """The strings, in order, some at a time."""
+        for start in range(0, len(self.at), AT_ONCE):
+            yield self.strings(self.at[start : start + AT_ONCE])
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct strings in order and how often each occurs."""
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for piece in self.pieces():
+            new, n = distinct(piece)
+            keys, counts = (new, n) if not len(keys) else sums_by(np.concatenate([keys, new]), np.concatenate([counts, n]))
+        return keys, counts
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keys = np.sort(keys)
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    first = firsts(keys)
     return keys[first], np.diff(np.r_[first, len(keys)])
 
 
+def firsts(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+
+
+def split_contexts(bounds: list[int], d: int, depth: int) -> np.ndarray:
+    """The contexts of depth d that some of the bounds (contexts of full depth) cut; the root always counts as cut."""
+    if d == 0:
+        return np.zeros(1, np.uint64)
+    below = 8 * (depth - d)
+    return np.array(sorted({b >> below for b in bounds if b & ((1 << below) - 1)}), np.uint64)
+
+
 class Tree:
-    """Nodes of depth 2 and more of the trees over some distinct (context, byte) strings and their counts."""
-
-    def __init__(self, grams: np.ndarray, counts: np.ndarray) -> None:
-        self.nodes: dict[tuple[int, int], tuple[np.ndarray, ...]] = {}
-        held = counts > 0
-        grams, counts = grams[held], counts[held].astype(np.int64)
-        self.pairs = np.zeros((256, 256), np.int64)
-        np.add.at(self.pairs, ((grams >> np.uint64(8 * DEPTH)).astype(int), (grams & np.uint64(255)).astype(int)), counts)
-        below: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.products = np.zeros((256, 256))
-        for d in range(DEPTH, 1, -1):
-            keys, sums = sums_by((grams >> np.uint64(8 * (DEPTH + 1 - d))) << np.uint64(8) | grams & np.uint64(255), counts)
+    """The trees over the distinct strings of one range of contexts, with their counts (0 where only held-out texts have one).
+
+    ``levels[d]`` has, for the strings cut to d bytes of context, ``keys``, the
+    place ``above`` of each in the level above, and for each of a byte's eight
+    decisions its nodes: their number for each key, what they are, the share of
+    their own estimate, that estimate, and whether training has seen them.
+    """
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int, bounds: list[int]) -> None:
+        self.depth, self.levels, self.open = depth, {}, {}
+        keys, sums = grams, counts.astype(np.int64)
+        wholes: list[np.ndarray] = []  # of the level below, by decision
+        below: dict = {}
+        for d in range(depth, -1, -1):
+            split = split_contexts(bounds, d, depth)
+            here = {"keys": keys, "number": [], "node": [], "stop": [], "one": [], "seen": []}
+            mine, products = [], np.zeros((len(split), 256))
             for t in range(8):
                 node = keys >> np.uint64(8 - t)
-                first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
-                one = (keys >> np.uint64(7 - t)) & np.uint64(1)
-                n = np.add.reduceat(sums, first) if len(first) else sums[:0]
-                ones = np.add.reduceat(np.where(one == 1, sums, 0), first) if len(first) else sums[:0]
-                node, own = node[first], log_kt(n - ones, ones)
-                whole = own
-                if d < DEPTH:
-                    parents, child = below[t]
-                    whole = np.log(0.5) + np.logaddexp(own, np.bincount(np.searchsorted(node, parents), weights=child, minlength=len(node)))
-                stop = np.exp(np.log(0.5) + own - whole) if d < DEPTH else np.ones(len(node))
-                self.nodes[d, t] = node, stop, (ones + 0.5) / (n + 1.0)
-                # the parent has one byte of context less: drop it from between the context and the bits
-                low = node & np.uint64((1 << t) - 1)
-                below[t] = (node >> np.uint64(t + 8)) << np.uint64(t) | low, whole
-                if d == 2:
-                    np.add.at(self.products, ((node >> np.uint64(t + 8)).astype(int), (1 << t | low).astype(int)), whole)
-
-    def log10(self, grams: np.ndarray, top: tuple[np.ndarray, ...]) -> np.ndarray:
-        """Log-probability of each string's last byte given the rest."""
-        stop0, one0, stop1, one1 = top
-        last, byte = (grams >> np.uint64(8 * DEPTH)).astype(int), (grams & np.uint64(255)).astype(int)
-        total = np.zeros(len(grams))
+                first = firsts(node)
+                number = np.zeros(len(keys), np.int32)
+                number[first[1:]] = 1
+                number = np.cumsum(number, dtype=np.int32)
+                node, bit = node[first], (keys >> np.uint64(7 - t)) & np.uint64(1)
+                n, ones = (np.add.reduceat(v, first) if len(first) else sums[:0] for v in (sums, np.where(bit == 1, sums, 0)))
+                own = log_kt(n - ones, ones)
+                if d == depth:
+                    product, whole, stop = np.zeros(len(node)), own, np.ones(len(node))
+                else:
+                    parent = number[below["above"][below["first"][t]]]
+                    product = np.bincount(parent, weights=wholes[t], minlength=len(node))
+                    whole = np.log(0.5) + np.logaddexp(own, product)
+                    stop = np.exp(np.log(0.5) + own - whole)
+                # what a cut context's children here add to its product; the rest is settled above
+                cut = np.flatnonzero(np.isin(node >> np.uint64(t), split)) if d < depth else np.zeros(0, np.int64)
+                products[np.searchsorted(split, node[cut] >> np.uint64(t)), (1 << t) + (node[cut] & np.uint64((1 << t) - 1)).astype(int)] = product[cut]
+                whole[cut] = 0.0
+                mine.append(whole)
+                for name, value in (("number", number), ("node", node), ("stop", stop), ("one", (ones + 0.5) / (n + 1.0)), ("seen", n > 0)):
+                    here[name].append(value)
+                here.setdefault("first", []).append(first)
+            if d < depth:
+                for i, context in enumerate(split.tolist()):
+                    of = keys >> np.uint64(8) == np.uint64(context)
+                    if of.any():
+                        self.open[d, context] = np.bincount((keys[of] & np.uint64(255)).astype(int), weights=sums[of], minlength=256).astype(np.int64), products[i]
+            self.levels[d], wholes, below = here, mine, here
+            if d:
+                up = ((keys >> np.uint64(16)) << np.uint64(8)) | keys & np.uint64(255)
+                order = np.argsort(up, kind="stable")
+                first = firsts(up[order])
+                above = np.zeros(len(up), np.int32)
+                place = np.zeros(len(up), np.int32)
+                place[first[1:]] = 1
+                above[order] = np.cumsum(place, dtype=np.int32)
+                here["above"] = above
+                keys, sums = up[order][first], np.add.reduceat(sums[order], first) if len(first) else sums[:0]
+
+    def log10(self, top: dict) -> np.ndarray:
+        """Log-probability of each string's last byte given the rest; ``top`` has the settled nodes of cut contexts."""
+        chance: list = [0.0] * 8
+        weight: list = [1.0] * 8
+        for d in range(self.depth + 1):
+            here = self.levels[d]
+            settled = {context: unpacked(held) for (depth, context), held in top.items() if depth == d and len(here["keys"])}
+            for t in range(8):
+                node, stop, one, seen = (here[k][t] for k in ("node", "stop", "one", "seen"))
+                for context, (its_stop, its_one, its_seen) in settled.items():
+                    of = np.flatnonzero(node >> np.uint64(t) == np.uint64(context))
+                    prefix = (1 << t) + (node[of] & np.uint64((1 << t) - 1)).astype(int)
+                    stop[of], one[of], seen[of] = its_stop[prefix], its_one[prefix], its_seen[prefix]
+                at = here["number"][t]
+                if d:
+                    chance[t], weight[t] = chance[t][here["above"]], weight[t][here["above"]]
+                add, keep = np.where(seen, stop * one, 0.0), np.where(seen, 1 - stop, 1.0)
+                chance[t] = chance[t] + weight[t] * add[at]
+                weight[t] = weight[t] * keep[at]
+        byte, total = self.levels[self.depth]["keys"] & np.uint64(255), 0.0
         for t in range(8):
-            prefix = 1 << t | byte >> (8 - t)
-            chance, weight = stop0[prefix] * one0[prefix], 1 - stop0[prefix]
-            chance += weight * stop1[last, prefix] * one1[last, prefix]
-            weight = weight * (1 - stop1[last, prefix])
-            for d in range(2, DEPTH + 1):
-                node, stop, one = self.nodes[d, t]
-                want = (grams >> np.uint64(8 * (DEPTH + 1 - d))) << np.uint64(t) | (grams & np.uint64(255)) >> np.uint64(8 - t)
-                if not len(node):
-                    break
-                at = np.minimum(np.searchsorted(node, want), len(node) - 1)
-                there = node[at] == want
-                chance += np.where(there, weight * stop[at] * one[at], 0.0)
-                weight = np.where(there, weight * (1 - stop[at]), weight)
-            chance += weight / 2
-            total += np.log10(np.where((byte >> (7 - t)) & 1 == 1, chance, 1 - chance))
+            p = chance[t] + weight[t] / 2
+            total = total + np.log10(np.where((byte >> np.uint64(7 - t)) & np.uint64(1) == 1, p, 1 - p))
         return total
 
 
-def top_nodes(pairs: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of depths 0 and 1: each node's share of its own estimate, and the estimate that the next bit is 1.
+def packed_nodes(stop: np.ndarray, one: np.ndarray, seen: np.ndarray) -> bytes:
+    return squeeze(np.concatenate([stop, one, seen.astype(float)]))
 
-    A node that has seen nothing keeps its whole weight and says one half.
-    """
-    zeros, ones = np.zeros((256, 256), np.int64), np.zeros((256, 256), np.int64)
-    for t in range(8):
-        for x in range(256):
-            (ones if x >> (7 - t) & 1 else zeros)[:, 1 << t | x >> (8 - t)] += pairs[:, x]
-    own = log_kt(zeros, ones)
-    whole = np.log(0.5) + np.logaddexp(own, products)
-    seen = zeros + ones > 0
-    whole = np.where(seen, whole, 0.0)
-    stop1 = np.where(seen, np.exp(np.log(0.5) + own - np.where(seen, whole, 0.0)), 1.0)
-    z0, o0 = zeros.sum(0), ones.sum(0)
-    own0 = log_kt(z0, o0)
-    whole0 = np.log(0.5) + np.logaddexp(own0, whole.sum(0))
-    stop0 = np.where(z0 + o0 > 0, np.exp(np.log(0.5) + own0 - whole0), 1.0)
-    return stop0, (o0 + 0.5) / (z0 + o0 + 1.0), np.minimum(stop1, 1.0), (ones + 0.5) / (zeros + ones + 1.0)
+
+def unpacked(held: bytes) -> tuple[np.ndarray, ...]:
+    stop, one, seen = unsqueeze(held, np.float64).reshape(3, 256)
+    return stop, one, seen > 0
+
+
+def top_nodes(open_: dict, depth: int) -> dict:
+    """The settled nodes of cut contexts, from their byte counts and the products of their uncut children: deepest first."""
+    out, given = {}, {}
+    for d in range(depth - 1, -1, -1):
+        for (_, context), (counts, products) in sorted((k, v) for k, v in open_.items() if k[0] == d):
+            zeros, ones = np.zeros(256, np.int64), np.zeros(256, np.int64)
+            for t in range(8):
+                for x in np.flatnonzero(counts).tolist():
+                    (ones if x >> (7 - t) & 1 else zeros)[1 << t | x >> (8 - t)] += counts[x]
+            own = log_kt(zeros, ones)
+            whole = np.log(0.5) + np.logaddexp(own, products + given.pop((d, context), 0.0))
+            out[d, context] = packed_nodes(np.exp(np.log(0.5) + own - whole), (ones + 0.5) / (zeros + ones + 1.0), zeros + ones > 0)
+            if d:
+                given[d - 1, context >> 8] = given.get((d - 1, context >> 8), 0.0) + whole
+    return out
 
 
 def _bodies(ends: bytes, data: bytes) -> list[bytes]:
@@ -185,9 +262,9 @@ def normal_text(text: str) -> bytes:
     return b" ".join(lower_bytes(text).split())
 
 
-def _list_block(x: dict, shards: int, salts: int) -> Iterator[tuple]:
+def _list_block(x: dict, bounds: list[int], depth: int) -> Iterator[tuple]:
     bodies, ids = _bodies(x["ends"], x["data"]), x["ids"]
-    train = [not held_out(i) for i in ids]
+    train, shards = [not held_out(i) for i in ids], len(bounds) + 1
     counts: Counter = Counter()
     for body, use in zip(bodies, train, strict=True):
         if use:
@@ -200,21 +277,19 @@ def _list_block(x: dict, shards: int, salts: int) -> Iterator[tuple]:
     words: list[list[bytes]] = [[] for _ in range(shards)]
     for w in counts:
         words[zlib.crc32(w) % shards].append(w)
-    grams, n = distinct(stream([b for b, use in zip(bodies, train, strict=True) if use])[0] if any(train) else np.zeros(0, np.uint64))
+    grams, n = Places([b for b, use in zip(bodies, train, strict=True) if use], depth).counted()
     if not all(train):
-        new = np.setdiff1d(distinct(stream([b for b, use in zip(bodies, train, strict=True) if not use])[0])[0], grams, assume_unique=True)
-        grams, n = sums_by(np.concatenate([grams, new]), np.concatenate([n, np.zeros(len(new), n.dtype)]))
-    shard, salt = shard_of(grams, shards), int(mix64(np.array([x["block"]], np.uint64))[0]) % salts
-    order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+        new, _ = Places([b for b, use in zip(bodies, train, strict=True) if not use], depth).counted()
+        grams, n = sums_by(np.concatenate([grams, new]), np.concatenate([n, np.zeros(len(new), np.int64)]))
+    cuts = [0, *np.searchsorted(grams >> np.uint64(8), np.array(bounds, np.uint64)).tolist(), len(grams)]
     for s in range(shards):
-        at, w = order[cuts[s] : cuts[s + 1]], sorted(words[s])
-        if len(at) or w:
-            yield s, salt, x["block"], squeeze(np.diff(grams[at], prepend=np.uint64(0))), squeeze(n[at].astype(np.int64)), squeeze(b"\n".join(w)), squeeze(np.array([counts[v] for v in w], np.int64))
+        at, w = slice(cuts[s], cuts[s + 1]), sorted(words[s])
+        if cuts[s + 1] > cuts[s] or w:
+            yield s, x["block"], squeeze(planes(np.diff(grams[at], prepend=np.uint64(0)))), squeeze(planes(n[at])), squeeze(b"\n".join(w)), squeeze(np.array([counts[v] for v in w], np.int64))
 
 
 def _grams(cell: bytes) -> np.ndarray:
-    return np.cumsum(unsqueeze(cell, np.uint64), dtype=np.uint64)
+    return np.cumsum(unplanes(cell, np.uint64), dtype=np.uint64)
 
 
 def _words(cell: bytes, counts: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -222,106 +297,126 @@ def _words(cell: bytes, counts: bytes) -> tuple[list[bytes], np.ndarray]:
     return unsqueeze(cell).split(b"\n") if len(n) else [], n
 
 
-def _added(cells: list[dict]) -> tuple[bytes, bytes, bytes, bytes]:
-    """Lists of one shard added up."""
-    grams, n = sums_by(np.concatenate([_grams(x["grams"]) for x in cells]), np.concatenate([unsqueeze(x["gram_counts"], np.int64) for x in cells]))
-    words: Counter = Counter()
+#: What a shard gets from each block, and holds as lists of these.
+CELL = ("grams", "gram_counts", "words", "word_counts")
+
+
+def _tree(cells: list[dict], shard: int, bounds: list[int], depth: int) -> tuple[Tree, list[np.ndarray]]:
+    """The tree of a shard's lists added up, and each list's strings."""
+    lists = [_grams(x["grams"]) for x in cells]
+    grams, n = sums_by(np.concatenate(lists), np.concatenate([unplanes(x["gram_counts"], np.int64) for x in cells]))
+    return Tree(grams, n, depth, bounds[max(0, shard - 1) : shard + 1]), lists
+
+
+def _word_sums(cells: list[dict]) -> Counter:
+    sums: Counter = Counter()
     for x in cells:
         w, c = _words(x["words"], x["word_counts"])
-        words.update(dict(zip(w, c.tolist(), strict=True)))
-    w = sorted(words)
-    return squeeze(np.diff(grams, prepend=np.uint64(0))), squeeze(n), squeeze(b"\n".join(w)), squeeze(np.array([words[v] for v in w], np.int64))
+        sums.update(dict(zip(w, c.tolist(), strict=True)))
+    return sums
 
 
-_ADDED = pa.schema([("shard", pa.int32()), ("salt", pa.int32()), ("grams", pa.binary()), ("gram_counts", pa.binary()), ("words", pa.binary()), ("word_counts", pa.binary())])
+def shard_bounds(packed: DataFrame, depth: int) -> list[int]:
+    """Contexts at which shards end: quantiles of a sparse sample of all blocks' contexts, one fewer than blocks."""
+    n_blocks = packed.count()
 
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.to_pylist():
+                places = Places(_bodies(x["ends"], x["data"]), depth)
+                some = np.unique(places.strings(places.at[::SPARSE])) >> np.uint64(8)
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64))], ["context"])
 
-def _combine(group: pa.Table) -> pa.Table:
-    cells = group.to_pylist()
-    row = (cells[0]["shard"], cells[0]["salt"], *_added(cells))
-    return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, _ADDED, strict=True)], schema=_ADDED)
+    if n_blocks < 2:
+        return []
+    marks = [(i + 1) / n_blocks for i in range(n_blocks - 1)]
+    found = packed.mapInArrow(sampled, "context bigint").agg(F.percentile_approx("context", marks, max(10_000, 20 * n_blocks)).alias("at")).first()["at"]
+    return sorted({int(v) for v in found or [] if v > 0})
 
 
-def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
     """One row per input row: the id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and ``bits_per_byte``.
 
     Tokens are the words of the text with A-Z lower-cased, then one end.
     ``score`` is the log10-probability of the words as bytes, joined by single
-    spaces, and the end; ``bits_per_byte`` its code length over those bytes.
+    spaces, and the end, from up to ``depth`` (1 to 7) bytes of context;
+    ``bits_per_byte`` its code length over those bytes.
     Null texts are empty: one token, the end.  A null id counts as an empty
     text for the split.  Repeated rows each count and are each scored.
     Without training texts every decision has probability one half and every
-    token 1 / (0 + 0 + 1).  An empty table gives an empty result.
+    token 1 / (0 + 0 + 1).  A text of any length is read in pieces.  An empty
+    table gives an empty result.  Other columns are ignored.
     """
+    if not 1 <= depth <= DEEPEST:
+        raise ValueError(f"depth must be 1 to {DEEPEST}")
     packed = blocks(docs, BLOCK_BYTES, normal_text, id_col, text_col)
-    n_blocks = packed.count()
-    shards, salts = max(32, min(4096, n_blocks // 2)), max(1, n_blocks // FAN_IN)
+    bounds = shard_bounds(packed, depth)
+    shards = len(bounds) + 1
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("shard", pa.int32()), ("salt", pa.int32()), ("block", pa.int64()), *[(c, pa.binary()) for c in ("grams", "gram_counts", "words", "word_counts")]])
-        for batch in batches:
-            for x in batch.to_pylist():
-                rows = list(_list_block(x, shards, salts))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-    cells = saved(packed.mapInArrow(listed, CELLS), "lm-lists")
-    out = "shard int, salt int, grams binary, gram_counts binary, words binary, word_counts binary"
-    sums, left = cells.drop("block"), salts
-    while True:
-        sums = saved(sums.groupBy("shard", "salt").applyInArrow(_combine, out), "lm-sums")
-        if left == 1:
-            break
-        left = max(1, left // FAN_IN)
-        sums = sums.withColumn("salt", F.col("salt") % left)
-
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), *[(c, pa.binary()) for c in CELL]])
         for batch in batches:
             for x in batch.to_pylist():
-                tree = Tree(_grams(x["grams"]), unsqueeze(x["gram_counts"], np.int64))
-                n = unsqueeze(x["word_counts"], np.int64)
-                yield pa.RecordBatch.from_pydict({"pairs": [squeeze(tree.pairs)], "products": [squeeze(tree.products)], "tokens": [int(n.sum())], "types": [int((n > 0).sum())]})
-
-    pairs, products, tokens, types = np.zeros((256, 256), np.int64), np.zeros((256, 256)), 0, 0
-    parts = sums.mapInArrow(totals, "pairs binary, products binary, tokens bigint, types bigint").collect()
-    for r in parts:
-        pairs += unsqueeze(bytes(r["pairs"]), np.int64).reshape(256, 256)
-        tokens, types = tokens + r["tokens"], types + r["types"]
-    stacked = np.array([unsqueeze(bytes(r["products"]), np.float64) for r in parts])
-    stacked.sort(axis=0)  # the same sum in whatever order they came
-    products = stacked.sum(0).reshape(256, 256) if len(parts) else products
-    top = top_nodes(pairs, products)
-
-    def answer(lists: pa.Table, model: pa.Table) -> pa.Table:
-        (m,) = model.to_pylist()
-        tree, known = Tree(_grams(m["grams"]), unsqueeze(m["gram_counts"], np.int64)), dict(zip(*[v if isinstance(v, list) else v.tolist() for v in _words(m["words"], m["word_counts"])], strict=True))
-        cells = [(x, _grams(x["grams"])) for x in lists.to_pylist()]
-        every = np.unique(np.concatenate([g for _, g in cells]))
-        logs = tree.log10(every, top).astype(np.float32)
-        rows = [(x["block"], x["shard"], squeeze(logs[np.searchsorted(every, g)]), squeeze(np.array([known[w] for w in _words(x["words"], x["word_counts"])[0]], np.int64))) for x, g in cells]
+                yield table(schema, _list_block(x, bounds, depth))
+
+    def gathered(cells: pa.Table) -> pa.Table:
+        rows = cells.to_pylist()
+        shard = rows[0]["shard"]
+        tree, _ = _tree(rows, shard, bounds, depth)
+        words = _word_sums(rows)
+        opened = [{"d": d, "context": context, "counts": squeeze(n), "products": squeeze(p)} for (d, context), (n, p) in sorted(tree.open.items())]
+        row = {"shard": shard, **{c: [r[c] for r in rows] for c in ("block", *CELL)}, "opened": opened, "tokens": sum(words.values()), "types": sum(n > 0 for n in words.values())}
+        return pa.Table.from_pylist([row], held)
+
+    opened = pa.struct([("d", pa.int32()), ("context", pa.int64()), ("counts", pa.binary()), ("products", pa.binary())])
+    held = pa.schema([("shard", pa.int32()), ("block", pa.list_(pa.int64())), *[(c, pa.list_(pa.binary())) for c in CELL], ("opened", pa.list_(opened)), ("tokens", pa.int64()), ("types", pa.int64())])
+    kept = f"shard int, block array<bigint>, {', '.join(f'{c} array<binary>' for c in CELL)}, opened array<struct<d: int, context: bigint, counts: binary, products: binary>>, tokens bigint, types bigint"
+    cells = packed.mapInArrow(listed, f"shard int, block bigint, {', '.join(f'{c} binary' for c in CELL)}")
+    # a row for each shard with all its lists, so that answering needs no second exchange
+    model = saved(cells.groupBy("shard").applyInArrow(gathered, kept), "lm-shards")
+
+    def added(parts: pa.Table) -> pa.Table:
+        rows = sorted(parts.to_pylist(), key=lambda r: r["shard"])  # the same sum in whatever order they came
+        counts, products = (sum(unsqueeze(r[c], kind) for r in rows) for c, kind in (("counts", np.int64), ("products", np.float64)))
+        return pa.table({"d": pa.array([rows[0]["d"]], pa.int32()), "context": pa.array([rows[0]["context"]], pa.int64()), "counts": pa.array([squeeze(counts)], pa.binary()), "products": pa.array([squeeze(products)], pa.binary())})
+
+    parts = model.select("shard", F.inline("opened")).groupBy("d", "context").applyInArrow(added, "d int, context bigint, counts binary, products binary")
+    open_ = {(r["d"], r["context"]): (unsqueeze(bytes(r["counts"]), np.int64), unsqueeze(bytes(r["products"]), np.float64)) for r in parts.collect()}
+    top = docs.sparkSession.sparkContext.broadcast(top_nodes(open_, depth))
+    sums = model.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("types"), F.lit(0)).alias("types")).first()
+    tokens, types = sums["tokens"], sums["types"]
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("logs", pa.binary()), ("counts", pa.binary())])
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-    asked = cells.select(F.col("shard").alias("of"), F.col("salt").alias("part")).distinct()
-    models = sums.drop("salt").join(asked, F.col("shard") == F.col("of")).drop("shard")
-    answers = cells.groupBy("shard", "salt").cogroup(models.groupBy("of", "part")).applyInArrow(answer, "block bigint, shard int, logs binary, counts binary")
+        for batch in batches:
+            for i in range(batch.num_rows):
+                (m,) = batch.slice(i, 1).to_pylist()
+                cells = [dict(zip(CELL, v, strict=True)) for v in zip(*[m[c] for c in CELL], strict=True)]
+                tree, lists = _tree(cells, m["shard"], bounds, depth)
+                cut = {(d, context): top.value[d, context] for d in range(depth) for context in split_contexts(bounds[max(0, m["shard"] - 1) : m["shard"] + 1], d, depth).tolist() if (d, context) in top.value}
+                logs, grams, words = tree.log10(cut), tree.levels[depth]["keys"], _word_sums(cells)
+                del tree
+                logs = ((logs.view(np.uint64) + np.uint64(1 << 15)) & ~np.uint64((1 << 16) - 1)).view(np.float64) if len(grams) else np.zeros(0)
+                rows = ((b, m["shard"], squeeze(planes(logs[np.searchsorted(grams, g)])), squeeze(np.array([words[w] for w in _words(x["words"], x["word_counts"])[0]], np.int64))) for b, x, g in zip(m["block"], cells, lists, strict=True))
+                yield table(schema, rows)
+
+    answers = model.drop("opened", "tokens", "types").mapInArrow(answer, "block bigint, shard int, logs binary, counts binary")
     result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
 
     def scored(block: pa.Table, replies: pa.Table) -> pa.Table:
         (x,) = block.to_pylist()
         bodies, replied = _bodies(x["ends"], x["data"]), {r["shard"]: r for r in replies.to_pylist()}
-        key, ends = stream(bodies)
-        grams, _ = distinct(key)
-        shard, logs = shard_of(grams, shards), np.zeros(len(grams))
-        order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-        for s in range(shards):
-            if cuts[s + 1] > cuts[s]:
-                logs[order[cuts[s] : cuts[s + 1]]] = unsqueeze(replied[s]["logs"], np.float32)
-        each = np.zeros(len(key))
-        for a in range(0, len(key), 1 << 16):  # in order, so that sorted strings meet sorted grams
-            chunk = key[a : a + (1 << 16)]
+        places = Places(bodies, depth)
+        grams = np.zeros(0, np.uint64)
+        for piece in places.pieces():
+            grams = np.union1d(grams, piece)
+        logs = np.concatenate([unplanes(replied[s]["logs"], np.float64) for s in sorted(replied)])  # shards are in order of strings
+        each = np.zeros(len(places.at))
+        for a in range(0, len(places.at), AT_ONCE // 16):  # in order, so that sorted strings meet sorted grams
+            chunk = places.strings(places.at[a : a + AT_ONCE // 16])
             order = np.argsort(chunk)
             each[a + order] = logs[np.searchsorted(grams, chunk[order])]
+        ends = places.ends
         score = np.add.reduceat(each, np.r_[0, ends[:-1]]) if len(ends) else each
         names: list[list[bytes]] = [[] for _ in range(shards)]
         for w in {w for b in bodies for w in b.split(b" ")} | {b""}:
@@ -336,7 +431,7 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             ws = [*(body.split(b" ") if body else ()), b""]
             base = sum(map(log_of.__getitem__, ws))
             rows.append((i, held_out(i), len(ws), sum([count[w] > 0 for w in ws]), tokens, base, total, -total * np.log2(10) / size))
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), result, strict=True)], schema=result)
+        return pa.Table.from_batches([table(result, rows)], result)
 
     done = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double")
     return done.withColumnRenamed("doc_id", id_col)

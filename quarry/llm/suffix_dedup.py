@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quarry.llm.common import NO_ID, blocks, mix64, squeeze, table, unsqueeze
+from quarry.llm.common import NO_ID, blocks, mix64, planes, squeeze, table, unplanes, unsqueeze
 
 LEAST, ANCHOR = 50, 24
 #: Minimizer places in a window, which is also the most windows a passage has.
@@ -91,15 +91,6 @@ def passages(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return np.searchsorted(ends, start, "right"), start, window[last] + LEAST - start, anchor, hashes[anchor]
 
 
-def planes(values: np.ndarray) -> np.ndarray:
-    """Integers by byte place, which compresses well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
-
-
-def unplanes(data: bytes, dtype: type) -> np.ndarray:
-    return np.ascontiguousarray(unsqueeze(data, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
-
-
 def rows_of(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
     """Bytes from each start in rows of this width, 0 beyond the length."""
     at = starts[:, None] + np.arange(width)

@@ -268,7 +268,8 @@ def ctw_brute(train, text):
 
 def test_lm_scores(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 300)
-    monkeypatch.setattr(lm_scoring, "FAN_IN", 3)
+    monkeypatch.setattr(lm_scoring, "SPARSE", 3)  # many bounds, which cut contexts of all depths
+    monkeypatch.setattr(lm_scoring, "AT_ONCE", 64)
     rng = random.Random(9)
     rows = [(i, prose(rng, rng.randrange(0, 25))) for i in range(40)] + [(50, None), (51, " \n "), (None, "Ab  ab"), (3, "again again"), (3, "again again"), (60, "é unseen\tWORDS qqq")]
     got = lm_scoring.lm_score(docs_of(spark, rows)).collect()
@@ -284,7 +285,7 @@ def test_lm_scores(spark, monkeypatch):
         want.append((i, h, len(ws), sum(tokens[w] > 0 for w in ws), n, sum(math.log10((tokens[w] + 1) / (n + v + 1)) for w in ws), ctw_brute(train, b)))
     key = lambda r: (repr(r[0]), r[2], r[5])
     for a, b in zip(sorted((tuple(r)[:7] for r in got), key=key), sorted(want, key=key), strict=True):
-        assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9) and math.isclose(a[6], b[6], rel_tol=1e-5)
+        assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9) and math.isclose(a[6], b[6], rel_tol=1e-9)
 
 
 def test_lm_sees_more_than_a_word_of_four(spark):
@@ -295,6 +296,20 @@ def test_lm_sees_more_than_a_word_of_four(spark):
     assert got["most"] < 0.1
 
 
+def test_lm_shards_cut_a_hot_context(spark, monkeypatch):
+    """Texts of one repeated letter: whatever the bounds, scores are the same, and depth changes what a text costs."""
+    rows = [(i, "a" * (50 + i) + (" b" * (i % 3))) for i in range(40)]
+    whole = {r["doc_id"]: r["score"] for r in lm_scoring.lm_score(docs_of(spark, rows)).collect()}
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(lm_scoring, "SPARSE", 1)
+    cut = {r["doc_id"]: r["score"] for r in lm_scoring.lm_score(docs_of(spark, rows)).collect()}
+    assert all(math.isclose(whole[i], cut[i], rel_tol=1e-9) for i in whole)
+    rng = random.Random(4)
+    prose_rows = [(i, prose(rng, 60) if i % 2 else "the same few words once more " * 9) for i in range(30)]
+    bits = [lm_scoring.lm_score(docs_of(spark, prose_rows), depth=d).agg(F.avg("bits_per_byte").alias("b")).first()["b"] for d in (1, 3, 7)]
+    assert bits[0] > bits[1] > bits[2]
+
+
 def test_lm_without_training(spark):
     only = next(i for i in range(100) if lm_scoring.held_out(i))
     r = lm_scoring.lm_score(docs_of(spark, [(only, "ab")])).first()
