@@ -111,25 +111,34 @@ def test_mixing_of_nulls_and_repeats(spark, rows):
 
 
 
-def test_topk_against_brute_force(spark):
+def test_topk_against_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(5)
-    vecs = [(i, rng.normal(0, 0.3, 8).round(2).tolist()) for i in range(90)] + [(90, [0.0] * 8), (91, None), (92, [None] + [0.1] * 7), (93, [math.nan] + [0.1] * 7), (94, [math.inf] * 8), (95, [1e9] * 8), (5, [9.0] * 8), (None, [0.1] * 8)]
-    df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>").withColumn("block", F.lit(1)).withColumn("score", F.lit(2))
-    good = {}
-    for i, v in vecs:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            q = [math.floor(64 * x) for x in v]
-            good[i] = min(q, good.get(i, q))
+    vecs = [(i, rng.normal(0, 0.3, 8).round(2).tolist()) for i in range(90)] + [(90, [0.0] * 8), (91, None), (92, [None] + [0.1] * 7), (93, [math.nan] + [0.1] * 7), (94, [math.inf] * 8), (95, [1e9] * 8), (5, [9.0] * 8), (None, [0.1] * 8), (20, [0.2] * 8), (97, [0.5, 1.0]), (100, [0.25, 1.0])]
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>").withColumn("block", F.lit(1)).withColumn("score", F.lit(2)).withColumn("row", F.lit(3))
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in vecs if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for q in (i for i in good if i % 20 == 0):
-        best = sorted(((-sum(a * b for a, b in zip(good[q], v, strict=True)), i) for i, v in good.items() if i != q))[:20]
-        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
-    got = topk_search.top_k(df, F.col("vec_id") % 20 == 0, 20, 64)
-    assert sorted(map(tuple, got.collect())) == sorted(want)
+    for n, (q, v) in enumerate(good):
+        if q % 20 == 0:
+            ranked = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for m, (i, w) in enumerate(good) if m != n and len(w) == len(v))[:20]
+            want += [(q, place + 1, i, -s) for place, (s, i) in enumerate(ranked)]
+    for most, rows in ((64 << 20, 16384), (0, 16)):  # broadcast queries; the grid
+        monkeypatch.setattr(topk_search, "BROADCAST_BYTES", most)
+        monkeypatch.setattr(topk_search, "BLOCK", rows)
+        got = topk_search.top_k(df, F.col("vec_id") % 20 == 0, 20, 64)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
     few = topk_search.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0, 20)
     assert few.count() == 2
 
 
+def test_topk_of_large_components(spark):
+    pair = lambda x, y: spark.createDataFrame([(0, [x, 0.0]), (1, [y, 0.0])], "vec_id long, embedding array<double>")
+    (row,) = topk_search.top_k(pair(1e5, -1e9), F.col("vec_id") == 0).collect()
+    assert row["score"] == -64 * 100_000 * 64 * 10**9
+    for x, y in ((1.0, 1e300), (1e15, 1e15)):
+        with pytest.raises(Exception, match="too large for 64 bits"):
+            topk_search.top_k(pair(x, y), F.col("vec_id") == 0).collect()
+
+
 def test_bpe_equals_tiktoken(spark, rows):
     vocabulary = byte_bpe.read_ranks(spark, public_tokenizers.path(registry.VOCABULARY))
     bpe = byte_bpe.tokenizer(vocabulary, public_tokenizers.PATTERN)
