@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: White space as the contracts define it: space and the controls 9 to 13.
@@ -81,6 +82,54 @@ def sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+#: Bits of a sieve: at least, at most (32 MB, whatever the tables' size), and for each member between.
+LEAST_BITS, MOST_BITS, BITS_A_MEMBER = 20, 28, 64
+
+
+def _bit(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << bits).cast("long")) + 1
+
+
+def sieve(members: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """A bitmap of the members' keys (longs), in rows of 4 KB, and its number of bits as a power of two.
+
+    Its size is bounded whatever the number of members; with too many of them
+    it lets through everything.
+    """
+    bits = max(LEAST_BITS, min(MOST_BITS, (BITS_A_MEMBER * members.count()).bit_length()))
+    at = members.select(_bit(F.col(key), bits).alias("at"))
+    return saved(at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap")), "sieve", True), bits
+
+
+def sieved(rows: DataFrame, key: Column, held: tuple[DataFrame, int], name: str) -> DataFrame:
+    """The rows, where they lie, with a boolean column: false if the key is surely none of the sieve's members.
+
+    So only rows that may be among them need an exact join, and long texts of all others are not shuffled.
+    """
+    bitmap, bits = held
+    at, bucket, of, byte = unused(rows, "at", "bucket", "of", "byte")
+    bitmap = bitmap.select(F.col("bucket").alias(of), F.col("bitmap").alias(byte))
+    marked = rows.withColumn(at, _bit(key, bits))
+    marked = marked.withColumn(bucket, F.bitmap_bucket_number(at)).join(F.broadcast(bitmap), F.col(bucket) == F.col(of), "left")
+    octet = f"cast(conv(hex(substring(`{byte}`, cast(shiftright(bitmap_bit_position(`{at}`), 3) as int) + 1, 1)), 16, 10) as int)"
+    bit = F.expr(f"shiftright({octet}, cast(bitmap_bit_position(`{at}`) % 8 as int)) & 1")
+    return marked.select(*[F.col(f"`{c}`") for c in rows.columns], F.coalesce(bit == 1, F.lit(False)).alias(name))
+
+
+def ranked(values: DataFrame, keys: list[str], name: str, tag: str) -> DataFrame:
+    """Saved rows with their places, from 0, in order of the keys: a range sort and an offset for each of its partitions.
+
+    Places depend on the rows alone, however they are partitioned, if no two rows have equal keys.
+    """
+    ordered = saved(values.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(name, F.monotonically_increasing_id()), tag)
+    part = F.shiftright(name, 33)
+    counts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # a row for each partition
+    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(F.col("part").alias("of"), before.alias("offset"))
+    place = F.col("offset") + F.col(name) - F.shiftleft(F.col("of"), 33)
+    return ordered.join(F.broadcast(offsets), part == F.col("of")).withColumn(name, place).drop("of", "offset")
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """These names, each lengthened until no column of the table has it, whatever its case."""
     held = {c.lower() for c in df.columns}

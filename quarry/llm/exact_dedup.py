@@ -8,7 +8,10 @@ texts end with the same (level, name) if and only if they are equal.
 
 A text whose length and 64-bit fingerprint no other row has is equal to no
 other text, so it is its own identity and needs no name; every row that shares
-them is named.  Only those rows' texts are cut, sorted and joined.
+them is named.  Only those rows' texts are cut, sorted and joined; a bitmap of
+the shared fingerprints, of bounded size, tells most of the others where they lie.
+A value's name is its place among all distinct values in sorted order, so names
+depend on the texts alone.
 
 Skew: a copied text sits in many rows.  Names are given to distinct blocks
 (map-side combined), group sizes are sums (map-side combined), and the joins
@@ -21,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import SPACE, columns, saved
+from quarry.llm.common import SPACE, columns, ranked, saved, sieve, sieved, unused
 
 #: Characters in a block.
 BLOCK = 4096
@@ -32,9 +35,9 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
-def _named(values: DataFrame, keys: list[str], tag: str) -> DataFrame:
-    """Each distinct value of the keys with an integer of its own, in sorted order within a partition."""
-    return saved(values.select(*keys).distinct().sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id()), tag)
+def _named(values: DataFrame, keys: list[str]) -> DataFrame:
+    """Each distinct value of the keys with its place among them in sorted order, whatever the partitioning."""
+    return ranked(values.select(*keys).distinct(), keys, "name", "names")
 
 
 def block_names(texts: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
@@ -46,7 +49,7 @@ def block_names(texts: DataFrame, keys: list[str], block: int = BLOCK) -> DataFr
     cut = saved(texts.select(*keys, pieces.alias("pieces")).select(*keys, F.size("pieces").alias("m"), F.posexplode("pieces").alias("at", "piece")), "blocks")
     most = cut.agg(F.max("m")).first()[0] or 0
     level, done = 0, None
-    now = saved(cut.join(_named(cut, ["piece"], "names"), "piece").select(*keys, "m", "at", "name"), "level")
+    now = saved(cut.join(_named(cut, ["piece"]), "piece").select(*keys, "m", "at", "name"), "level")
     while True:
         ready = now.where("m = 1").select(*keys, F.lit(level).alias("level"), "name")
         done = ready if done is None else done.unionByName(ready)
@@ -55,7 +58,7 @@ def block_names(texts: DataFrame, keys: list[str], block: int = BLOCK) -> DataFr
         even = F.col("at") % 2 == 0
         pairs = now.where("m > 1").groupBy(*keys, ((F.col("m") + 1) / 2).cast("int").alias("m"), F.floor(F.col("at") / 2).cast("int").alias("at"))
         pairs = saved(pairs.agg(F.max(F.when(even, F.col("name"))).alias("left"), F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("right")), "pairs", True)
-        now = saved(pairs.join(_named(pairs, ["left", "right"], "names"), ["left", "right"]).select(*keys, "m", "at", "name"), "level")
+        now = saved(pairs.join(_named(pairs, ["left", "right"]), ["left", "right"]).select(*keys, "m", "at", "name"), "level")
         level, most = level + 1, (most + 1) // 2
 
 
@@ -73,7 +76,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a table of its own, so that the joins with it are plain ones whose hot keys can be split
     shared = saved(slim.groupBy("fp", "n").agg(F.count("*").alias("copies")).where("copies > 1").select("fp", "n"), "shared", True)
     rows = slim.join(shared, ["fp", "n"], "left_semi").groupBy("doc_id", "sha").agg(F.min("row").alias("first_row"), F.count("*").alias("rows"))
-    named = block_names(text.select("doc_id", "text", *print_).join(shared.hint("shuffle_hash"), ["fp", "n"], "left_semi").select("doc_id", "sha", "text"), ["doc_id", "sha"], block)
+    # texts that surely share no fingerprint stay where they are
+    prints = text.select("doc_id", "text", *print_)
+    mark = F.xxhash64("fp", "n")
+    prints = sieved(prints, mark, sieve(shared.select(mark.alias("mark")), "mark"), "maybe").where("maybe").drop("maybe")
+    named = block_names(prints.join(shared, ["fp", "n"], "left_semi").select("doc_id", "sha", "text"), ["doc_id", "sha"], block)
     same = rows["doc_id"].eqNullSafe(named["doc_id"]) & (rows["sha"] == named["sha"])
     named = saved(rows.join(named, same).select(rows["doc_id"], rows["sha"], "first_row", "rows", "level", "name"), "identities", True)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"))
@@ -91,13 +98,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """The rows that ``exact_dedup`` keeps, with all their columns. Only ids and digests of the others are joined to them."""
-    judged = saved(exact_dedup(docs, id_col, text_col, block).select(F.col(id_col).alias("_id"), "keep_id", "kept", F.col("text_sha256").alias("_sha")), "judged", True)
-    rows = docs.withColumn("_digest", F.sha2(normalised(F.col(f"`{text_col}`")), 256))
-    this = rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha"))
-    elsewhere = ~F.col("_id").eqNullSafe(F.col("keep_id"))
-    out = rows.join(judged.where(elsewhere).select("_id", "_sha").distinct(), this, "left_anti")
-    again = judged.where(~elsewhere & ~F.col("kept")).select("_id", "_sha").distinct()  # rows repeated with their id
-    if again.limit(1).count():
-        out = out.join(again, this, "left_anti").unionByName(out.join(again, this, "left_semi").dropDuplicates([id_col, "_digest"]))
-    return out.drop("_digest")
+    """The rows that ``exact_dedup`` keeps, with all their columns, whatever their names.
+
+    Of rows repeated with their id and text one stays.  Rows that surely stay are
+    not moved; only those that may go are joined with the ids and digests of what goes.
+    """
+    gone = exact_dedup(docs, id_col, text_col, block).where("not kept").select(F.col(f"`{id_col}`").alias("gone_id"), F.col("text_sha256").alias("gone_sha"), (~F.col(f"`{id_col}`").eqNullSafe(F.col("keep_id"))).alias("elsewhere")).distinct()
+    gone = saved(gone.withColumn("mark", F.xxhash64("gone_id", "gone_sha")), "gone", True)
+    digest, maybe = unused(docs, "digest", "maybe")
+    rows = docs.withColumn(digest, F.sha2(normalised(F.col(f"`{text_col}`")), 256))
+    rows = sieved(rows, F.xxhash64(F.col(f"`{id_col}`").cast(gone.schema["gone_id"].dataType), F.col(f"`{digest}`")), sieve(gone, "mark"), maybe)
+    stay, open_ = rows.where(~F.col(f"`{maybe}`")), rows.where(F.col(f"`{maybe}`"))
+    this = lambda some: F.col(f"`{id_col}`").eqNullSafe(some["gone_id"]) & (F.col(f"`{digest}`") == some["gone_sha"])
+    elsewhere, again = gone.where("elsewhere"), gone.where("not elsewhere")
+    open_ = open_.join(elsewhere, this(elsewhere), "left_anti")
+    out = stay.unionByName(open_.join(again, this(again), "left_anti")).unionByName(open_.join(again, this(again), "left_semi").dropDuplicates([id_col, digest]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

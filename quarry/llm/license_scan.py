@@ -34,13 +34,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import columns, saved, sized
+from quarry.llm.common import columns, saved, sieve, sieved, sized
 from quarry.llm.license_texts import TEMPLATES
 
 SHINGLE = 5
 CONTAINED = 0.8
 #: Lengths of indexed runs, and the least number of shingle places of a template whose runs have that length.
 RUNS = {1: 1, 4: 20, 8: 60}
+#: The longest window and how far the next one begins, in shingles; windows for shorter runs are parts of it.
+WINDOW, STRIDE = 16, 8
 ORDERS = 16
 BANDS = 2 * ORDERS
 
@@ -75,20 +77,32 @@ def run_length(places: Column) -> Column:
     return out
 
 
-def windows(hashes: Column, size: int, stride: int) -> Column:
-    """Slices of an array, one at each multiple of the stride; the last ones may be shorter."""
-    return F.when(F.size(hashes) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(hashes) - 1) / stride).cast("int")), lambda i: F.slice(hashes, i * stride + 1, size))).otherwise(F.array().cast("array<array<bigint>>"))
+def windows(hashes: Column) -> Column:
+    """Slices of ``WINDOW`` elements at each multiple of ``STRIDE``; the last ones may be shorter."""
+    last = F.floor((F.size(hashes) - 1) / STRIDE).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(hashes, i * STRIDE + 1, WINDOW))
+    return F.when(F.size(hashes) > 0, cut).otherwise(F.array().cast("array<array<bigint>>"))
 
 
-def banded(sets: DataFrame, run: int) -> DataFrame:
-    """The rows with one ``band`` value in place of ``w`` (an array of hashes): the least hash in each of ``BANDS`` orders."""
+def banded(sets: DataFrame, parts: list[tuple[int, int]], singles: int) -> DataFrame:
+    """The rows with a ``band`` value in place of ``w`` (an array of up to ``WINDOW`` hashes).
+
+    Each part (first element and number) gives its least hash in each of the
+    ``BANDS`` orders, and each of the first ``singles`` elements is a set of its
+    own.  Orders are rows, so that one short expression serves all of them.
+    """
     rest = [c for c in sets.columns if c != "w"]
-    if run == 1:
-        return sets.select(*rest, F.col("w")[0].alias("band"))
-    both = sets.withColumn("turned", F.transform("w", lambda x: F.shiftleft(x, 32).bitwiseOR(F.shiftrightunsigned(x, 32))))
-    masks = [((k << 60) + (1 << 63)) % (1 << 64) - (1 << 63) for k in range(ORDERS)]
-    least = [F.array_min(F.transform(c, lambda x, m=m: x.bitwiseXOR(F.lit(m)))) for c in ("w", "turned") for m in masks]
-    return both.select(*rest, F.explode(F.array(*least)).alias("band"))
+    flips = [((k << 60) + (1 << 63)) % (1 << 64) - (1 << 63) for k in range(ORDERS)]
+    orders = F.array(*[F.struct(F.lit(side).alias("turned"), F.lit(m).alias("flip")) for side in (False, True) for m in flips])
+    places = range(WINDOW)
+    split = sets.select(*rest, *[F.get("w", F.lit(i)).alias(f"x{i}") for i in places]).select("*", F.inline(orders))
+    halves = lambda x: F.shiftleft(x, 32).bitwiseOR(F.shiftrightunsigned(x, 32))
+    flipped = split.select(*rest, "turned", "flip", "x0", *[f"x{i}" for i in range(1, singles)], *[F.when(F.col("turned"), halves(F.col(f"x{i}"))).otherwise(F.col(f"x{i}")).bitwiseXOR(F.col("flip")).alias(f"y{i}") for i in places])
+    least = [F.least(*[F.col(f"y{i}") for i in range(first, first + n)]) for first, n in parts]
+    own = [F.col(f"x{i}") for i in range(singles)]
+    plain = F.expr("not turned and flip = 0")
+    values = F.array(*least) if not own else F.when(plain, F.array(*least, *own)).otherwise(F.array(*least).cast("array<bigint>"))
+    return flipped.select(*rest, F.explode(values).alias("band")).where("band is not null")
 
 
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
@@ -100,15 +114,16 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 
 def retrieved(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Distinct (id, mark, template) of rows (id, mark, hashes) that share a band with a run of the template."""
-    found = None
-    for run in sorted(RUNS):
-        of = table.where(F.col("run") == run)
-        parts = of.select("template", F.explode(F.transform(F.sequence(F.lit(1), F.size("hashes") - run + 1), lambda i: F.slice("hashes", i, run))).alias("w"))
-        index = sized(saved(banded(parts, run).distinct(), "license-index"))
-        cut = rows.select("id", "mark", F.explode(windows(F.col("hashes"), 2 * run if run > 1 else 1, run)).alias("w"))
-        hits = banded(cut, run).join(index, "band").select("id", "mark", "template")
-        found = hits if found is None else found.unionByName(hits)
-    return found.distinct()
+    index = None
+    for run in RUNS:
+        runs = F.expr(f"transform(sequence(1, size(hashes) - {run} + 1), i -> slice(hashes, i, {run}))")
+        parts = table.where(F.col("run") == run).select("template", F.explode(runs).alias("w"))
+        bands = banded(parts, [(0, WINDOW)], 0) if run > 1 else parts.select("template", F.col("w")[0].alias("band"))
+        index = bands if index is None else index.unionByName(bands)
+    index = sized(saved(index.distinct(), "license-index"))
+    # a window of 16 holds those of 8 that begin in its first half, and the first half's single shingles
+    cut = rows.select("id", "mark", F.explode(windows(F.col("hashes"))).alias("w"))
+    return banded(cut, [(0, WINDOW), (0, WINDOW // 2), (STRIDE // 2, WINDOW // 2)], STRIDE).join(index, "band").select("id", "mark", "template").distinct()
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -127,6 +142,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pairs = saved(retrieved(hashed(texts), table), "license-pairs", True)
     wanted = pairs.groupBy(F.col("id").alias("of"), F.col("mark").alias("its")).agg(F.collect_set("template").alias("templates"))
     wanted = saved(wanted, "license-wanted", True)
+    # only texts that may be among the wanted ones meet them; the others stay where they are
+    texts = sieved(texts, F.col("mark"), sieve(wanted, "its"), "maybe").where("maybe")
     open_ = texts.join(wanted, texts["id"].eqNullSafe(wanted["of"]) & (texts["mark"] == wanted["its"]))
     open_ = hashed(open_.select("id", "templates", "text"))
     open_ = saved(open_.withColumn("row", F.monotonically_increasing_id()), "license-open")

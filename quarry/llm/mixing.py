@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarry.llm.common import columns, saved, unused, words_in
+from quarry.llm.common import columns, ranked, saved, unused, words_in
 
 BITS, LEVELS, WIDTH = 12, 3, 60
 #: Bits of the hash that come from the text.
@@ -51,16 +51,6 @@ def row_hash(key: Column, text: Column, seed: int = 0) -> Column:
     return F.shiftleft(F.shiftright(unit_hash(key, seed), TEXT_BITS), TEXT_BITS).bitwiseOR(F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(low)))
 
 
-def placed(sources: DataFrame) -> DataFrame:
-    """The rows with ``place``, from 0 in order of ``key``: a range sort, and an offset for each of its partitions."""
-    part = F.shiftright("at", 33)
-    ordered = saved(sources.repartitionByRange("key").sortWithinPartitions("key").withColumn("at", F.monotonically_increasing_id()), "sources", True)
-    counts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # a row for each partition
-    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("part", before.alias("offset"))
-    return ordered.withColumn("part", part).join(offsets, "part").withColumn("place", F.col("offset") + F.col("at") - F.shiftleft("part", 33)).drop("part", "offset", "at")
-
-
 def targets(sizes: DataFrame, weights: Column | None = None, repeats: int = REPEATS) -> DataFrame:
     """(key, source_size, target) from rows (key, size): shares by weight, none above ``repeats`` times the source.
 
@@ -70,7 +60,7 @@ def targets(sizes: DataFrame, weights: Column | None = None, repeats: int = REPE
     the level is raised to what the words left make for the weights left, until
     no further source falls below it.
     """
-    src = placed(sizes.groupBy("key").agg(F.sum("size").alias("source_size")))
+    src = ranked(sizes.groupBy("key").agg(F.sum("size").alias("source_size")), ["key"], "place", "sources")
     src = src.withColumn("weight", (F.col("place") % 3 + 1) if weights is None else weights).withColumn("most", F.col("source_size") * F.lit(repeats))
     src = saved(src.withColumn("room", F.col("most") / F.col("weight")), "weights", True)
     level, last = -1.0, None
