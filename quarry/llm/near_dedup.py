@@ -20,8 +20,8 @@ and links are confirmed on those alone:
   ends are not yet connected are held against each other, each pair in the
   first group it has, and only links that connect something come out.
 
-A group's node numbers meet in one task, 8 bytes each.  Their sets do not: a
-large group is dealt out by pairs of its parts.
+A group is rows of one table, never a list in one cell, and a large one is dealt
+out by pairs of its parts, so no task holds more than two parts.
 
 Connected components come from repeated minimum labels with pointer jumping,
 each round a saved table.
@@ -37,13 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import columns, mix64, runs, saved, squeeze, texts_of, unsqueeze
+from quarry.llm.common import columns, mix64, runs, saved, sieve, sieved, squeeze, texts_of, unsqueeze, unused
 from quarry.llm.shingles import shingle_sets
 
 CHUNKS, WIDTH = 11, 4
 VALUES, LIMIT = CHUNKS * WIDTH, 2 * CHUNKS - 1
 #: Links have 100 * intersection >= percent * union, with this percent unless told otherwise.
-PERCENT = 85
+PERCENT = 80
 #: Characters of text that are hashed at a time.
 AT_ONCE = 1 << 18
 TILE = 1024
@@ -103,34 +103,28 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(mark, "doc_id bigint, text_hash bigint, n bigint, print binary, signature binary")
 
 
-def _groups(nodes: DataFrame, buckets: int) -> DataFrame:
-    """(grp, keys, members): nodes that share an index key, two or more; each distinct group once, with the numbers of its keys."""
+def _members(nodes: DataFrame) -> DataFrame:
+    """(grp, keys, parts, part, node): nodes that share an index key, two or more; each distinct group once, with the numbers of its keys.
+
+    A group's members are rows, never a list.  Groups are told apart by their
+    size and two sums (exclusive or) of 64-bit hashes of their members, which
+    Spark adds up before the exchange, so a key that a third of all nodes have
+    costs no task more than others.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node = np.asarray(batch.column(0), np.int64)
             keys = index_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(node), VALUES)).ravel()
-            who, which, bucket = np.repeat(node, VALUES), np.tile(np.arange(VALUES, dtype=np.uint8), len(node)), keys % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            at = [(b, order[cuts[b] : cuts[b + 1]]) for b in range(buckets) if cuts[b + 1] > cuts[b]]
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in at], pa.int32()), **{n: [squeeze(v[o]) for _, o in at] for n, v in (("keys", keys), ("which", which), ("who", who))}})
-
-    def gather(cells: pa.Table) -> pa.Table:
-        keys, which, who = (np.concatenate([unsqueeze(x, t) for x in cells.column(n).to_pylist()]) for n, t in (("keys", np.uint64), ("which", np.uint8), ("who", np.int64)))
-        order = np.lexsort((who, keys))
-        keys, which, who = keys[order], which[order], who[order]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        last = np.r_[first[1:], len(keys)]
-        found: dict[bytes, list[int]] = {}
-        for i, j in zip(first[last - first > 1].tolist(), last[last - first > 1].tolist(), strict=True):
-            found.setdefault(who[i:j].tobytes(), []).append(int(which[i]))
-        return pa.table({"keys": pa.array(list(found.values()), pa.list_(pa.int32())), "members": pa.array([np.frombuffer(x, np.int64) for x in found], pa.list_(pa.int64()))})
-
-    cells = nodes.select("node", "signature").mapInArrow(spread, "bucket int, keys binary, which binary, who binary")
-    found = saved(cells.groupBy("bucket").applyInArrow(gather, "keys array<int>, members array<bigint>"), "near-groups")
-    same = found.groupBy(F.xxhash64("members").alias("mark"), F.size("members").alias("size"), F.element_at("members", 1).alias("least"))
-    return same.agg(F.flatten(F.collect_list("keys")).alias("keys"), F.first("members").alias("members")).select("keys", "members").withColumn("grp", F.monotonically_increasing_id())
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.tile(np.arange(VALUES, dtype=np.int32), len(node))), pa.array(np.repeat(node, VALUES))], ["key", "which", "node"])
+
+    keyed = saved(nodes.select("node", "signature").mapInArrow(spread, "key bigint, which int, node bigint"), "near-keys", True)
+    sums = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("b"), F.first("which").alias("which")]
+    groups = keyed.groupBy("key").agg(*sums).where("n > 1").groupBy("n", "a", "b").agg(F.min("key").alias("grp"), F.collect_set("which").alias("keys"))
+    groups = saved(groups.select("grp", "keys", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "near-groups", True)
+    some = sieved(keyed, F.col("key"), sieve(groups, "grp"), "maybe").where("maybe")
+    members = some.join(groups, some["key"] == groups["grp"])
+    return saved(members.select("grp", "keys", "parts", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int").alias("part"), "node"), "near-members", True)
 
 
 def _values(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -189,7 +183,7 @@ def _across(members: DataFrame, known: DataFrame, sets: DataFrame, percent: int)
     opened = members.join(known, "node")
     mixed = opened.groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("grp")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    opened = opened.join(mixed, "grp", "left_semi").withColumn("part", (F.col("at") % F.col("parts")).cast("int")).withColumn("other", other)
+    opened = opened.join(mixed, "grp", "left_semi").withColumn("other", other)
     opened = opened.withColumns({"first": F.least("part", "other"), "second": F.greatest("part", "other")})
     task = ["grp", "first", "second"]
     opened = opened.select(*task, "node", "n", "alone", "label", "part", "signature", "keys")
@@ -277,8 +271,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marked = saved(_marked(texts), "near-marks")
     nodes = marked.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature"))
     nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes", True)
-    groups = saved(_groups(nodes, max(16, min(4096, nodes.count() // 4096))), "near-groups")
-    wanted = saved(nodes.join(groups.select(F.explode("members").alias("node")).distinct(), "node", "left_semi").select("node", "print", F.col("doc_id").alias("of")), "near-wanted", True)
+    members = _members(nodes)
+    wanted = saved(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "print", F.col("doc_id").alias("of")), "near-wanted", True)
 
     def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,8 +282,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     {"print": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), "list": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), "shingles": pa.array([squeeze(s) for s in sets], pa.binary())}
                 )
 
-    ids = wanted.select("of").distinct()
-    again = texts.join(ids.hint("shuffle_hash"), texts["doc_id"].eqNullSafe(ids["of"]), "left_semi").select("text")
+    ids = wanted.select("of", F.xxhash64("of").alias("mark")).distinct()
+    # texts of ids that surely aren't among them stay where they are
+    some = sieved(texts, F.xxhash64("doc_id"), sieve(ids, "mark"), "maybe").where("maybe")
+    again = some.join(ids, some["doc_id"].eqNullSafe(ids["of"]), "left_semi").select("text")
     sets = again.mapInArrow(read_sets, "print binary, list array<bigint>, shingles binary").join(wanted.select("print", "node"), "print").dropDuplicates(["node"])
     sets = saved(sets.select("node", "list", "shingles"), "near-sets")
     single = sets.select("node", F.explode("list").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
@@ -297,7 +293,6 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = nodes.join(wanted.select("node"), "node").join(alone, "node", "left").select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"), F.col("node").alias("label"), "signature")
     # what has too many shingles to itself can't reach the least similarity with anything
     known = saved(known.where(100 * (F.col("n") - F.col("alone")) >= percent * F.col("n")), "near-known", True)
-    members = groups.select("grp", "keys", F.ceil(F.size("members") / PART).cast("int").alias("parts"), F.posexplode("members").alias("at", "node"))
     links = _confirmed(saved(_to_centre(members, known, percent), "near-pairs", True), sets, percent)
     labels = components(links)
     now = known.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).select("node", "n", "alone", "label", "signature")
@@ -311,7 +306,17 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows that ``near_dedup`` keeps, with all their columns: one document of each component."""
-    judged = near_dedup(docs, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_text")).distinct()
-    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
-    return rows.join(saved(judged, "near-judged", True), rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_anti").drop("_hash")
+    """The rows that ``near_dedup`` keeps, with all their columns, whatever their names: one document of each component.
+
+    Nulls, repeats and empty tables are as there.  Rows that surely stay are not
+    moved; only those that may go are joined with the ids and hashes of what goes.
+    """
+    gone = near_dedup(docs, id_col, text_col, percent).where("not kept").select(F.col(f"`{id_col}`").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    gone = saved(gone.withColumn("mark", F.xxhash64("gone_id", "gone_hash")), "near-gone", True)
+    mark, maybe = unused(docs, "mark", "maybe")
+    rows = docs.withColumn(mark, F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    rows = sieved(rows, F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{mark}`")), sieve(gone, "mark"), maybe)
+    gone = gone.select("gone_id", "gone_hash")
+    held = rows.where(F.col(f"`{maybe}`"))
+    open_ = held.join(gone, held[f"`{id_col}`"].eqNullSafe(gone["gone_id"]) & (held[f"`{mark}`"] == gone["gone_hash"]), "left_anti")
+    return rows.where(~F.col(f"`{maybe}`")).unionByName(open_).select(*[F.col(f"`{c}`") for c in docs.columns])

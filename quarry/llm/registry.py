@@ -67,7 +67,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(documents(spark, sf_dir)).drop("text_hash")
+    return near_dedup.near_dedup(documents(spark, sf_dir), percent=85).drop("text_hash")
 
 
 QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mixing, op3_toxicity, op4_topk_search, op5_byte_bpe, op6_secret_scan, op7_suffix_dedup, op8_lm_scoring, op9_exact_dedup, op10_near_dedup)}

@@ -338,7 +338,7 @@ def test_lm_without_training(spark):
     assert (r["train_tokens"], r["n_known"], r["base_score"]) == (0, 0, 0.0) and math.isclose(r["bits_per_byte"], 8.0, rel_tol=1e-6)
 
 
-def near_brute(rows):
+def near_brute(rows, percent=85):
     sets = []
     for _, t in rows:
         w = (t or "").translate({i: i + 32 for i in range(65, 91)})
@@ -354,7 +354,7 @@ def near_brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             a, b = sets[i], sets[j]
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 label[max(root(i), root(j))] = min(root(i), root(j))
     least = defaultdict(list)
     for i, (d, _) in enumerate(rows):
@@ -375,10 +375,10 @@ def test_near_dedup(spark, rows, monkeypatch):
     want = Counter(near_brute(every))
     for part in (1024, 16):
         monkeypatch.setattr(near_dedup, "PART", part)
-        got = near_dedup.near_dedup(docs_of(spark, every)).collect()
+        got = near_dedup.near_dedup(docs_of(spark, every), percent=85).collect()
         assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
-    kept = near_dedup.without_near_copies(docs_of(spark, every))
+    kept = near_dedup.without_near_copies(docs_of(spark, every), percent=85)
     assert {r["doc_id"] for r in kept.collect()} == {c for _, _, c in want}
 
 
@@ -477,7 +477,7 @@ def test_pipeline_stages(spark, tmp_path, rows):
     for i, t in sorted(survivors, key=lambda r: r[0]):
         first.setdefault(norm(t), (i, t))
     assert seen[1] == {i for i, _ in first.values()}
-    assert seen[2] == {c for _, _, c in near_brute(list(first.values()))}
+    assert seen[2] == {c for _, _, c in near_brute(list(first.values()), 80)}
     assert seen[3] <= seen[2]
     ids = corpus_pipeline.run(spark, str(tmp_path))
     assert ids.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and ids.count() == now.count() and ids.where("octet_length(ids) <> 4 * n_tokens").count() == 0
