@@ -113,9 +113,11 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, mo
     """A chain fitted on at most ``most`` labelled rows.
 
     Rows whose id or any label is null are left out; labels that repeat for
-    an id count once, the largest of each.  Null texts are empty.  Without
-    labelled rows every probability is one half, and with none of a category
-    it is near 0.
+    an id count once, the largest of each, and of texts that share an id the
+    least one is learnt from, so the bound holds whatever repeats.  Null texts
+    are empty; a text of any length is read whole.  Without labelled rows every
+    probability is one half, and with none of a category it is near 0.  Other
+    columns are ignored.
     """
     names = tuple(c[0] for c in categories)
     truth = columns(labels, id_col, *dict.fromkeys(c[1] for c in categories)).withColumnRenamed(id_col, "doc_id")
@@ -124,7 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, mo
     truth = truth.dropna().groupBy("doc_id").agg(*[F.max(m).alias(m) for m in marks])
     truth = truth.withColumn("h", unit_hash(F.col("doc_id"), 3)).orderBy("h", "doc_id").limit(most).withColumn("fold", (F.col("h") % FOLDS).cast("int")).drop("h")
     texts = columns(docs, id_col, text_col).toDF("doc_id", "text")
-    sample = saved(texts.join(F.broadcast(truth), "doc_id"), "toxicity-sample")
+    found = texts.join(F.broadcast(truth), "doc_id")  # at most ``most`` rows of numbers
+    sample = saved(found.groupBy("doc_id", "fold", *marks).agg(F.min("text").alias("text")), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[str, int], list[int]] = defaultdict(lambda: [0] * (1 + len(names)))
@@ -187,7 +190,16 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple = CATEGORIES, mo
 
 
 def score(docs: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "p_") -> DataFrame:
-    """The rows with a probability for each category (columns ``p_<name>``). Null texts are scored as empty ones."""
+    """The rows with a probability for each category (columns ``p_<name>``), whatever their other columns.
+
+    Null texts are scored as empty ones, and a text of any length is read
+    whole; an empty table gives an empty result.  Rows are scored each by
+    itself, so repeated ones have equal scores.  A table that has one of the new
+    columns already is an error: another prefix avoids it.
+    """
+    names = [prefix + n for n in chain.names]
+    if taken := {c.lower() for c in docs.columns} & {n.lower() for n in names}:
+        raise ValueError(f"the table has columns {sorted(taken)}")
     held = docs.sparkSession.sparkContext.broadcast(chain)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +208,8 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
                 out = [model.probabilities(present(t, model.features)) for t in texts_of(batch, text_col)]
-                for i, name in enumerate(model.names):
-                    batch = batch.append_column(prefix + name, pa.array([p[i] for p in out], pa.float64()))
+                for i, name in enumerate(names):
+                    batch = batch.append_column(name, pa.array([p[i] for p in out], pa.float64()))
                 yield batch
 
-    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *[T.StructField(prefix + n, T.DoubleType()) for n in chain.names]]))
+    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]]))

@@ -427,6 +427,124 @@ def test_license_scan(spark):
     assert (full["first_word"], full["n_shingles"]) == (300, full["n_matched"])
 
 
+def chain_brute(texts, labels, tested, features=toxicity.FEATURES, folds=toxicity.FOLDS):
+    """Probabilities of the chain by dense matrices: the same folds, n-grams and steps, written out."""
+    key = lambda i: int(hashlib.md5(f"3:{i}".encode()).hexdigest()[:15], 16)
+    ids = sorted(labels, key=lambda i: (key(i), i))
+    fold = np.array([key(i) % folds for i in ids])
+    held = [toxicity.grams(texts[i]) for i in ids]
+    y = np.array([labels[i] for i in ids], float)
+
+    def chosen(use, c):
+        n, good = use.sum(), y[use, c].sum()
+        seen, both = Counter(), Counter()
+        for g, u, v in zip(held, use, y[:, c], strict=True):
+            if u:
+                seen.update(g)
+                both.update(g if v else ())
+        cell = lambda k, of: k * math.log(k / of) if k > 0 else 0.0
+        gain = {}
+        for g, b in seen.items():
+            a, p = both[g], good / n
+            if b > 1:
+                gain[g] = cell(a, b * p) + cell(b - a, b * (1 - p)) + cell(good - a, (n - b) * p) + cell(n - good - b + a, (n - b) * (1 - p))
+        return sorted(gain, key=lambda g: (-round(gain[g], 6), g))[:features]
+
+    def fitted(x, target, use):
+        x, target = np.column_stack([x, np.ones(len(x))])[use], target[use]
+        curve = (np.abs(x) * np.abs(x).sum(1)[:, None]).sum(0) / 4 + 1.0
+        penalty = np.full(x.shape[1], toxicity.PENALTY)
+        penalty[-1] = 0.0
+        w = np.zeros(x.shape[1])
+        w[-1] = math.log((target.sum() + 0.5) / (len(target) - target.sum() + 0.5))
+        v, t = w, 1.0
+        for _ in range(toxicity.ROUNDS):
+            new = v - (x.T @ (1 / (1 + np.exp(-np.clip(x @ v, -30, 30))) - target) + penalty * v) / (curve + penalty)
+            t, v, w = (1 + math.sqrt(1 + 4 * t * t)) / 2, new + (t - 1) / ((1 + math.sqrt(1 + 4 * t * t)) / 2) * (new - w), new
+        return w
+
+    table = lambda names, sets: np.array([[g in s for g in names] for s in sets], float).reshape(len(sets), len(names))
+    odds = lambda w, x: np.clip(np.column_stack([x, np.ones(len(x))]) @ w, -30, 30)
+    outside, final, shown = np.zeros((len(ids), 0)), np.zeros((len(tested), 0)), [toxicity.grams(t) for t in tested]
+    for c in range(y.shape[1]):
+        every = np.ones(len(ids), bool)
+        names = chosen(every, c)
+        w = fitted(np.column_stack([table(names, held), outside]), y[:, c], every)
+        final = np.column_stack([final, odds(w, np.column_stack([table(names, shown), final]))])
+        part = np.zeros(len(ids))
+        for f in range(folds):
+            own = chosen(fold != f, c)
+            x = np.column_stack([table(own, held), outside])
+            part[fold == f] = odds(fitted(x, y[:, c], fold != f), x)[fold == f]
+        outside = np.column_stack([outside, part])
+    return 1 / (1 + np.exp(-final))
+
+
+def test_toxicity_equals_a_dense_chain(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FEATURES", 60)
+    rng = random.Random(3)
+    texts = {i: prose(rng, rng.randrange(5, 40)) + rng.choice([" grobnak", "", "", " zzyxlo***"]) for i in range(150)}
+    labels = {i: (int("***" in t), int("grobnak" in t or rng.random() < 0.05)) for i, t in texts.items()}
+    df = docs_of(spark, list(texts.items()))
+    y = spark.createDataFrame([(i, 1 - j, t) for i, (j, t) in labels.items()], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: (r["p_junk"], r["p_toxic"]) for r in toxicity.score(df, toxicity.train(df, y)).collect()}
+    want = chain_brute(texts, labels, list(texts.values()), 60)
+    assert np.allclose([got[i] for i in texts], want, atol=1e-6)
+
+
+def test_operators_keep_columns_of_any_name(spark, rows):
+    """Tables whose own columns have the names that operators use inside."""
+    own = ["key", "h", "size", "times", "copy", "_hash", "_digest", "digest", "maybe", "mark", "row", "gone_id", "at", "bucket", "of", "byte", "bitmap", "threshold", "extra", "target"]
+    df = docs_of(spark, rows).select("doc_id", "text", "source", *[F.concat(F.lit(f"{n}:"), F.coalesce(F.col("doc_id"), F.lit(-1))).alias(n) for n in own])
+    for out in (mixing.mixed(df), exact_dedup.without_copies(df), near_dedup.without_near_copies(df)):
+        assert out.columns == df.columns
+        kept = out.collect()
+        assert kept and all(r[n] == f"{n}:{-1 if r['doc_id'] is None else r['doc_id']}" for r in kept for n in own)
+    with pytest.raises(ValueError, match="p_toxic"):
+        toxicity.score(df.withColumn("p_toxic", F.lit(0)), toxicity.Chain(("toxic",), (), ((),), ((),), (0.0,)))
+
+
+def test_mixing_tells_rows_of_one_id_apart(spark):
+    """Null and repeated ids: every source stays within one document of its target."""
+    words = "w " * 10
+    rows = [(None, words + str(i)) for i in range(1000)] + [(i % 50, words + str(i)) for i in range(1000)] + [(i, words + "z") for i in range(5000, 6000)]
+    df = docs_of(spark, rows).withColumn("source", F.when(F.col("doc_id").isNull(), "a").when(F.col("doc_id") < 50, "b").otherwise("c"))
+    out = mixing.mix_sources(df)
+    left = out.groupBy("source").agg((F.first("target") - F.sum("taken")).alias("left")).collect()
+    assert len(left) == 3 and all(0 <= r["left"] < 11 for r in left)
+    assert mixing.mixed(df).count() == out.agg(F.sum("times")).first()[0]
+
+
+def test_names_do_not_depend_on_partitions(spark):
+    texts = spark.createDataFrame([(i, f"text {i % 39} " * (1 + i % 3)) for i in range(120)], "k int, text string")
+    found = []
+    for n in (4, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        found.append({r["k"]: (r["level"], r["name"]) for r in exact_dedup.block_names(texts.repartition(n), ["k"], 8).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1]
+
+
+def test_licenses_beside_others(spark):
+    """Every short notice within and beside every long one, at 64 offsets: none is lost."""
+    rng = random.Random(6)
+    words = lambda t: re.sub("[^a-z0-9]+", " ", t.lower()).split()
+    cut = lambda t: {tuple(words(t)[i : i + 5]) for i in range(len(words(t)) - 4)}
+    rows = []
+    for k in range(64):
+        for first, second in (("Apache-2.0 notice", ""), ("MIT line", "MIT text"), ("MIT full", "MIT line"), ("GPL-3.0 line", "GPL-3.0 notice"), ("ISC full", "CC-BY-NC-4.0 line")):
+            rows.append((len(rows), " ".join([prose(rng, k), TEMPLATES[first], TEMPLATES.get(second, ""), prose(rng, 3)])))
+    for _ in range(300):  # with a word changed or put in here and there
+        w = words(TEMPLATES[rng.choice(sorted(TEMPLATES))])
+        for _ in range(rng.randrange(0, len(w) // 18 + 1)):
+            w.insert(rng.randrange(len(w)), "zq")
+        rows.append((len(rows), " ".join([prose(rng, rng.randrange(30)), *w, prose(rng, rng.randrange(30))])))
+    sets = {k: cut(v) for k, v in TEMPLATES.items()}
+    want = {(i, k) for i, t in rows for k, s in sets.items() if len(s & cut(t)) >= 0.8 * len(s)}
+    got = {(r["doc_id"], r["template"]) for r in license_scan.license_scan(docs_of(spark, rows)).collect()}
+    assert got == want and sum(k == "Apache-2.0 line" for _, k in got) >= 64
+
+
 def test_toxicity_on_held_out(spark):
     rng = random.Random(1)
     bad = ["grobnak", "zzyxlo", "vilefy"]
