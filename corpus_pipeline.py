@@ -2,7 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's docs.  Stages keep every column of
-documents; the last returns the ids of each text.
+documents, and others that the table has, whatever their names; the last returns
+the ids of each text.  A null text counts as empty in every stage, null ids are
+ids, rows that repeat are rows (until a stage drops copies), and an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -20,25 +23,31 @@ ORACLE_SQL = None
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain doesn't call toxic; it learns from the labelled ones."""
+    """Documents that the classifier chain doesn't call toxic; it learns from the labelled ones.
+
+    Null and empty texts are scored as empty ones; rows that repeat are judged alike.
+    """
     common.small_batches(spark)
     chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, chain, prefix="_p_").where(F.col("_p_toxic") < TOXIC).select(*docs.columns)
+    prefix = "p_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    return toxicity.score(docs, chain, prefix=prefix).where(F.col(f"`{prefix}toxic`") < TOXIC).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text, white space aside: the one with the smallest id."""
+    """One document of each text, white space aside: the one with the smallest id, null ids last; all empty texts are one."""
     return exact_dedup.without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies, five words and a similarity of 0.8 or more: the one with the smallest id. Texts without words stay."""
     common.small_batches(spark)
     return near_dedup.without_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources uses them: not at all, or up to three times."""
+    """Documents as often as the mix of sources uses them: not at all, or up to three times. A null source is one of its own."""
     return mixing.mixed(docs)
 
 
