@@ -324,7 +324,7 @@ def shard_bounds(packed: DataFrame, depth: int) -> list[int]:
         for batch in batches:
             for x in batch.to_pylist():
                 places = Places(_bodies(x["ends"], x["data"]), depth)
-                some = np.unique(places.strings(places.at[::SPARSE])) >> np.uint64(8)
+                some = distinct(places.strings(places.at[::SPARSE]))[0] >> np.uint64(8)
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64))], ["context"])
 
     if n_blocks < 2:
@@ -407,15 +407,20 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
         (x,) = block.to_pylist()
         bodies, replied = _bodies(x["ends"], x["data"]), {r["shard"]: r for r in replies.to_pylist()}
         places = Places(bodies, depth)
-        grams = np.zeros(0, np.uint64)
+        # each piece's places in order of their strings, the number of each one's string, and those strings
+        parts = []
         for piece in places.pieces():
-            grams = np.union1d(grams, piece)
+            order = np.argsort(piece)
+            piece = piece[order]
+            first = np.r_[True, piece[1:] != piece[:-1]]
+            parts.append((order.astype(np.int32), np.cumsum(first, dtype=np.int32) - 1, piece[first]))
+        grams, _ = distinct(np.concatenate([strings for _, _, strings in parts]))
         logs = np.concatenate([unplanes(replied[s]["logs"], np.float64) for s in sorted(replied)])  # shards are in order of strings
-        each = np.zeros(len(places.at))
-        for a in range(0, len(places.at), AT_ONCE // 16):  # in order, so that sorted strings meet sorted grams
-            chunk = places.strings(places.at[a : a + AT_ONCE // 16])
-            order = np.argsort(chunk)
-            each[a + order] = logs[np.searchsorted(grams, chunk[order])]
+        each, at = np.empty(len(places.at)), 0
+        for order, number, strings in parts:
+            each[at + order] = logs[np.searchsorted(grams, strings)][number]
+            at += len(order)
+        del parts, logs, grams
         ends = places.ends
         score = np.add.reduceat(each, np.r_[0, ends[:-1]]) if len(ends) else each
         names: list[list[bytes]] = [[] for _ in range(shards)]
