@@ -116,12 +116,19 @@ def sieved(rows: DataFrame, key: Column, held: tuple[DataFrame, int], name: str)
     return marked.select(*[F.col(f"`{c}`") for c in rows.columns], F.coalesce(bit == 1, F.lit(False)).alias(name))
 
 
+#: Characters of a string that decide its range.
+BOUND = 32
+
+
 def ranked(values: DataFrame, keys: list[str], name: str, tag: str) -> DataFrame:
     """Saved rows with their places, from 0, in order of the keys: a range sort and an offset for each of its partitions.
 
     Places depend on the rows alone, however they are partitioned, if no two rows have equal keys.
+    Partitions are bounded by the beginnings of strings, since a sample of the bounds goes to the driver.
     """
-    ordered = saved(values.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(name, F.monotonically_increasing_id()), tag)
+    strings = {f.name for f in values.schema.fields if f.dataType.typeName() == "string"}
+    bounds = [F.substring(k, 1, BOUND) if k in strings else F.col(k) for k in keys]
+    ordered = saved(values.repartitionByRange(*bounds).sortWithinPartitions(*keys).withColumn(name, F.monotonically_increasing_id()), tag)
     part = F.shiftright(name, 33)
     counts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # a row for each partition
     before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
