@@ -56,12 +56,13 @@ def on_grid(step: str) -> str:
 
 
 def color_variance(px: DataFrame, half: int = DEFAULTS["s4"]["var_window_px"], by: tuple = ()) -> DataFrame:
-    """``variance``: the largest of the channels' variances of 0..1 values in the square around; x goes round, y repeats its edge."""
+    """The raster with ``variance``: the largest of the channels' variances of 0..1 values in the square around; x goes round, y repeats its edge."""
     names = ("red", "grn", "blu")
-    wide = px.withColumns({n: F.col(n) / 255.0 for n in names}).withColumns({f"{n}2": F.col(n) * F.col(n) for n in names})
-    sums = box_sum(wide, [*names, *[f"{n}2" for n in names]], half, "wrap", "edge", by)
-    of = [F.greatest(F.col(f"sum_{n}2") / F.col("sum_n") - (F.col(f"sum_{n}") / F.col("sum_n")) * (F.col(f"sum_{n}") / F.col("sum_n")), F.lit(0.0)) for n in names]
-    return sums.select(*by, "r", "c", F.greatest(*of).alias("variance"))
+    wide = px.withColumns({f"v_{n}": F.col(n) / 255.0 for n in names}).withColumns({f"v_{n}2": F.col(f"v_{n}") * F.col(f"v_{n}") for n in names})
+    own = [c for c in px.columns if c not in (*by, "r", "c", "h", "w")]
+    sums = box_sum(wide, [f"v_{n}{k}" for n in names for k in ("", "2")], half, "wrap", "edge", by, own)
+    mean = lambda v: F.col(f"sum_v_{v}") / F.col("sum_n")
+    return sums.withColumn("variance", F.greatest(*[F.greatest(mean(f"{n}2") - mean(n) * mean(n), F.lit(0.0)) for n in names])).select(*px.columns, "variance")
 
 
 def thinned(px: DataFrame, p: dict = DEFAULTS["s4"]) -> DataFrame:
@@ -124,7 +125,7 @@ def place(px: DataFrame, p: dict = DEFAULTS["s4"], multiplier: float = 1.0, band
     px = routed(px, p)
     px = edge_class(px, band, by) if band else log_gradient_edges(px, DEFAULTS["s3"]["log_grad_min"], by).withColumnRenamed("log_edge", "edge")
     px = classed(px, "edge", p, multiplier)
-    px = thinned(px.join(color_variance(px, p["var_window_px"], by), [*by, "r", "c"]), p)
+    px = thinned(color_variance(px, p["var_window_px"], by), p)
     at = normals(px, by).withColumn("at", F.expr("r * w + c"))
     size = f"(d * {g.PIXEL} * %s * {p['scale_multiplier']}e0)"
     fade = f"greatest(0e0, least(1e0, ({p['shell_m']}e0 - d) / {p['feather_m']}e0))"

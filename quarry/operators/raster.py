@@ -56,29 +56,31 @@ def padded(px: DataFrame, radius: int, axis: str, border: str) -> DataFrame:
     return px.withColumn(at, F.explode(every))
 
 
-def box_sum(px: DataFrame, values: Sequence[str], radius: int, x_border: str = "wrap", y_border: str = "clip", by: Sequence[str] = ()) -> DataFrame:
+def box_sum(px: DataFrame, values: Sequence[str], radius: int, x_border: str = "wrap", y_border: str = "clip", by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
     """``sum_<v>`` over the square of side 2 * radius + 1 and ``sum_n``, its number of pixels; borders ``clip``, ``wrap``, ``edge`` or ``reflect``.
 
-    Two passes of running frames, along rows and then along columns.
+    Two passes of running frames, along rows and then along columns.  Columns to
+    ``carry`` come along, so that sums need no join with their pixels.
     """
-    keep = [*by, "r", "c", "h", "w"]
-    out = px.select(*keep, *values, F.lit(1).cast("long").alias("n"))
+    keep = [*by, "r", "c", "h", "w", *carry]
+    out = px.select(*keep, *[F.col(v).alias(f"sum_{v}") for v in values], F.lit(1).cast("long").alias("sum_n"))
+    values = [f"sum_{v}" for v in [*values, "n"]]
     for axis, border in (("x", x_border), ("y", y_border)):
         at, size = ("c", "w") if axis == "x" else ("r", "h")
         wide = out if border == "clip" else padded(out, radius, axis, border)
         frame = _line(axis, by).rowsBetween(-radius, radius)
-        out = wide.select(*keep, *[F.sum(v).over(frame).alias(v) for v in [*values, "n"]]).where((F.col(at) >= 0) & (F.col(at) < F.col(size)))
-    return out.select(*keep, *[F.col(v).alias(f"sum_{v}") for v in [*values, "n"]])
+        out = wide.select(*keep, *[F.sum(v).over(frame).alias(v) for v in values]).where((F.col(at) >= 0) & (F.col(at) < F.col(size)))
+    return out
 
 
-def weighted_line(px: DataFrame, value: str, weights: Sequence[float], axis: str, border: str = "reflect", by: Sequence[str] = ()) -> DataFrame:
-    """The value convolved along an axis with symmetric weights of odd number."""
+def weighted_line(px: DataFrame, values: Sequence[str], weights: Sequence[float], axis: str, border: str = "reflect", by: Sequence[str] = ()) -> DataFrame:
+    """The values convolved along an axis with symmetric weights of odd number, all in one pass."""
     radius = len(weights) // 2
     at, size = ("c", "w") if axis == "x" else ("r", "h")
     w = _line(axis, by)
-    total = sum((F.lit(k) * (F.lag(value, radius - i).over(w) if i < radius else F.lead(value, i - radius).over(w)) for i, k in enumerate(weights)), F.lit(0.0))
+    total = lambda v: sum((F.lit(k) * (F.lag(v, radius - i).over(w) if i < radius else F.lead(v, i - radius).over(w)) for i, k in enumerate(weights)), F.lit(0.0))
     wide = padded(px, radius, axis, border)
-    return wide.withColumn(value, total).where((F.col(at) >= 0) & (F.col(at) < F.col(size)))
+    return wide.withColumns({v: total(v) for v in values}).where((F.col(at) >= 0) & (F.col(at) < F.col(size)))
 
 
 def central_difference(value: str, axis: str, by: Sequence[str] = ()) -> Column:
@@ -130,11 +132,11 @@ def bilinear(points: DataFrame, raster: DataFrame, values: Sequence[str], wrap_x
 
 def box_filter_guided(px: DataFrame, guide: str, src: str, radius: int, eps: float, by: Sequence[str] = ()) -> DataFrame:
     """The guided filter: ``<src>_guided`` is locally linear in the guide. x goes round, y is clipped."""
-    keys = [*by, "r", "c"]
     products = px.withColumns({"g": F.col(guide), "s": F.col(src), "gg": F.col(guide) * F.col(guide), "gs": F.col(guide) * F.col(src)})
-    m = box_sum(products, ["g", "s", "gg", "gs"], radius, by=by)
+    own = [c for c in px.columns if c not in (*by, "r", "c", "h", "w")]
+    m = box_sum(products, ["g", "s", "gg", "gs"], radius, by=by, carry=own)
     mean = {v: F.col(f"sum_{v}") / F.col("sum_n") for v in ("g", "s", "gg", "gs")}
     a = (mean["gs"] - mean["g"] * mean["s"]) / (mean["gg"] - mean["g"] * mean["g"] + eps)
-    lin = m.withColumn("a", a).withColumn("b", mean["s"] - F.col("a") * mean["g"]).select(*keys, "h", "w", "a", "b")
-    m2 = box_sum(lin, ["a", "b"], radius, by=by)
-    return px.join(m2.drop("h", "w"), keys).withColumn(f"{src}_guided", F.col("sum_a") / F.col("sum_n") * F.col(guide) + F.col("sum_b") / F.col("sum_n")).drop("sum_a", "sum_b", "sum_n")
+    lin = m.withColumn("a", a).withColumn("b", mean["s"] - F.col("a") * mean["g"])
+    m2 = box_sum(lin, ["a", "b"], radius, by=by, carry=own)
+    return m2.withColumn(f"{src}_guided", F.col("sum_a") / F.col("sum_n") * F.col(guide) + F.col("sum_b") / F.col("sum_n")).select(*px.columns, f"{src}_guided")

@@ -41,7 +41,7 @@ def depth_scaling(spark, sf_dir):
     return views.pixel(spark, sf_dir).select("r", "c", r6("log_depth", "-ln(d + 1e-6)"), F.when(~F.col("sky"), (F.col("d") * 2.5).cast("float")).alias("metric"))
 
 
-@query(f"""WITH {PX}, s AS (SELECT unnest(range(0, 2 * h - 31, 24)) AS s FROM dim UNION SELECT 2 * h - 32 FROM dim), t AS (SELECT s.s, r, c, d + s.s * 0.1::DOUBLE AS v, least(c - s.s + 1, 32 - (c - s.s))::DOUBLE AS wt FROM pixel, s WHERE c >= s.s AND c < s.s + 32)
+@query(f"""WITH {PX}, s AS (SELECT unnest(range(0, w - 31, 24)) AS s FROM dim UNION SELECT w - 32 FROM dim), t AS (SELECT s.s, r, c, d + s.s * 0.1::DOUBLE AS v, least(c - s.s + 1, 32 - (c - s.s))::DOUBLE AS wt FROM pixel, s WHERE c >= s.s AND c < s.s + 32)
 SELECT r, c, round(sum(v * wt) / greatest(sum(wt), 1e-12), 6) AS v, count(*) AS tiles FROM t GROUP BY r, c""")
 def tile_mosaic(spark, sf_dir):
     """Overlapping tiles of what a model gives, feathered into one field."""
@@ -77,10 +77,10 @@ def interface_step(spark, sf_dir):
 @query(f"WITH {FACE_PX}, p AS (SELECT face, quantile_cont(exp(x), 0.9) AS cut FROM face_px GROUP BY face) SELECT f.face, count(*) AS n, count(*) FILTER (WHERE exp(f.x) > cut AND degrees({g.LAT.replace('r +', 'f.r +')}) > 0) AS far FROM face_px f JOIN p ON p.face = f.face, dim WHERE true GROUP BY f.face")
 def face_sky(spark, sf_dir):
     """For each face, how much of it is farther than its own 90th percentile and above the horizon."""
-    from quarry.plans.queries_raster import face_px
+    from quarry.plans.queries_raster import log_depth, weighted_px
 
-    px = views.pixel(spark, sf_dir).select("r", "c", "h")
-    at = face_px(spark, sf_dir).join(px, ["r", "c"])
+    each = F.array(*[F.struct(F.lit(i).cast("long").alias("face"), log_depth(i).alias("x"), F.col(f"wt_{i}").alias("wt")) for i, *_ in g.ring_faces()])
+    at = weighted_px(spark, sf_dir).select("r", "c", "h", F.inline(each)).where("wt > 0")
     cut = at.groupBy("face").agg(F.percentile(F.exp("x"), 0.9).alias("cut"))
     return at.join(F.broadcast(cut), "face").groupBy("face").agg(F.count("*").alias("n"), F.count_if((F.exp("x") > F.col("cut")) & (F.expr(g.PITCH_DEG) > 0)).alias("far"))
 
@@ -99,7 +99,7 @@ def bg_solid_angle_gate(spark, sf_dir):
 
 @query(f"""WITH {PX}, {KERNEL}, {TILE}, ct AS (SELECT t.r, t.c, y.k * x.k AS k, {MIRROR.format('(t.r + y.i)', 't.h')} AS r2, {MIRROR.format('(t.c + x.i)', 't.w')} AS c2 FROM tl t, kn y, kn x),
 m AS (SELECT ct.r, ct.c, sum(k * a) AS ma, sum(k * b) AS mb, sum(k * a * a) AS aa, sum(k * b * b) AS bb, sum(k * a * b) AS ab FROM ct JOIN tl ON tl.r = r2 AND tl.c = c2 GROUP BY ALL),
-s AS (SELECT r * 4 // z.h AS tj, c * 8 // z.w AS ti, avg((2 * ma * mb + 1e-4) * (2 * (ab - ma * mb) + 9e-4) / ((ma * ma + mb * mb + 1e-4) * ((aa - ma * ma) + (bb - mb * mb) + 9e-4))) AS s FROM m, dim d, LATERAL (SELECT d.h AS h, 2 * d.h AS w) z GROUP BY 1, 2)
+s AS (SELECT r * 4 // z.h AS tj, c * 8 // z.w AS ti, avg((2 * ma * mb + 1e-4) * (2 * (ab - ma * mb) + 9e-4) / ((ma * ma + mb * mb + 1e-4) * ((aa - ma * ma) + (bb - mb * mb) + 9e-4))) AS s FROM m, dim d, LATERAL (SELECT d.h AS h, d.w AS w) z GROUP BY 1, 2)
 SELECT round(min(s), 5) AS ssim_worst, round(avg(s), 5) AS ssim_mean, min(s) >= 0.30 AND avg(s) >= 0.55 AS pass FROM s""")
 def fidelity_gate(spark, sf_dir):
     """Worst and mean tile of an image against its source."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarry import views
 from quarry.functions import geometry as g
 from quarry.functions import splats as sp
-from quarry.operators import layers, metrics, place, raster, stats
+from quarry.operators import faces, layers, metrics, place, raster, stats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,8 +32,8 @@ def r6(name: str, expr: str | None = None):
     return F.round(F.expr(expr or name), 6).alias(name)
 
 
-def _faces(spark: SparkSession, faces: list | None = None) -> DataFrame:
-    return spark.sql("select * from values " + ", ".join(f"(cast({i} as bigint), {y}e0, {p}e0, {f}e0)" for i, y, p, f in faces or g.ring_faces()) + " as f(face, yaw, pitch, fov)")
+def _faces(spark: SparkSession, chosen: list | None = None) -> DataFrame:
+    return spark.sql("select * from values " + ", ".join(f"(cast({i} as bigint), {y}e0, {p}e0, {f}e0)" for i, y, p, f in chosen or g.ring_faces()) + " as f(face, yaw, pitch, fov)")
 
 
 FACES = "f(face, yaw, pitch, fov) AS (VALUES " + ", ".join(f"({i}::BIGINT, {y}::DOUBLE, {p}::DOUBLE, {f}::DOUBLE)" for i, y, p, f in g.ring_faces()) + ")"
@@ -78,22 +78,44 @@ wt AS (SELECT r, c, face, ln(d) + 0.05 * face AS x, pow(greatest(0, least(1, (cz
 face_px AS (SELECT * FROM wt WHERE wt >= 0.02)"""
 
 
-def face_px(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(face, r, c, x, wt): log depth as each face would have it, where its weight counts."""
-    of = g.face("dx", "dy", "dz", "yaw", "pitch", "fov")
-    px = g.with_directions(views.pixel(spark, sf_dir).where("d > 0")).crossJoin(F.broadcast(_faces(spark)))
-    px = px.withColumn("wt", F.expr(g.feather(of["center_cos"], of["inside"], "fov", 0.02))).where("wt > 0")
-    return px.select("face", "r", "c", (F.ln("d") + 0.05 * F.col("face")).alias("x"), "wt")
+def weighted_px(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raster with all faces' weights in each row."""
+    return faces.weighted(views.pixel(spark, sf_dir).where("d > 0").select("r", "c", "h", "w", "d"), g.ring_faces(), 0.02)
+
+
+def log_depth(face: int):
+    """Log depth as a face would have it."""
+    return F.ln("d") + 0.05 * face
 
 
 @query(f"WITH {FACE_PX} SELECT face, count(*) AS n, round(sum(wt), 4) AS total FROM face_px GROUP BY face")
 def feather_weight(spark, sf_dir):
-    return face_px(spark, sf_dir).groupBy("face").agg(F.count("*").alias("n"), F.round(F.sum("wt"), 4).alias("total"))
+    each = F.array(*[F.struct(F.lit(i).cast("long").alias("face"), F.col(f"wt_{i}").alias("wt")) for i, *_ in g.ring_faces()])
+    rows = weighted_px(spark, sf_dir).select(F.inline(each)).where("wt > 0")
+    return rows.groupBy("face").agg(F.count("*").alias("n"), F.round(F.sum("wt"), 4).alias("total"))
 
 
 @query(f"WITH {FACE_PX} SELECT r, c, round(sum(wt * x) / sum(wt), 6) AS fused, count(*) AS n FROM face_px GROUP BY r, c")
 def fuse_faces(spark, sf_dir):
-    return face_px(spark, sf_dir).groupBy("r", "c").agg(F.round(F.sum(F.col("wt") * F.col("x")) / F.sum("wt"), 6).alias("fused"), F.count("*").alias("n"))
+    return faces.fused(weighted_px(spark, sf_dir), g.ring_faces(), log_depth).where("n > 0").select("r", "c", r6("fused"), "n")
+
+
+CAPS = "fc(face, yaw, pitch, fov) AS (VALUES " + ", ".join(f"({i}::BIGINT, {y}::DOUBLE, {p}::DOUBLE, {f}::DOUBLE)" for i, y, p, f in g.ring_faces(4, 95.0)) + ")"
+
+
+@query(f"""WITH {PX}, {DIRS}, {CAPS}, cam AS (SELECT r, c, face, fov, d,
+  dx * cos(radians(yaw)) - dz * sin(radians(yaw)) AS cx,
+  -dx * sin(radians(yaw)) * sin(radians(pitch)) + dy * cos(radians(pitch)) - dz * cos(radians(yaw)) * sin(radians(pitch)) AS cy,
+  dx * sin(radians(yaw)) * cos(radians(pitch)) + dy * sin(radians(pitch)) + dz * cos(radians(yaw)) * cos(radians(pitch)) AS cz FROM dirs, fc WHERE d > 0),
+i AS (SELECT r, c, face, fov, d, cz FROM cam WHERE cz > 1e-9 AND abs(cx / cz) <= tan(radians(fov) / 2) AND abs(cy / cz) <= tan(radians(fov) / 2)),
+q AS (SELECT r, c, ln(d) + 0.05 * face AS x, pow(greatest(0, least(1, (cz - cos(radians(fov) / 2)) / (1 - cos(radians(fov) / 2)))), 2) AS wt, cz * cz AS fb FROM i),
+t AS (SELECT r, c, sum(CASE WHEN wt >= 0.02 THEN wt ELSE 0 END) AS wt, sum(CASE WHEN wt >= 0.02 THEN wt * x ELSE 0 END) AS wx, sum(fb) AS fb, sum(fb * x) AS fx FROM q GROUP BY r, c)
+SELECT r, c, round(CASE WHEN wt > 0 THEN wx / wt ELSE fx / fb END, 6) AS fused, wt = 0 AS fell_back FROM t""")
+def fallback_fusion(spark, sf_dir):
+    """Four narrow faces and the caps leave corners that no feathered weight reaches."""
+    ring = g.ring_faces(4, 95.0)
+    px = faces.weighted(views.pixel(spark, sf_dir).where("d > 0").select("r", "c", "h", "w", "d"), ring, 0.02)
+    return faces.fused(px, ring, log_depth).where("fused is not null").select("r", "c", r6("fused"), (F.col("n") == 0).alias("fell_back"))
 
 
 ADJ = "adj(i, j) AS (VALUES " + ", ".join(f"({i}::BIGINT, {j}::BIGINT)" for i, j in g.ring_adjacency()) + ")"
@@ -101,13 +123,8 @@ OVERLAP = f"{FACE_PX}, {ADJ}, overlap AS (SELECT a.face AS face_i, b.face AS fac
 
 
 def overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(face_i, face_j, xi, xj, base): pixels that two adjacent faces share. One pixel's faces meet in one grouped list, so no self-join on pixels is skewed by a face."""
-    faces = F.collect_list(F.struct("face", "x", "wt")).alias("faces")
-    at = face_px(spark, sf_dir).groupBy("r", "c").agg(faces)
-    adj = spark.sql("select * from values " + ", ".join(f"(cast({i} as bigint), cast({j} as bigint))" for i, j in g.ring_adjacency()) + " as a(i, j)")
-    one = at.select("r", "c", "faces", F.explode("faces").alias("a")).select("r", "c", "a", F.explode("faces").alias("b")).where("a.face <> b.face")
-    pairs = one.join(F.broadcast(adj), (F.col("a.face") == F.col("i")) & (F.col("b.face") == F.col("j")))
-    return pairs.select(F.col("i").alias("face_i"), F.col("j").alias("face_j"), F.col("a.x").alias("xi"), F.col("b.x").alias("xj"), F.expr("a.wt * b.wt").alias("base"))
+    """(face_i, face_j, xi, xj, base): pixels that two adjacent faces share."""
+    return faces.overlaps(weighted_px(spark, sf_dir), g.ring_adjacency(), log_depth)
 
 
 @query(f"WITH {OVERLAP} SELECT face_i, face_j, count(*) AS n, round(avg(xi - xj), 6) AS mean_step FROM overlap GROUP BY ALL")
@@ -173,7 +190,7 @@ def place_fg(spark, sf_dir):
     """The flagship: foreground placement from routing to splat."""
     px = place.routed(place.log_gradient_edges(views.pixel(spark, sf_dir), 0.30))
     px = place.classed(px, "log_edge")
-    px = place.thinned(px.join(place.color_variance(px), ["r", "c"])).where(F.expr(f"content and {place.on_grid('stride')} and keep"))
+    px = place.thinned(place.color_variance(px)).where(F.expr(f"content and {place.on_grid('stride')} and keep"))
     return g.with_directions(px).select(
         F.expr("r * w + c").alias("ord"), "class", r6("x", "dx * d"), r6("y", "dy * d"), r6("z", "dz * d"), r6("scale_0", f"ln(d * {g.PIXEL} * stride * 1.15e0)"), r6("alpha", "0.98e0 * greatest(0e0, least(1e0, (50e0 - d) / 5e0))")
     )

@@ -149,8 +149,8 @@ cv AS (SELECT *, a0 * (w00 * a0 + w01 * a1 + w02 * a2) + a1 * (w01 * a0 + w11 *
     b0 * (w00 * b0 + w01 * b1 + w02 * b2) + b1 * (w01 * b0 + w11 * b1 + w12 * b2) + b2 * (w02 * b0 + w12 * b1 + w22 * b2) + 0.3 AS sc FROM wk),
 bx AS (SELECT *, sa * sc - sb * sb AS det, floor(u - 3 * sqrt(sa)) AS bx0, ceil(u + 3 * sqrt(sa)) AS bx1, floor(v - 3 * sqrt(sc)) AS by0, ceil(v + 3 * sqrt(sc)) AS by1 FROM cv),
 ew AS (SELECT view, ord, vw, vh, u, v, tz AS z, sc / det AS ca, -sb / det AS cb, sa / det AS cc, greatest(0, least(vw - 1, bx0))::INT AS x0, greatest(0, least(vw - 1, bx1))::INT AS x1, greatest(0, least(vh - 1, by0))::INT AS y0, greatest(0, least(vh - 1, by1))::INT AS y1,
-    1 / (1 + exp(-opacity)) AS alpha0, greatest(0, least(1, f_dc_0 * 0.28209479177387814 + 0.5)) AS red FROM bx WHERE det > 1e-12 AND bx1 >= 0 AND bx0 <= vw - 1 AND by1 >= 0 AND by0 <= vh - 1)"""
-FOOT = """fp AS (SELECT view, ord, z, red, py, px, least(0.99, alpha0 * exp(-0.5 * (ca * (px - u) * (px - u) + cc * (py - v) * (py - v) + 2 * cb * (px - u) * (py - v)))) AS alpha
+    1 / (1 + exp(-opacity)) AS alpha0, greatest(0, least(1, f_dc_0 * 0.28209479177387814 + 0.5)) AS red, greatest(0, least(1, f_dc_1 * 0.28209479177387814 + 0.5)) AS grn, greatest(0, least(1, f_dc_2 * 0.28209479177387814 + 0.5)) AS blu FROM bx WHERE det > 1e-12 AND bx1 >= 0 AND bx0 <= vw - 1 AND by1 >= 0 AND by0 <= vh - 1)"""
+FOOT = """fp AS (SELECT view, ord, z, red, grn, blu, py, px, least(0.99, alpha0 * exp(-0.5 * (ca * (px - u) * (px - u) + cc * (py - v) * (py - v) + 2 * cb * (px - u) * (py - v)))) AS alpha
   FROM ew, LATERAL (SELECT unnest(range(y0, y1 + 1)) AS py) y, LATERAL (SELECT unnest(range(x0, x1 + 1)) AS px) x), ft AS (SELECT * FROM fp WHERE alpha >= 1 / 255.0::DOUBLE)"""
 
 
@@ -176,7 +176,12 @@ def composite_relational(spark, sf_dir):
     return out.select("view", "py", "px", F.round("alpha", 5).alias("alpha"), F.round("red", 5).alias("red"), F.when(F.col("alpha") >= 1e-3, F.round("depth", 3)).alias("depth"))
 
 
-@query()
+RENDER = f"""{EWA}, {FOOT}, lt AS (SELECT *, coalesce(product(1 - alpha) OVER (PARTITION BY view, py, px ORDER BY z, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS rest FROM ft),
+im AS (SELECT view, py, px, sum(rest * alpha) AS alpha, sum(rest * alpha * red) AS red, sum(rest * alpha * grn) AS grn, sum(rest * alpha * blu) AS blu FROM lt WHERE rest >= 1e-3 GROUP BY ALL),
+gd AS (SELECT view, y.py, x.px FROM vw, LATERAL (SELECT unnest(range(0, vh)) AS py) y, LATERAL (SELECT unnest(range(0, vw)) AS px) x)"""
+
+
+@query(f"WITH {RENDER} SELECT view, py::INT AS py, px::INT AS px, " + ", ".join(f"round_even(least(1, coalesce({c}, 0)) * 255, 0)::SMALLINT AS {c}" for c in ("red", "grn", "blu")) + ", round(coalesce(alpha, 0), 4) AS alpha FROM gd LEFT JOIN im USING (view, py, px)")
 def render_exact(spark, sf_dir):
     return render.rendered(views.splat(spark, sf_dir), _views(spark)).select("view", "py", "px", "red", "grn", "blu", F.round("alpha", 4).alias("alpha"))
 

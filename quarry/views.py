@@ -1,6 +1,6 @@
 """The engine's tables as views over the star schema, for queries and benchmarks.
 
-``pixel`` is a dense 2:1 raster from events, ``splat`` a cloud from embeddings,
+``pixel`` is a dense raster of all events, ``splat`` a cloud from embeddings,
 ``detection`` boxes from labels, ``receipt`` and ``artifact`` provenance rows
 from orders and their lines.  Each has the same definition in Spark and, as a
 common table expression, in SQL for DuckDB.
@@ -11,20 +11,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PIXEL_SQL = """dim AS (SELECT floor(sqrt(count(*) / 2.0))::BIGINT AS h FROM events),
-pixel AS (SELECT event_id // (2 * h) AS r, event_id % (2 * h) AS c, h, 2 * h AS w, value AS d,
+PIXEL_SQL = """num AS (SELECT count(*)::BIGINT AS n FROM events),
+dim AS (SELECT max(t.h)::BIGINT AS h, max(n)::BIGINT // max(t.h)::BIGINT AS w FROM num, range(1, (SELECT floor(sqrt(n / 2.0))::BIGINT + 2 FROM num)) t(h) WHERE n % t.h = 0 AND 2 * t.h * t.h <= greatest(n, 2)),
+pixel AS (SELECT event_id // w AS r, event_id % w AS c, h, w, value AS d,
     floor((value * 7) % 256)::INT AS red, ((json_extract_string(props, '$.k')::BIGINT * 2) % 256)::INT AS grn, ((event_id * 31) % 256)::INT AS blu,
-    (event_type = 'error' AND event_id // (2 * h) < h / 2.0) AS sky, event_type, json_extract_string(props, '$.k')::BIGINT AS k
-  FROM events, dim WHERE event_id < 2 * h * h)"""
+    (event_type = 'error' AND event_id // w < h / 2.0) AS sky, event_type, json_extract_string(props, '$.k')::BIGINT AS k
+  FROM events, dim)"""
+
+
+def raster_size(n: int) -> tuple[int, int]:
+    """Height and width of a raster of exactly n pixels: the largest height that divides n, at most half the width."""
+    h = next((h for h in range(int((n / 2) ** 0.5), 0, -1) if n % h == 0), 1)
+    return h, n // h
 
 
 def pixel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(r, c, h, w, d, red, grn, blu, sky, event_type, k): height and width come from one count."""
+    """(r, c, h, w, d, red, grn, blu, sky, event_type, k): every event is a pixel; height and width come from one count."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    h = int((events.count() / 2) ** 0.5)
+    h, w = raster_size(events.count())
     k = F.get_json_object("props", "$.k").cast("long")
-    px = events.where(F.col("event_id") < 2 * h * h).select(
-        F.expr(f"event_id div {max(2 * h, 1)}").alias("r"), (F.col("event_id") % max(2 * h, 1)).alias("c"), F.lit(h).cast("long").alias("h"), F.lit(2 * h).cast("long").alias("w"), F.col("value").alias("d"),
+    px = events.select(
+        F.expr(f"event_id div {max(w, 1)}").alias("r"), (F.col("event_id") % max(w, 1)).alias("c"), F.lit(h).cast("long").alias("h"), F.lit(w).cast("long").alias("w"), F.col("value").alias("d"),
         F.floor((F.col("value") * 7) % 256).cast("int").alias("red"), ((k * 2) % 256).cast("int").alias("grn"), ((F.col("event_id") * 31) % 256).cast("int").alias("blu"), "event_type", k.alias("k"),
     )
     return px.withColumn("sky", (F.col("event_type") == "error") & (F.col("r") < F.col("h") / 2))
