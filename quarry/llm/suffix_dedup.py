@@ -50,7 +50,7 @@ LONGEST = LEAST + SPAN - 1
 BLOCK_BYTES = 4 << 20
 #: Longer documents are read in pieces that overlap by LEAST - 1 bytes.
 PIECE = 8 << 20
-#: Passages whose suffixes are sorted at a time, if they have different minimizers.
+#: Passages whose suffixes are sorted at a time, if they have nothing in common.
 AT_ONCE = 4096
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _STEPS = mix64(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
@@ -216,13 +216,16 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
-def repeat_groups(words: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def repeat_groups(words: np.ndarray, lengths: np.ndarray, keys: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(common length, passages, window starts) of each maximal repeat of distinct passages.
 
-    ``words`` are the passages' bytes and ``keys`` number their minimizers in
-    order; only passages with the same one can share a window, so suffix
-    arrays are built for a few thousand passages at a time.
+    ``words`` are the passages' bytes and ``keys`` number, in order, what
+    passages must have alike to share a window, so suffix arrays are built for
+    a few thousand passages at a time.  Windows start from ``first`` to ``last``
+    of each passage (all of them, if not given).
     """
+    first = np.zeros(len(words), np.int64) if first is None else first
+    last = lengths - LEAST if last is None else last
     flat = words.astype(">u8").view(np.uint8).reshape(len(words), -1)
     padded = np.concatenate([flat, np.zeros((len(flat), LONGEST + 8), np.uint8)], 1)
     shifted = np.lib.stride_tricks.as_strided(padded, (len(padded), LONGEST + 8, LONGEST), (padded.strides[0], 1, 1))
@@ -230,10 +233,12 @@ def repeat_groups(words: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> I
     for end in [*np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]:
         if end - begin < AT_ONCE and end < len(keys):
             continue
-        many = lengths[begin:end] - LEAST + 1
+        many = np.maximum(last[begin:end] - first[begin:end] + 1, 0)
         who = np.repeat(np.arange(begin, end), many)
-        at = np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many)
+        at = np.repeat(first[begin:end], many) + np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many)
         begin = end
+        if len(who) < 2:
+            continue
         left = lengths[who] - at
         suffix = shifted[who, at]
         suffix[np.arange(LONGEST) >= left[:, None]] = 0
@@ -311,25 +316,23 @@ def _repeats(xs: list[dict]) -> list[tuple]:
         # of each distinct passage, those with the smallest id are open to the others
         open_ = ids[kept] == ids[kept[first]][same]
         distinct, its = kept[first], words[first]
-        near = _sharing(data, begin, length, anchor, distinct)
-        if near.any():
-            chosen = np.flatnonzero(near)
-            number = np.cumsum(np.r_[True, (key[distinct[chosen]][1:] != key[distinct[chosen]][:-1]).any(1)])
-            where, who, at, reach = distinct[chosen], [], [], []
-            for depth, members, starts in repeat_groups(its[chosen], length[where], number):
+        who, at, reach = [], [], []
+        for chosen, number, low, high in _sharing(data, begin, length, anchor, distinct):
+            where = distinct[chosen]
+            for depth, members, starts in repeat_groups(its[chosen], length[where], number, low, high):
                 over = ids[where[members]] > ids[where[members]].min()
-                who.append(members[over])
+                who.append(chosen[members[over]])
                 at.append(starts[over])
                 reach.append(np.full(over.sum(), depth, np.int64))
-            if who:
-                members, starts, depths = (np.concatenate(v) for v in (who, at, reach))
-                # every open copy of the passage
-                copies = kept[open_]
-                of = same[open_]
-                run = np.searchsorted(of, chosen[members]), np.searchsorted(of, chosen[members], "right")
-                n = run[1] - run[0]
-                index = np.repeat(run[0], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                out.append((copies[index], np.repeat(starts, n), np.repeat(depths, n)))
+        if who:
+            members, starts, depths = (np.concatenate(v) for v in (who, at, reach))
+            # every open copy of the passage
+            copies = kept[open_]
+            of = same[open_]
+            run = np.searchsorted(of, members), np.searchsorted(of, members, "right")
+            n = run[1] - run[0]
+            index = np.repeat(run[0], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            out.append((copies[index], np.repeat(starts, n), np.repeat(depths, n)))
     which, start, reach = (np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(3))
     n = count[which]
     index = np.repeat(own[which], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -340,26 +343,30 @@ def _repeats(xs: list[dict]) -> list[tuple]:
     return [(xs[b]["block"], *map(squeeze, (doc[i:j].astype(np.int64), place[i:j], span[i:j]))) for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if j > i]
 
 
-def _sharing(data: np.ndarray, begin: np.ndarray, length: np.ndarray, anchor: np.ndarray, distinct: np.ndarray) -> np.ndarray:
-    """Which distinct passages may share a window with another one.
+def _sharing(data: np.ndarray, begin: np.ndarray, length: np.ndarray, anchor: np.ndarray, distinct: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Distinct passages that may share a window with another one, twice: (their numbers, number of what they share, first and last window start).
 
-    A window that begins ``left`` bytes before the anchor or later reaches
+    A window that begins at most ``left`` bytes before the anchor reaches
     ``LEAST - left`` bytes from the anchor's start, and an earlier one that
-    many bytes to the left: one of these two strings is the same in both.
+    many bytes to the left: one of these two strings is the same in all that
+    share the window.  So passages of one frequent anchor are told apart by
+    what surrounds it, and only those with equal surroundings are compared.
     """
     left = (SPAN - 1) // 2
-    near = np.zeros(len(distinct), bool)
     at, room = begin[distinct] + anchor[distinct], length[distinct] - anchor[distinct]
-    for start, size, has in ((at, LEAST - left, room >= LEAST - left), (at - left, left + ANCHOR, anchor[distinct] >= left)):
+    whole, middle = length[distinct] - LEAST, anchor[distinct] - left
+    sides = ((at, LEAST - left, room >= LEAST - left, np.maximum(middle, 0), whole), (at - left, left + ANCHOR, middle >= 0, np.zeros_like(whole), np.minimum(middle, whole)))
+    for start, size, has, low, high in sides:
         some = np.flatnonzero(has)
         if len(some) < 2:
             continue
         words = words_of(rows_of(data, start[some], np.full(len(some), size), size))
         order = in_order(*words.T)
-        same = (words[order][1:] == words[order][:-1]).all(1)
-        near[some[order][1:][same]] = True
-        near[some[order][:-1][same]] = True
-    return near
+        number = np.cumsum(np.r_[False, (words[order][1:] != words[order][:-1]).any(1)])
+        shared = np.bincount(number)[number] > 1
+        some, number = some[order][shared], number[shared]
+        if len(some):
+            yield some, number, low[some], high[some]
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -373,7 +380,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty result.  Other columns are ignored.
     """
     packed = blocks(docs, BLOCK_BYTES, None, id_col, text_col)
-    buckets = max(32, min(8192, packed.count() // 2))
+    buckets = max(32, packed.count() // 2)
 
     def announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("marks", pa.binary()), ("several", pa.binary())])
