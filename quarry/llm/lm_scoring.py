@@ -96,10 +96,9 @@ class Places:
         #: where each text's places end, counted in places
         self.ends = np.cumsum([len(b) + 1 for b in bodies], dtype=np.int64)
         starts = np.r_[0, self.ends[:-1]] + depth * np.arange(len(bodies)) if len(bodies) else np.zeros(0, np.int64)
-        told = np.ones(len(self.raw), bool)
+        self.told = np.ones(len(self.raw), bool)
         for d in range(depth):
-            told[starts + d] = False
-        self.at = np.flatnonzero(told)
+            self.told[starts + d] = False
 
     def strings(self, at: np.ndarray) -> np.ndarray:
         key = self.raw[at].astype(np.uint64)
@@ -108,9 +107,18 @@ class Places:
         return key
 
     def pieces(self) -> Iterator[np.ndarray]:
-        """The strings, in order, some at a time."""
-        for start in range(0, len(self.at), AT_ONCE):
-            yield self.strings(self.at[start : start + AT_ONCE])
+        """The strings, in order, some at a time; the first places are never predicted, so each has its context before it."""
+        for start in range(self.depth, len(self.raw), AT_ONCE):
+            stop = min(start + AT_ONCE, len(self.raw))
+            wide = self.raw[start - self.depth : stop].astype(np.uint64)
+            key = wide[self.depth :].copy()
+            for d in range(1, self.depth + 1):
+                key |= wide[self.depth - d : len(wide) - d] << np.uint64(8 * (self.depth + 1 - d))
+            yield key[self.told[start:stop]]
+
+    def sparse(self, step: int) -> np.ndarray:
+        """Distinct strings at one of so many places."""
+        return distinct(self.strings(np.flatnonzero(self.told)[::step]))[0]
 
     def counted(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct strings in order and how often each occurs."""
@@ -324,7 +332,7 @@ def shard_bounds(packed: DataFrame, depth: int) -> list[int]:
         for batch in batches:
             for x in batch.to_pylist():
                 places = Places(_bodies(x["ends"], x["data"]), depth)
-                some = distinct(places.strings(places.at[::SPARSE]))[0] >> np.uint64(8)
+                some = places.sparse(SPARSE) >> np.uint64(8)
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64))], ["context"])
 
     if n_blocks < 2:
@@ -416,7 +424,7 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
             parts.append((order.astype(np.int32), np.cumsum(first, dtype=np.int32) - 1, piece[first]))
         grams, _ = distinct(np.concatenate([strings for _, _, strings in parts]))
         logs = np.concatenate([unplanes(replied[s]["logs"], np.float64) for s in sorted(replied)])  # shards are in order of strings
-        each, at = np.empty(len(places.at)), 0
+        each, at = np.empty(places.ends[-1] if len(places.ends) else 0), 0
         for order, number, strings in parts:
             each[at + order] = logs[np.searchsorted(grams, strings)][number]
             at += len(order)
@@ -426,16 +434,16 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
         names: list[list[bytes]] = [[] for _ in range(shards)]
         for w in {w for b in bodies for w in b.split(b" ")} | {b""}:
             names[zlib.crc32(w) % shards].append(w)
-        count: dict[bytes, int] = {}
+        log_of: dict[bytes, float] = {}
+        unseen = float(np.log10(1 / (tokens + types + 1)))
         for s, ws in enumerate(names):
             if ws:
-                count.update(zip(sorted(ws), unsqueeze(replied[s]["counts"], np.int64).tolist(), strict=True))
-        log_of = {w: float(np.log10((c + 1) / (tokens + types + 1))) for w, c in count.items()}
+                n = unsqueeze(replied[s]["counts"], np.int64)
+                log_of.update(zip(sorted(ws), np.where(n > 0, np.log10((n + 1) / (tokens + types + 1)), unseen).tolist(), strict=True))
         rows = []
         for i, body, size, total in zip(x["ids"], bodies, np.diff(ends, prepend=0).tolist(), score.tolist(), strict=True):
-            ws = [*(body.split(b" ") if body else ()), b""]
-            base = sum(map(log_of.__getitem__, ws))
-            rows.append((i, held_out(i), len(ws), sum([count[w] > 0 for w in ws]), tokens, base, total, -total * np.log2(10) / size))
+            base = list(map(log_of.__getitem__, [*(body.split(b" ") if body else ()), b""]))
+            rows.append((i, held_out(i), len(base), len(base) - base.count(unseen), tokens, sum(base), total, -total * np.log2(10) / size))
         return pa.Table.from_batches([table(result, rows)], result)
 
     done = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double")
