@@ -57,3 +57,26 @@ def fused_rows(depth: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     rows = depth.select(*by, "r", "c", "value", "wt", fallback.alias("fb"))
     mean = lambda w: F.try_divide(F.sum(F.col(w) * F.col("value")), F.nullif(F.sum(w), F.lit(0.0)))
     return rows.groupBy(*by, "r", "c").agg(F.coalesce(mean("wt"), mean("fb")).alias("ld"))
+
+
+#: Cells along a face's side, in which boxes and pixels meet.
+CELLS = 16
+
+
+def in_boxes(px: DataFrame, views: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Distinct (r, c) of pixels inside some box of a view.
+
+    ``views`` (face, yaw, pitch, fov) are a few dozen and broadcast; ``boxes``
+    (face, u0, u1, v0, v1, in parts of a side) may be many: the range join is an
+    equi-join on cells of a face.
+    """
+    of = g.face("dx", "dy", "dz", "yaw", "pitch", "fov")
+    seen = g.with_directions(px.select("r", "c", "h", "w")).crossJoin(F.broadcast(views)).select("face", "r", "c", *[F.expr(of[k]).alias(k) for k in ("u01", "v01", "inside")]).where("inside")
+    cell = lambda x: F.floor(F.greatest(F.lit(0.0), F.least(F.lit(0.999), x)) * CELLS).cast("int")
+    edges = {"u0": F.greatest("u0", F.lit(0.0)), "u1": F.least("u1", F.lit(1.0)), "v0": F.greatest("v0", F.lit(0.0)), "v1": F.least("v1", F.lit(1.0))}
+    spread = boxes.select(F.col("face").alias("of"), *[v.alias(k) for k, v in edges.items()]).where("u0 <= u1 and v0 <= v1")
+    for axis in "uv":
+        spread = spread.withColumn(f"c{axis}", F.explode(F.sequence(cell(F.col(f"{axis}0")), cell(F.col(f"{axis}1")))))
+    seen = seen.withColumns({"pu": cell(F.col("u01")), "pv": cell(F.col("v01"))})
+    hit = (F.col("face") == F.col("of")) & (F.col("pu") == F.col("cu")) & (F.col("pv") == F.col("cv")) & F.col("u01").between(F.col("u0"), F.col("u1")) & F.col("v01").between(F.col("v0"), F.col("v1"))
+    return seen.join(spread, hit, "left_semi").select("r", "c").distinct()

@@ -410,18 +410,9 @@ cam AS (SELECT r, c, face, fov, dx * cos(radians(yaw)) - dz * sin(radians(yaw))
 p AS (SELECT r, c, face, (cx / cz / tan(radians(fov) / 2) + 1) / 2 AS u, (1 - cy / cz / tan(radians(fov) / 2)) / 2 AS v FROM cam WHERE cz > 1e-9)
 SELECT DISTINCT r, c FROM p JOIN bx USING (face) WHERE u BETWEEN 0 AND 1 AND v BETWEEN 0 AND 1 AND u >= x0 / 640 AND u <= least(1, x1 / 640) AND v >= y0 / 640 AND v <= least(1, y1 / 640)""")
 def box_reproject(spark, sf_dir):
-    boxes = views.detection(spark, sf_dir).where("label = 'person' and score >= 0.5")
-    of = g.face("dx", "dy", "dz", "yaw", "pitch", "fov")
+    boxes = views.detection(spark, sf_dir).where("label = 'person' and score >= 0.5").select("face", *[(F.col(f"{a}{i}") / 640).alias(f"{b}{i}") for a, b in (("x", "u"), ("y", "v")) for i in (0, 1)])
     dims = _faces(spark).join(boxes.select("face").distinct(), "face", "left_semi")
-    px = g.with_directions(views.pixel(spark, sf_dir)).crossJoin(F.broadcast(dims)).select("face", "r", "c", *[F.expr(of[k]).alias(k) for k in ("u01", "v01", "inside")]).where("inside")
-    # a range join as an equi-join: boxes and pixels meet in cells of a sixteenth of a face
-    cell = lambda x: F.floor(F.least(F.lit(0.999), x) * 16).cast("int")
-    edges = {"bu0": F.col("x0") / 640, "bu1": F.least(F.lit(1.0), F.col("x1") / 640), "bv0": F.col("y0") / 640, "bv1": F.least(F.lit(1.0), F.col("y1") / 640)}
-    both = boxes.select(F.col("face").alias("f"), *[v.alias(k) for k, v in edges.items()]).where("bu0 <= bu1 and bv0 <= bv1")
-    both = both.withColumn("cu", F.explode(F.sequence(cell(F.col("bu0")), cell(F.col("bu1"))))).withColumn("cv", F.explode(F.sequence(cell(F.col("bv0")), cell(F.col("bv1")))))
-    inside = F.col("u01").between(F.col("bu0"), F.col("bu1")) & F.col("v01").between(F.col("bv0"), F.col("bv1"))
-    px = px.withColumns({"pu": cell(F.col("u01")), "pv": cell(F.col("v01"))})
-    return px.join(both, (F.col("face") == F.col("f")) & (F.col("pu") == F.col("cu")) & (F.col("pv") == F.col("cv")) & inside, "left_semi").select("r", "c").distinct()
+    return faces.in_boxes(views.pixel(spark, sf_dir), dims, boxes)
 
 
 @query(f"WITH {views.DETECTION_SQL} SELECT face, count(*) AS boxes, count(*) FILTER (WHERE label = 'person' AND score >= 0.5) AS hits, max(score) FILTER (WHERE label = 'person') AS top FROM detection GROUP BY face")

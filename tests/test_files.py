@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 
 import numpy as np
 import pandas as pd
@@ -78,6 +79,15 @@ def test_runs_chain_and_compare(spark, tmp_path):
         runner.promote(again, f"{tmp_path}/accepted", False)
     runner.promote(again, f"{tmp_path}/accepted", True)
     assert spark.read.parquet(f"{tmp_path}/accepted/sum/c").first()["s"] == 90
+    runner.promote(y, f"{tmp_path}/accepted", False, force=True)  # another whole run takes its place, and says that it was forced
+    assert spark.read.parquet(f"{tmp_path}/accepted/sum/c").first()["s"] == 135 and json.loads((tmp_path / "accepted/promotion.json").read_text())["forced"]
+    assert sorted(p.name for p in tmp_path.iterdir() if p.name.startswith("accepted")) == ["accepted"]
+    kept = runner.load(spark, stages, f"{tmp_path}/2")
+    assert runner.manifest_hash(kept) == runner.manifest_hash(again) and kept.receipts[0]["code"].keys() == {"git_sha", "dirty"}
+    last = runner.run(spark, stages, src, {"k": 2}, f"{tmp_path}/2", only=("sum",))  # just the last stage, on the first one's tables
+    assert last.receipts[0] == kept.receipts[0] and last.tables["c"].first()["s"] == 90 and not runner.verify(last)
+    with pytest.raises(KeyError, match="no receipt"):
+        runner.load(spark, stages, f"{tmp_path}/nowhere")
     with pytest.raises(KeyError):
         runner.run(spark, [stages[1]], src, {}, f"{tmp_path}/none")
 
