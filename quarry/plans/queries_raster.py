@@ -281,7 +281,11 @@ def bg_band(spark, sf_dir):
     return layers.background_band(px, 2).where("band").select("r", "c")
 
 
-@query()
+@query(f"""WITH {PX}, {VISIBLE}, v AS (SELECT vis.*, near_d, far_d FROM vis JOIN (SELECT r, c, near_d, far_d FROM edge) e USING (r, c) WHERE vis.edge AND parallax > pi() / h),
+wd AS (SELECT least(greatest(ceil(abs(1 / greatest(quantile_cont(near_d, 0.1), 1e-9) - 1 / greatest(quantile_cont(far_d, 0.9), 1e-9)) / (pi() / max(h)))::INT + 2, 2), 64)::INT AS width FROM v),
+o AS (SELECT dy, dx, width FROM range(-64, 65) y(dy), range(-64, 65) x(dx), wd WHERE abs(dy) + abs(dx) <= width),
+n AS (SELECT DISTINCT v.r + dy AS r, (v.c + dx + 64 * v.w) % v.w AS c FROM v, o)
+SELECT (SELECT width FROM wd) AS band_px, count(*) FILTER (WHERE n.r IS NOT NULL AND NOT sky) AS n FROM pixel p LEFT JOIN n ON n.r = p.r AND n.c = p.c""")
 def bg_band_derived(spark, sf_dir):
     px = layers.visible_edges(layers.occlusion_edges(views.pixel(spark, sf_dir))).persist()
     width = layers.band_pixels(px)
@@ -296,7 +300,14 @@ def push_pull_level1(spark, sf_dir):
     return up.select("r", "c", "wt", F.round(F.try_divide("s", F.nullif("wt", F.lit(0.0))), 6).alias("mean"))
 
 
-@query()
+PYRAMID = """px AS (SELECT r, c, CASE WHEN sky THEN 0.0 ELSE 1.0 END::DOUBLE AS wt, ln(greatest(d, 1e-6)) AS ld FROM pixel),
+lv AS (SELECT t.l FROM range(0, 30) t(l) WHERE t.l <= (SELECT min(s.k) FROM range(0, 30) s(k), dim WHERE ceil(h / pow(2, s.k)) <= 4 OR ceil(w / pow(2, s.k)) <= 4)),
+ce AS (SELECT l, r // (1::BIGINT << l) AS r2, c // (1::BIGINT << l) AS c2, sum(wt * ld) / sum(wt) AS mean FROM px, lv GROUP BY ALL HAVING sum(wt) > 0),
+al AS (SELECT coalesce(sum(wt * ld) / nullif(sum(wt), 0), 0) AS mean FROM px),
+fi AS (SELECT p.r, p.c, min_by(ce.mean, ce.l) AS mean FROM px p, lv JOIN ce ON ce.l = lv.l AND ce.r2 = p.r // (1::BIGINT << lv.l) AND ce.c2 = p.c // (1::BIGINT << lv.l) GROUP BY ALL)"""
+
+
+@query(f"WITH {PX}, {PYRAMID} SELECT px.r, px.c, round(coalesce(fi.mean, al.mean), 6) AS ld_fill FROM px LEFT JOIN fi ON fi.r = px.r AND fi.c = px.c, al")
 def push_pull(spark, sf_dir):
     px = views.pixel(spark, sf_dir).withColumns({"known": F.expr("if(sky, 0e0, 1e0)"), "ld": F.expr("ln(greatest(d, 1e-6))")})
     return layers.push_pull(px, ["ld"], "known").select("r", "c", r6("ld_fill"))
@@ -451,7 +462,27 @@ def ground_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return px.select(*[F.expr(f"d{a} * d").alias(a) for a in "xyz"])
 
 
-@query()
+def _plane_sql(rounds: int = 20) -> str:
+    """The robust fit as a chain of tables: per round a median, nine sums, and the 3 x 3 system by determinants."""
+    sums = "sum(w) AS w, sum(w * x * x) AS xx, sum(w * x * z) AS xz, sum(w * z * z) AS zz, sum(w * x) AS x, sum(w * z) AS z, sum(w * x * y) AS xy, sum(w * z * y) AS zy, sum(w * y) AS y"
+    det = lambda m: f"({m[0]} * ({m[4]} * {m[8]} - {m[5]} * {m[7]}) - {m[1]} * ({m[3]} * {m[8]} - {m[5]} * {m[6]}) + {m[2]} * ({m[3]} * {m[7]} - {m[4]} * {m[6]}))"
+    rows, right = ["xx", "xz", "x", "xz", "zz", "z", "x", "z", "w"], ["xy", "zy", "y"]
+    swapped = [[right[i // 3] if i % 3 == k else v for i, v in enumerate(rows)] for k in range(3)]
+    solved = ", ".join(f"{det(m)} / {det(rows)} AS {n}" for m, n in zip(swapped, ("ka", "kb", "kc"), strict=True))
+    res = "(y - (ka * x + kb * z + kc))"
+    out = [f"m0 AS (SELECT {sums} FROM (SELECT *, 1.0::DOUBLE AS w FROM cone) t)", f"k0 AS MATERIALIZED (SELECT {solved} FROM m0)"]
+    for i in range(rounds):
+        out.append(f"s{i} AS MATERIALIZED (SELECT 4.685 * 1.4826 * greatest(quantile_cont(abs{res}, 0.5), 1e-9) AS sp FROM cone, k{i})")
+        weight = f"CASE WHEN abs({res} / sp) < 1 THEN pow(1 - ({res} / sp) * ({res} / sp), 2) ELSE 0 END"
+        out += [f"m{i + 1} AS (SELECT {sums} FROM (SELECT cone.*, {weight} AS w FROM cone, k{i}, s{i}) t)", f"k{i + 1} AS MATERIALIZED (SELECT {solved} FROM m{i + 1})"]
+    out.append(f"sl AS (SELECT 4.685 * 1.4826 * greatest(quantile_cont(abs{res}, 0.5), 1e-9) AS sp FROM cone, k{rounds})")
+    out.append(f"ra AS (SELECT quantile_cont(abs{res}, 0.5) AS mid FROM cone, k{rounds}, sl WHERE abs{res} < sp)")
+    out.append(f"no AS (SELECT *, sqrt(ka * ka + 1 + kb * kb) AS nn FROM k{rounds})")
+    return ", ".join(out)
+
+
+@query(f"""WITH {PX}, {CONE}, {_plane_sql()} SELECT round(-ka / nn, 6) AS nx, round(1 / nn, 6) AS ny, round(-kb / nn, 6) AS nz, round(-kc / nn, 6) AS d, round(abs(kc) / nn, 6) AS h_rel, round(degrees(acos(least(1, 1 / nn))), 6) AS tilt_deg,
+  round(mid / nn / greatest(abs(kc) / nn, 1e-9), 6) AS residual_rel, round(1.6 / greatest(abs(kc) / nn, 1e-9), 6) AS scale FROM no, ra""")
 def ground_plane_irls(spark, sf_dir):
     coef, points = stats.ground_plane(ground_points(spark, sf_dir))
     m = stats.plane_measures(coef)

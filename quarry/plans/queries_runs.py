@@ -118,14 +118,17 @@ def sha_rows(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("id"), F.sha2("p_name", 256).alias("sha"), F.col("p_name").rlike("^[a-z ]+$").alias("plain"))
 
 
-@query("""SELECT p_partkey AS id, p_type AS path FROM part WHERE NOT (regexp_matches(p_type, '^[^/].*') AND NOT regexp_matches(p_type, '(^|/)\\.\\.(/|$)') AND NOT contains(p_type, '\\'))""")
+@query("""WITH p AS (SELECT p_partkey AS id, CASE p_partkey % 6 WHEN 0 THEN '/' || p_type WHEN 1 THEN 'a/../' || p_type WHEN 2 THEN 'a\\' || p_type WHEN 3 THEN '..' ELSE p_type END AS path,
+  CASE p_partkey % 6 WHEN 4 THEN upper(sha256(p_name)) ELSE sha256(p_name) END AS sha FROM part)
+SELECT id, path FROM p WHERE path = '' OR starts_with(path, '/') OR list_contains(string_split(path, '/'), '..') OR contains(path, '\\') OR NOT regexp_full_match(sha, '[0-9a-f]{64}')""")
 def receipt_policy(spark, sf_dir):
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("path"), F.sha2("p_name", 256).alias("sha256"))
+    """Five of six rows break a rule: absolute, upwards (twice), a backslash, a digest in capitals."""
+    path = "case p_partkey % 6 when 0 then concat('/', p_type) when 1 then concat('a/../', p_type) when 2 then concat('a', chr(92), p_type) when 3 then '..' else p_type end"
+    sha = "case p_partkey % 6 when 4 then upper(sha2(p_name, 256)) else sha2(p_name, 256) end"
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey as id", f"{path} as path", f"{sha} as sha256")
     return provenance.receipt_faults(part).select("id", "path")
 
 
-
-
 GRID = "g AS (SELECT ((a.i * 2 + b.i) * 3 + c.i) * 2 + d.i AS idx, [0.85, 1.15, 1.35][a.i + 1]::DOUBLE AS scale, [0.1, 0.15][b.i + 1]::DOUBLE AS flatten, [1, 2, 3][c.i + 1]::DOUBLE AS stride, [0.02, 0.05][d.i + 1]::DOUBLE AS floor FROM range(0, 3) a(i), range(0, 2) b(i), range(0, 3) c(i), range(0, 2) d(i))"
 
 
