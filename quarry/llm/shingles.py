@@ -9,6 +9,8 @@ import numpy as np
 from quarry.llm.common import lower_bytes, mix64
 
 SHINGLE = 5
+#: Bytes whose words are hashed at a time; what a long text costs besides is a few bytes for each of its own.
+SEGMENT = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -28,20 +30,36 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _cuts(gaps: np.ndarray, size: int) -> list[int]:
+    """Bounds of pieces of about ``SEGMENT`` bytes that end behind white space; a longer word is one piece."""
+    out = [0]
+    while out[-1] < size:
+        end = out[-1] + SEGMENT
+        if end < size:
+            at = np.searchsorted(gaps, end)
+            if not at or gaps[at - 1] < out[-1]:  # a word longer than a piece: on to the next white space
+                at = min(at + 1, len(gaps))
+            end = int(gaps[at - 1]) + 1 if at and gaps[at - 1] >= out[-1] else size
+        out.append(min(end, size))
+    return out
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts with A-Z in lower case, and how many words each text has."""
     raw = [lower_bytes(t) for t in texts]
     data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
     space = _SPACE[data]
-    word = ~space
-    starts = np.flatnonzero(word & np.r_[True, space[:-1]]) if len(data) else np.zeros(0, np.int64)
-    stops = np.flatnonzero(word & np.r_[space[1:], True]) + 1 if len(data) else np.zeros(0, np.int64)
-    size = 1 << max(20, int(len(data)).bit_length())
-    up, down = _powers(size)
-    sums = np.r_[np.uint64(0), np.cumsum(_BYTE[data] * up[: len(data)], dtype=np.uint64)]
-    hashes = mix64((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64) * _STEP)
+    cuts, found, begins = _cuts(np.flatnonzero(space), len(data)), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        part, gap = data[a:b], space[a:b]
+        starts = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
+        stops = np.flatnonzero(~gap & np.r_[gap[1:], True]) + 1
+        up, down = _powers(1 << max(20, len(part).bit_length()))
+        sums = np.r_[np.uint64(0), np.cumsum(_BYTE[part] * up[: len(part)], dtype=np.uint64)]
+        found.append(mix64((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64) * _STEP))
+        begins.append(starts + a)
     ends = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)
-    return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
+    return np.concatenate(found), np.diff(np.searchsorted(np.concatenate(begins), ends), prepend=0)
 
 
 def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
