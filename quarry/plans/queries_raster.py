@@ -346,6 +346,16 @@ def bilinear_sample(spark, sf_dir):
     return raster.bilinear(points, px, ["d"]).select("pid", F.round("d", 5).alias("d"))
 
 
+@query(f"""WITH {PX}, q AS (SELECT r * w + c AS pid, (r * w + c) * 0.37213::DOUBLE % (w + 3) - 2 AS u, (r * w + c) * 0.11317::DOUBLE % (h + 3) - 2 AS v, h, w FROM pixel), t AS (SELECT pid, floor(u)::BIGINT AS u0, floor(v)::BIGINT AS v0, u - floor(u) AS fu, v - floor(v) AS fv, h, w FROM q),
+k AS (SELECT pid, greatest(0, least(w - 1, u0 + i)) AS c, greatest(0, least(h - 1, v0 + j)) AS r, CASE WHEN i = 1 THEN fu ELSE 1 - fu END * CASE WHEN j = 1 THEN fv ELSE 1 - fv END AS wt FROM t, range(0, 2) a(i), range(0, 2) b(j))
+SELECT pid, round(sum(wt * d), 5) AS d FROM k JOIN pixel USING (r, c) GROUP BY pid""")
+def bilinear_clamped(spark, sf_dir):
+    """Samples of a face, whose edges repeat, in and beyond it."""
+    px = views.pixel(spark, sf_dir)
+    points = px.selectExpr("r * w + c as pid", "h", "w").selectExpr("pid", "(pid * 0.37213e0) % (w + 3) - 2 as u", "(pid * 0.11317e0) % (h + 3) - 2 as v", "h", "w")
+    return raster.bilinear(points, px, ["d"], wrap_x=False).select("pid", F.round("d", 5).alias("d"))
+
+
 @query(f"""WITH {PX}, o AS (SELECT dy, dx FROM range(-8, 9) y(dy), range(-8, 9) x(dx)), n AS (SELECT a.r, a.c, a.r + dy AS r2, (a.c + dx + a.w) % a.w AS c2 FROM pixel a, o WHERE a.r + dy BETWEEN 0 AND a.h - 1)
 SELECT n.r, n.c, round(sum(p.d), 4) AS sum_d, count(*) AS sum_n FROM n JOIN pixel p ON p.r = r2 AND p.c = c2 GROUP BY ALL""")
 def box_wrap_clip(spark, sf_dir):

@@ -181,3 +181,16 @@ def gate_verdicts(spark, sf_dir):
 def worst_view(spark, sf_dir):
     v = views.pixel(spark, sf_dir).groupBy(F.col("event_type").alias("view")).agg(F.avg("k").alias("score"), F.min(F.expr("r * w + c")).alias("place"))
     return v.agg(*gates.worst(F.col("score"), F.col("view"), F.col("place")))
+
+
+SIDES = """a AS (SELECT (k % 5)::VARCHAR AS gate, avg(d) AS m, avg(k) > 50 AS good FROM pixel WHERE k % 5 <> 0 GROUP BY 1), b AS (SELECT (k % 5)::VARCHAR AS gate, avg(d) + 1 AS m, avg(k) > 49 AS good FROM pixel WHERE k % 5 <> 1 GROUP BY 1)"""
+
+
+@query(f"WITH {PX}, {SIDES} SELECT coalesce(a.gate, b.gate) AS gate, 'mean' AS metric, round(a.m, 6) AS value, round(b.m, 6) AS accepted, a.good AS pass, b.good AS accepted_pass FROM a FULL JOIN b ON a.gate = b.gate")
+def versus_accepted(spark, sf_dir):
+    """Two runs' verdicts side by side; each lacks a gate that the other has."""
+    from quarry.plans.runner import versus_accepted as beside
+
+    px = views.pixel(spark, sf_dir).withColumn("gate", (F.col("k") % 5).cast("string"))
+    side = lambda gone, more, least: px.where(f"gate <> '{gone}'").groupBy("gate").agg(F.create_map(F.lit("mean"), F.round(F.avg("d") + more, 6)).alias("metrics"), (F.avg("k") > least).alias("pass"))
+    return beside(side("0", 0, 50), side("1", 1, 49))
