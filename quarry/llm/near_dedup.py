@@ -119,10 +119,12 @@ def _members(nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.tile(np.arange(VALUES, dtype=np.int32), len(node))), pa.array(np.repeat(node, VALUES))], ["key", "which", "node"])
 
     keyed = saved(nodes.select("node", "signature").mapInArrow(spread, "key bigint, which int, node bigint"), "near-keys", True)
+    # most keys occur once: what goes on is told from their counts alone
+    often = saved(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "near-often", True)
+    some = sieved(keyed, F.col("key"), sieve(often, "key"), "maybe").where("maybe").drop("maybe")
     sums = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("b"), F.first("which").alias("which")]
-    groups = keyed.groupBy("key").agg(*sums).where("n > 1").groupBy("n", "a", "b").agg(F.min("key").alias("grp"), F.collect_set("which").alias("keys"))
+    groups = some.groupBy("key").agg(*sums).where("n > 1").groupBy("n", "a", "b").agg(F.min("key").alias("grp"), F.collect_set("which").alias("keys"))
     groups = saved(groups.select("grp", "keys", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "near-groups", True)
-    some = sieved(keyed, F.col("key"), sieve(groups, "grp"), "maybe").where("maybe")
     members = some.join(groups, some["key"] == groups["grp"])
     return saved(members.select("grp", "keys", "parts", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int").alias("part"), "node"), "near-members", True)
 
