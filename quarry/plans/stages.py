@@ -158,9 +158,8 @@ def judged(t: Tables, params: dict) -> Tables:
     """The verdicts on the cloud itself, from rendered views."""
     p, spark, splats = params["s7"], t["splats"].sparkSession, t["splats"]
     views = judge.head_views(spark, params)
-    hole = judge.holes(splats, views, p["center_frac"])
-    moved, pairs = judge.jitter(splats, p), judge.stereo(splats, p)
-    tiles = judge.fidelity(splats, t["clean"], p)
+    # a few dozen rows each, which verdicts and tables both read
+    hole, moved, pairs, tiles = (m.persist() for m in (judge.holes(splats, views, p["center_frac"]), judge.jitter(splats, p), judge.stereo(splats, p), judge.fidelity(splats, t["clean"], p)))
     # a view that no detector has looked at has no score, and fails
     looked = views.select("view").join(t["people"].groupBy("view").agg(F.max("score").alias("score")), "view", "left")
     worst = lambda df, **of: df.agg(*[F.max(v).alias(k) for k, v in of.items()])
