@@ -52,7 +52,7 @@ from quarry.llm.common import blocks, lower_bytes, planes, saved, squeeze, sums_
 DEPTH, DEEPEST = 6, 7
 BLOCK_BYTES = 8 << 20
 #: Places whose strings are in memory at a time.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 20
 #: Of so many places of a block, one tells where bounds of shards should be.
 SPARSE = 997
 #: Every text ends with this byte, and contexts before a text's start are made of it.
@@ -153,8 +153,8 @@ class Tree:
 
     ``levels[d]`` has, for the strings cut to d bytes of context, ``keys``, the
     place ``above`` of each in the level above, and for each of a byte's eight
-    decisions its nodes: their number for each key, what they are, the share of
-    their own estimate, that estimate, and whether training has seen them.
+    decisions its nodes: their number for each key, those of cut contexts, the
+    share of their own estimate, that estimate, and whether training has seen them.
     """
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int, bounds: list[int]) -> None:
@@ -164,7 +164,7 @@ class Tree:
         below: dict = {}
         for d in range(depth, -1, -1):
             split = split_contexts(bounds, d, depth)
-            here = {"keys": keys, "number": [], "node": [], "stop": [], "one": [], "seen": []}
+            here = {"keys": keys, "number": [], "cut": [], "stop": [], "one": [], "seen": []}
             mine, products = [], np.zeros((len(split), 256))
             for t in range(8):
                 node = keys >> np.uint64(8 - t)
@@ -184,10 +184,11 @@ class Tree:
                     stop = np.exp(np.log(0.5) + own - whole)
                 # what a cut context's children here add to its product; the rest is settled above
                 cut = np.flatnonzero(np.isin(node >> np.uint64(t), split)) if d < depth else np.zeros(0, np.int64)
-                products[np.searchsorted(split, node[cut] >> np.uint64(t)), (1 << t) + (node[cut] & np.uint64((1 << t) - 1)).astype(int)] = product[cut]
+                context, prefix = node[cut] >> np.uint64(t), (1 << t) + (node[cut] & np.uint64((1 << t) - 1)).astype(int)
+                products[np.searchsorted(split, context), prefix] = product[cut]
                 whole[cut] = 0.0
                 mine.append(whole)
-                for name, value in (("number", number), ("node", node), ("stop", stop), ("one", (ones + 0.5) / (n + 1.0)), ("seen", n > 0)):
+                for name, value in (("number", number), ("cut", (cut, context, prefix)), ("stop", stop), ("one", (ones + 0.5) / (n + 1.0)), ("seen", n > 0)):
                     here[name].append(value)
                 here.setdefault("first", []).append(first)
             if d < depth:
@@ -195,6 +196,7 @@ class Tree:
                     of = keys >> np.uint64(8) == np.uint64(context)
                     if of.any():
                         self.open[d, context] = np.bincount((keys[of] & np.uint64(255)).astype(int), weights=sums[of], minlength=256).astype(np.int64), products[i]
+            below.pop("first", None)
             self.levels[d], wholes, below = here, mine, here
             if d:
                 up = ((keys >> np.uint64(16)) << np.uint64(8)) | keys & np.uint64(255)
@@ -215,10 +217,10 @@ class Tree:
             here = self.levels[d]
             settled = {context: unpacked(held) for (depth, context), held in top.items() if depth == d and len(here["keys"])}
             for t in range(8):
-                node, stop, one, seen = (here[k][t] for k in ("node", "stop", "one", "seen"))
+                (cut, contexts, prefixes), stop, one, seen = (here[k][t] for k in ("cut", "stop", "one", "seen"))
                 for context, (its_stop, its_one, its_seen) in settled.items():
-                    of = np.flatnonzero(node >> np.uint64(t) == np.uint64(context))
-                    prefix = (1 << t) + (node[of] & np.uint64((1 << t) - 1)).astype(int)
+                    this = contexts == np.uint64(context)
+                    of, prefix = cut[this], prefixes[this]
                     stop[of], one[of], seen[of] = its_stop[prefix], its_one[prefix], its_seen[prefix]
                 at = here["number"][t]
                 if d:
