@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import splats as sp
@@ -46,27 +47,74 @@ def isolation_prune(splats: DataFrame, k: int = DEFAULTS["s6"]["knn_k"], factor:
     return splats.where("layer = 2").unionByName(splats.where("layer <> 2").join(held, "ord", "left_semi"))
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """The rows without their lineage, in ``spark.checkpoint.dir`` if it is set."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
+def _cells(width: float, names: tuple[str, ...] = ("x", "y", "z")) -> list[Column]:
+    return [F.floor(F.col(v) / width).alias(f"c{a}") for a, v in zip("xyz", names, strict=True)]
+
+
+def _nearest(places: DataFrame, front: DataFrame, limit: float) -> DataFrame:
+    """(x, y, z, dist, o, radius): the nearest of ``front`` to each place, smaller ``o`` first, if it is not beyond ``limit``.
+
+    The first cells are so narrow that a splat shares its own with few others;
+    a place looks at the eight cells around its nearest corner, which hold all
+    within half a width.  Places that find nothing so near go on to cells of
+    twice the width, until half a width is the limit.
+    """
+    few, top, found = 8.0, 2.000001 * limit, []
+    width, n, far = top, *front.agg(F.count("*"), F.max(F.greatest(*[F.abs(v) for v in "xyz"]))).first()
+    while far < width * 2.0**26 and front.groupBy(*_cells(width)).count().agg(F.sum(F.col("count") * F.col("count"))).first()[0] > few * n:
+        width /= 2
+    there = front.select("o", "radius", *[F.col(v).alias(f"o{v}") for v in "xyz"])
+    while True:
+        seek = places
+        for v in "xyz":
+            seek = seek.withColumn(f"c{v}", F.explode(F.array(*[F.floor(F.col(v) / width + half) for half in (-0.5, 0.5)])))
+        pairs = seek.join(there.select("*", *_cells(width, ("ox", "oy", "oz"))), ["cx", "cy", "cz"], "left")
+        pairs = pairs.withColumn("dist", F.expr("sqrt((x - ox) * (x - ox) + (y - oy) * (y - oy) + (z - oz) * (z - oz))"))
+        # a little less than half a width, so that no rounding hides one that lies as near
+        near = F.min(F.when(F.col("dist") <= width * 0.4999999, F.struct("dist", "o", "radius"))).alias("n")
+        sought = _settled(pairs.groupBy(*"xyz").agg(near))  # no level carries the plans of those before
+        found.append(sought.where("n is not null").select(*"xyz", "n.*"))
+        places = sought.where("n is null").select(*"xyz")
+        if width >= top or not places.count():
+            return reduce(DataFrame.unionByName, found)
+        width *= 2
+
+
 def merge_duplicates(splats: DataFrame, factor: float = DEFAULTS["s6"]["merge_factor"]) -> DataFrame:
     """Without background splats nearer to the nearest foreground splat than ``factor`` of *its* radius.
 
-    Only the nearest decides.  Cells as large as the largest radius that can
-    matter hold every splat that can be near enough; the nearest within them
-    is the nearest of all whenever it decides.
+    Only the nearest decides.  Any foreground splat within ``factor`` of the
+    smallest radius settles it, whichever is nearest: sharing a cell of that
+    diagonal is enough.  For the others the nearest itself is sought.
     """
-    front, back = splats.where("layer = 0"), splats.where("layer = 1")
-    most = front.agg(F.max(F.expr(RADIUS))).first()[0]
-    if most is None:
+    finite = " and ".join(f"{v} is not null and not isnan({v}) and abs({v}) < 1e300" for v in "xyz")
+    slim = splats.where(f"layer in (0, 1) and {finite}").select("ord", "layer", *"xyz", F.expr(RADIUS).alias("radius")).persist()
+    front, back = slim.where("layer = 0").drop("layer"), slim.where("layer = 1").select("ord", *"xyz")
+    size = slim.agg(
+        F.max(F.greatest(*[F.abs(v) for v in "xyz"])).alias("far"), F.max(F.expr("if(layer = 0, radius, null)")).alias("most"), F.min(F.expr("if(layer = 0, coalesce(radius, 0e0), null)")).alias("least")
+    ).first()
+    if size["most"] is None or not factor * size["most"] > 0:
         return splats
-    size = max(factor * most, 1e-12)
-    cell = [F.floor(F.col(v) / size).alias(f"c{v}") for v in "xyz"]
-    seek = back.select("ord", *"xyz", *cell)
-    for v in "xyz":
-        seek = seek.withColumn("step", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))).withColumn(f"c{v}", F.col(f"c{v}") + F.col("step")).drop("step")
-    there = front.select(F.col("ord").alias("o"), *[F.col(v).alias(f"o{v}") for v in "xyz"], F.expr(RADIUS).alias("radius"), *cell)
-    pairs = seek.join(there, ["cx", "cy", "cz"]).withColumn("dist", F.expr("sqrt((x - ox) * (x - ox) + (y - oy) * (y - oy) + (z - oz) * (z - oz))"))
-    nearest = pairs.groupBy("ord").agg(F.min_by(F.struct("dist", "radius"), F.struct("dist", "o")).alias("n"))
-    gone = nearest.where(F.col("n.dist") < factor * F.col("n.radius")).select("ord")
-    return splats.join(gone, "ord", "left_anti")
+    # no two are farther apart than four times the largest coordinate, whatever the radii
+    limit = max(4.0 * size["far"], 1e-9)
+    limit = min(factor * size["most"], limit) if math.isfinite(size["most"]) else limit
+    gone, width = None, 0.577 * min(factor * size["least"], limit)
+    if size["far"] < width * 2.0**30:
+        taken = front.select(*_cells(width)).distinct()
+        cell = back.select("*", *_cells(width))
+        gone, back = cell.join(taken, ["cx", "cy", "cz"], "left_semi").select("ord"), _settled(cell.join(taken, ["cx", "cy", "cz"], "left_anti").drop("cx", "cy", "cz"))
+    if back.count():
+        places = back.select(*"xyz").distinct()
+        once = _settled(front.groupBy(*"xyz").agg(F.min(F.struct(F.col("ord").alias("o"), "radius")).alias("s")).select(*"xyz", "s.*"))
+        near = back.join(_nearest(places, once, limit), [*"xyz"]).groupBy("ord").agg(F.min(F.struct("dist", "o", "radius")).alias("n"))
+        near = near.where(F.col("n.dist") < factor * F.col("n.radius")).select("ord")
+        gone = near if gone is None else gone.unionByName(near)
+    return splats if gone is None else splats.join(gone, "ord", "left_anti")
 
 
 def prune_chain(splats: DataFrame, p: dict = DEFAULTS["s6"]) -> DataFrame:

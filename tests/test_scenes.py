@@ -193,3 +193,45 @@ def test_params_and_canonical_json():
     assert canonical_json({"b": 1e-07, "a": [True, None]}) == b'{"a":[true,null],"b":1e-07}' and number_or_text(math.inf) == "inf"
     with pytest.raises(ValueError, match="finite"):
         canonical_json({"a": math.nan})
+
+
+def _cloud(spark, rows):
+    return spark.createDataFrame(rows, "ord long, layer int, x double, y double, z double, scale_0 double, scale_1 double, scale_2 double").persist()
+
+
+def test_merge_duplicates_looks_at_few_pairs(spark, monkeypatch):
+    """A radius as large as the cloud made every background splat meet every foreground splat; 20,000 of each were 400 million pairs."""
+    rng = np.random.default_rng(5)
+    xyz, layer, size = rng.normal(0, 1.25, (40000, 3)), np.arange(40000) % 2, rng.normal(-3, 0.12, 40000)
+    cloud = _cloud(spark, pd.DataFrame({"ord": np.arange(40000), "layer": layer, "x": xyz[:, 0], "y": xyz[:, 1], "z": xyz[:, 2], "scale_0": size, "scale_1": size, "scale_2": size}))
+    met, frame = [], type(cloud)
+    join = frame.join
+
+    def counted(left, right, on=None, how=None):
+        if on == ["cx", "cy", "cz"] and how in (None, "left"):
+            met.append(join(left, right, on).count())
+        return join(left, right, on, how)
+
+    monkeypatch.setattr(frame, "join", counted)
+    left = {r["ord"] for r in prune.merge_duplicates(cloud, 40.0).select("ord").collect()}
+    front = xyz[layer == 0]
+    for i in range(1, 40000, 200):
+        d = np.sqrt(((front - xyz[i]) ** 2).sum(1))
+        assert (i in left) == (not d.min() < 40.0 * np.exp(size[layer == 0][d.argmin()]))
+    assert sum(met) < 64 * 40000
+
+
+@pytest.mark.parametrize("factor", [0.05, 0.5, 4.0, 40.0])
+def test_merge_duplicates_as_all_pairs_do(spark, factor):
+    """Copies, clusters, radii over six orders of magnitude, ties and missing values."""
+    rng = np.random.default_rng(7)
+    xyz = np.concatenate([rng.normal(0, 1, (500, 3)), rng.normal(3, 1e-4, (200, 3)), np.repeat([[1.0, 1.0, 1.0]], 60, 0), rng.integers(-2, 3, (200, 3)).astype(float), rng.uniform(-90, 90, (40, 3))])
+    rows = [(i, int(rng.integers(0, 3)), *map(float, p), float(rng.uniform(-9, 4)), -20.0, -20.0) for i, p in enumerate(xyz)]
+    rows += [(2000, 0, None, 1.0, 1.0, 3.0, 3.0, 3.0), (2001, 1, float("nan"), 1.0, 1.0, 3.0, 3.0, 3.0), (2002, None, 1.0, 1.0, 1.0, 3.0, 3.0, 3.0), (2003, 0, 5.0, 5.0, 5.0, None, None, None), (2004, 1, 5.0, 5.0, 5.0, 1.0, 1.0, 1.0)]
+    gone = set()
+    for o, layer, *p in (r[:5] for r in rows):
+        if layer == 1 and all(v == v for v in p):
+            dist, _, radius = min((math.sqrt(sum((a - b) * (a - b) for a, b in zip(p, q[2:5], strict=True))), q[0], q[5]) for q in rows if q[1] == 0 and q[2] is not None)
+            gone |= {o} if radius is not None and dist < factor * math.exp(radius) else set()
+    kept = {r["ord"] for r in prune.merge_duplicates(_cloud(spark, rows), factor).collect()}
+    assert kept == {r[0] for r in rows} - gone
