@@ -25,6 +25,11 @@ def finite(x: str) -> str:
     return f"({x} is not null and not isnan({x}) and abs({x}) < 1e300)"
 
 
+def log(x: str) -> str:
+    """The natural logarithm as IEEE has it: -Infinity of 0 and NaN below, where ``ln`` gives null."""
+    return f"(case when {x} = 0e0 then double('-Infinity') when {x} < 0e0 then double('NaN') else ln({x}) end)"
+
+
 def to_uv(x: str, y: str, z: str) -> tuple[str, str]:
     """Raster coordinates of a direction."""
     norm = f"sqrt({x} * {x} + {y} * {y} + {z} * {z})"
