@@ -90,9 +90,13 @@ def normals(px: DataFrame, by: tuple = ()) -> DataFrame:
     return n.withColumn("flip", flip).select(*px.drop("ok").columns, *[(F.col("flip") * F.col(f"n{a}")).alias(f"n{a}") for a in "xyz"])
 
 
-def log_gradient_edges(px: DataFrame, least: float, by: tuple = ()) -> DataFrame:
-    """``log_edge``: the depth's log changes by more than ``least`` to a side neighbour (x goes round); the stand-in where no band is known."""
-    ld = px.withColumn("ld", F.expr(f"case when {g.finite('d')} then ln(d) end"))
+def log_gradient_edges(px: DataFrame, least: float, by: tuple = (), ieee: bool = False) -> DataFrame:
+    """``log_edge``: the depth's log changes by more than ``least`` to a side neighbour (x goes round); the stand-in where no band is known.
+
+    Depths that have no finite log have no edges.  With ``ieee`` theirs is
+    infinite or NaN, and NaN exceeds every number, as in SQL.
+    """
+    ld = px.withColumn("ld", F.expr(g.log("d") if ieee else f"case when {g.finite('d')} then ln(d) end"))
     steps = [F.abs(F.col("ld") - shifted("ld", axis, s, border, by)) for axis, border in (("x", "wrap"), ("y", "none")) for s in (-1, 1)]
     return ld.withColumn("log_edge", F.coalesce(F.greatest(*steps) > least, F.lit(False))).drop("ld")
 
