@@ -92,7 +92,7 @@ FROM pixel p LEFT JOIN n ON n.r = p.r AND n.c = p.c""")
 def bg_solid_angle_gate(spark, sf_dir):
     from quarry.operators import layers
 
-    px = layers.visible_edges(layers.occlusion_edges(views.pixel(spark, sf_dir)))
+    px = layers.visible_edges(layers.occlusion_edges(views.pixel(spark, sf_dir), ieee=True))
     share = layers.background_band(px, 2).agg(stats.solid_angle("band").alias("fraction"))
     return gates.verdict(share, "bg_solid_angle").select(F.round(F.element_at("metrics", "fraction"), 6).alias("fraction"), "pass")
 

@@ -19,7 +19,7 @@ def sf_dir(tmp_path_factory):
     return str(path)
 
 
-@pytest.mark.parametrize("name", ["occlusion_edges", "stride_class", "fwd_diff_edges", "place_fg"])
+@pytest.mark.parametrize("name", ["occlusion_edges", "stride_class", "fwd_diff_edges", "place_fg", "visible_edges", "bg_band", "bg_band_derived", "bg_solid_angle_gate"])
 def test_zero_depths_as_in_sql(spark, sf_dir, name):
     con = duckdb.connect()
     con.execute(f"create view events as select * from '{sf_dir}/events.parquet'")
