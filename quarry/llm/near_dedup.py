@@ -281,16 +281,25 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for part in runs(texts_of(batch), len, AT_ONCE):
                 sets = [s for s in shingle_sets(part) if len(s)]
                 yield pa.RecordBatch.from_pydict(
-                    {"print": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), "list": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), "shingles": pa.array([squeeze(s) for s in sets], pa.binary())}
+                    {"print": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), "shingles": pa.array([squeeze(s) for s in sets], pa.binary())}
                 )
 
+    def each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, own = batch.column(0).to_numpy(), [unsqueeze(x, np.int64) for x in batch.column(1).to_pylist()]
+            size = [len(x) for x in own]
+            every, of = np.concatenate([*own, np.zeros(0, np.int64)]), np.repeat(node, size)
+            for at in range(0, len(every), AT_ONCE):
+                yield pa.RecordBatch.from_arrays([pa.array(of[at : at + AT_ONCE]), pa.array(every[at : at + AT_ONCE])], ["node", "shingle"])
+
     ids = wanted.select("of", F.xxhash64("of").alias("mark")).distinct()
     # texts of ids that surely aren't among them stay where they are
     some = sieved(texts, F.xxhash64("doc_id"), sieve(ids, "mark"), "maybe").where("maybe")
     again = some.join(ids, some["doc_id"].eqNullSafe(ids["of"]), "left_semi").select("text")
-    sets = again.mapInArrow(read_sets, "print binary, list array<bigint>, shingles binary").join(wanted.select("print", "node"), "print").dropDuplicates(["node"])
-    sets = saved(sets.select("node", "list", "shingles"), "near-sets")
-    single = sets.select("node", F.explode("list").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
+    # a print is a node's alone, and its sets lie together already
+    sets = again.mapInArrow(read_sets, "print binary, shingles binary").join(wanted.select("print", "node"), "print").dropDuplicates(["print"])
+    sets = saved(sets.select("node", "shingles"), "near-sets")
+    single = sets.mapInArrow(each_shingle, "node bigint, shingle bigint").groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
     alone = single.groupBy("node").agg(F.count("*").alias("alone"))
     known = nodes.join(wanted.select("node"), "node").join(alone, "node", "left").select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"), F.col("node").alias("label"), "signature")
     # what has too many shingles to itself can't reach the least similarity with anything
