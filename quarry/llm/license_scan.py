@@ -139,19 +139,22 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     table = template_table(docs.sparkSession, templates)
     texts = columns(docs, id_col, text_col).toDF("id", "text").withColumn("mark", F.xxhash64("text"))
-    pairs = saved(retrieved(hashed(texts), table), "license-pairs", True)
+    pairs = retrieved(hashed(texts), table)
     wanted = pairs.groupBy(F.col("id").alias("of"), F.col("mark").alias("its")).agg(F.collect_set("template").alias("templates"))
     wanted = saved(wanted, "license-wanted", True)
     # only texts that may be among the wanted ones meet them; the others stay where they are
     texts = sieved(texts, F.col("mark"), sieve(wanted, "its"), "maybe").where("maybe")
     open_ = texts.join(wanted, texts["id"].eqNullSafe(wanted["of"]) & (texts["mark"] == wanted["its"]))
-    open_ = hashed(open_.select("id", "templates", "text"))
-    open_ = saved(open_.withColumn("row", F.monotonically_increasing_id()), "license-open")
+    open_ = hashed(open_.select("id", "mark", "templates", "text"))
     shingles = sized(saved(table.select("template", "n", F.explode(F.array_distinct("hashes")).alias("h")), "license-shingles"))
-    places = open_.select("row", "id", "templates", F.posexplode("hashes").alias("at", "h"))
+    # an inner explode would be given a filter on hashes, which, pushed below the words, evaluates these for each element
+    places = open_.select("id", "mark", "templates", F.posexplode_outer("hashes").alias("at", "h"))
     hits = places.join(shingles, "h").where(F.array_contains("templates", F.col("template")))
-    matched = hits.groupBy("row", "template").agg(
-        F.first("id").alias("id"), F.first("n").alias("n_shingles"), F.count_distinct("h").alias("n_matched"), F.min("at").alias("first_word"), (F.max("at") + SHINGLE - 1).alias("last_word")
+    # rows that share id and text have the same places, each as often as there are such rows; so texts need no number, nor a table
+    hits = hits.groupBy("id", "mark", "template", "at").agg(F.first("n").alias("n"), F.first("h").alias("h"), F.count("*").alias("copies"))
+    matched = hits.groupBy("id", "mark", "template").agg(
+        F.first("n").alias("n_shingles"), F.count_distinct("h").alias("n_matched"), F.min("at").alias("first_word"), (F.max("at") + SHINGLE - 1).alias("last_word"), F.max("copies").alias("copies")
     )
     share = F.col("n_matched") / F.col("n_shingles")
-    return matched.where(share >= CONTAINED).select(F.col("id").alias(id_col), "template", "n_shingles", "n_matched", F.round(share, 6).alias("containment"), "first_word", "last_word")
+    found = matched.where(share >= CONTAINED).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return found.select(F.col("id").alias(id_col), "template", "n_shingles", "n_matched", F.round(share, 6).alias("containment"), "first_word", "last_word")
