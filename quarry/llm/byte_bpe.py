@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import columns, texts_of
 
 #: Pre-tokens of up to so many characters are remembered, so many of them in each of two generations in a worker.
-SHORT, REMEMBERED = 24, 1 << 18
+SHORT, REMEMBERED = 24, 3 << 17
 #: Texts longer than this are split piece by piece, with bounded memory.
 LONG = 1 << 20
 
@@ -53,6 +53,8 @@ class ByteBpe:
         self.byte = [ranks[bytes([i])] for i in range(256)]
         #: What two adjacent tokens merge to: the rank of their joined bytes, by both ids in one integer.
         self.pair = {left << 32 | right: rank for t, rank in ranks.items() for i in range(1, len(t)) if (left := ranks.get(t[:i])) is not None and (right := ranks.get(t[i:])) is not None}
+        #: The same of two bytes.
+        self.two = [[self.pair.get(a << 32 | b, -1) for b in self.byte] for a in self.byte]
         self.bit = [1 << i for i in range(64)]
         self.leaf = [0] * ((len(self.token) >> 6) + 1)  # all 0 between calls
         self.middle = [0] * ((len(self.token) >> 12) + 1)
@@ -61,14 +63,16 @@ class ByteBpe:
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        if piece in self.ranks:
-            return [self.ranks[piece]]
-        rank_of, bit, leaf, middle, n = self.pair.get, self.bit, self.leaf, self.middle, len(piece)
+        if (whole := self.ranks.get(piece)) is not None:
+            return [whole]
+        rank_of, bit, leaf, middle, two, n = self.pair.get, self.bit, self.leaf, self.middle, self.two, len(piece)
         part = list(map(self.byte.__getitem__, piece))  # ids by position; -1 once merged into the left
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        due = [two[a][b] for a, b in pairwise(piece)]  # what a position and the next one merge to; -1 for nothing
+        due.append(-1)
         buckets: dict[int, list[int]] = {}
         top = 0
-        pushed = [(r, i) for i, (a, b) in enumerate(pairwise(part)) if (r := rank_of(a << 32 | b)) is not None]
+        pushed = [(r, i) for i, r in enumerate(due) if r >= 0]
         while True:
             for rank, at in pushed:
                 if rank in buckets:
@@ -99,16 +103,20 @@ class ByteBpe:
                     if not mask:
                         top &= top - 1
             pushed = []
-            if (left := part[i]) < 0 or (j := after[i]) >= n or rank_of(left << 32 | part[j]) != rank:
+            if due[i] != rank:
                 continue  # stale
-            part[i], part[j] = rank, -1
+            j = after[i]
             after[i] = k = after[j]
+            part[i], part[j], due[i], due[j] = rank, -1, -1, -1
             if k < n:
                 before[k] = i
-                if (r := rank_of(rank << 32 | part[k])) is not None:
+                due[i] = r = rank_of(rank << 32 | part[k], -1)
+                if r >= 0:
                     pushed.append((r, i))
-            if (h := before[i]) >= 0 and (r := rank_of(part[h] << 32 | rank)) is not None:
-                pushed.append((r, h))
+            if (h := before[i]) >= 0:
+                due[h] = r = rank_of(part[h] << 32 | rank, -1)
+                if r >= 0:
+                    pushed.append((r, h))
 
     def _ids(self, piece: str) -> bytes:
         out = self.older.get(piece)
