@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import columns, texts_of
 
 #: Pre-tokens of up to so many characters are remembered, so many of them in each of two generations in a worker.
-SHORT, REMEMBERED = 24, 3 << 17
+SHORT, REMEMBERED = 24, 5 << 16
 #: Texts longer than this are split piece by piece, with bounded memory.
 LONG = 1 << 20
 
@@ -119,7 +119,7 @@ class ByteBpe:
                     pushed.append((r, h))
 
     def _ids(self, piece: str) -> bytes:
-        out = self.older.get(piece)
+        out = self.older.pop(piece, None)  # it moves to the newer table, its key too
         if out is None:
             ids = self.merge(piece.encode("utf-8"))
             out = pack(f"<{len(ids)}I", *ids)
