@@ -1,12 +1,12 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A text is split by the tokenizer's pattern; each match (pre-token) is merged
-on its own.  The queue holds, for each merge rank, the linked-list positions
-at which that merge is possible.  Three levels of 64-bit words mark the ranks
-that have positions, so find-first-set gives the next rank in three steps
-however long the pre-token is.  Merging a pair leaves stale entries behind;
-they are recognised when they come up and skipped.  A pre-token of n bytes
-takes O(n log n) steps at worst, which keeps very long ones cheap.
+on its own, but many of them share a queue.  The queue holds, for each merge
+rank, the linked-list positions at which that merge is possible.  Three levels
+of 64-bit words mark the ranks that have positions, so find-first-set gives the
+next rank in three steps however long the pre-tokens are.  Merging a pair leaves stale entries behind;
+they are recognised when they come up and skipped.  Pre-tokens of n bytes in
+all take O(n log n) steps at worst, which keeps very long ones cheap.
 
 Short pre-tokens repeat, so each worker keeps the ids of those it has merged
 in a table of bounded size.
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from heapq import heappop, heappush
 from itertools import islice, pairwise
 from struct import pack
@@ -27,10 +27,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import columns, texts_of
+from quarry.llm.common import columns, runs, texts_of
 
 #: Pre-tokens of up to so many characters are remembered, so many of them in each of two generations in a worker.
 SHORT, REMEMBERED = 24, 1 << 18
+#: Characters of texts that are split at a time, and bytes of their new pre-tokens that share a queue (more leave the processor's cache).
+AT_ONCE, QUEUED = 1 << 17, 1 << 14
 #: Texts longer than this are split piece by piece, with bounded memory.
 LONG = 1 << 20
 
@@ -38,7 +40,7 @@ LONG = 1 << 20
 class ByteBpe:
     """``ranks``: bytes of each token with its rank, which is its id. Every single byte must be a token.
 
-    ``merge`` keeps its queue in plain local variables, since most pre-tokens
+    ``merged`` keeps its queue in plain local variables, since most pre-tokens
     are short: ``buckets`` has the positions of each rank (a heap, leftmost
     first), ``leaf`` a bit for each rank, ``middle`` a bit for each word of
     ``leaf`` that isn't 0, and ``top`` a bit for each such word of ``middle``.
@@ -50,11 +52,18 @@ class ByteBpe:
         self.token = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.token[rank] = token
-        self.byte = [ranks[bytes([i])] for i in range(256)]
+        self.byte = np.array([ranks[bytes([i])] for i in range(256)])
         #: What two adjacent tokens merge to: the rank of their joined bytes, by both ids in one integer.
         self.pair = {left << 32 | right: rank for t, rank in ranks.items() for i in range(1, len(t)) if (left := ranks.get(t[:i])) is not None and (right := ranks.get(t[i:])) is not None}
         #: The same of two bytes.
-        self.two = [[self.pair.get(a << 32 | b, -1) for b in self.byte] for a in self.byte]
+        self.two = np.array([[self.pair.get(a << 32 | b, -1) for b in self.byte.tolist()] for a in self.byte.tolist()])
+        #: Whether a token begins a pair, ends one, and whether one of its pairs has a lower rank than its own.
+        self.begins, self.ends, self.lower = (bytearray(len(self.token)) for _ in range(3))
+        for both, rank in self.pair.items():
+            left, right = both >> 32, both & 0xFFFFFFFF
+            self.begins[left] = self.ends[right] = 1
+            self.lower[left] |= rank < left
+            self.lower[right] |= rank < right
         self.bit = [1 << i for i in range(64)]
         self.leaf = [0] * ((len(self.token) >> 6) + 1)  # all 0 between calls
         self.middle = [0] * ((len(self.token) >> 12) + 1)
@@ -65,85 +74,136 @@ class ByteBpe:
         """The ids of one pre-token."""
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        rank_of, bit, leaf, middle, two, n = self.pair.get, self.bit, self.leaf, self.middle, self.two, len(piece)
-        part = list(map(self.byte.__getitem__, piece))  # ids by position; -1 once merged into the left
+        return np.frombuffer(self.merged([piece])[0], "<u4").tolist()
+
+    def merged(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each of some pre-tokens that are no tokens, four bytes each, by one queue for all of them.
+
+        They lie one after the other with a gap on both sides of each, which pairs with nothing.
+        What comes up next anywhere is next in its own pre-token too.
+        """
+        gap, bit, leaf, middle, rank_of = len(self.token), self.bit, self.leaf, self.middle, self.pair.get
+        raw = np.frombuffer(b"\0".join([b"", *pieces, b""]), np.uint8)
+        gaps = np.cumsum([0, *[len(p) + 1 for p in pieces]])
+        ids, pairs = self.byte[raw], np.append(self.two[raw[:-1], raw[1:]], -1)  # what a position and the next one merge to; -1 for nothing
+        ids[gaps], pairs[gaps], pairs[gaps[1:] - 1] = gap, -1, -1
+        part, due, n = ids.tolist(), pairs.tolist(), len(raw)  # ids by position; -1 once merged into the left
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        due = [two[a][b] for a, b in pairwise(piece)]  # what a position and the next one merge to; -1 for nothing
-        due.append(-1)
-        buckets: dict[int, list[int]] = {}
+        at = np.flatnonzero(pairs >= 0)
+        at = at[np.argsort(pairs[at], kind="stable")]
+        first = np.flatnonzero(np.diff(pairs[at], prepend=-1))
+        places, cuts = at.tolist(), [*first.tolist(), len(at)]
+        buckets = {r: places[a:b] for r, a, b in zip(pairs[at[first]].tolist(), cuts, cuts[1:], strict=False)}
         top = 0
-        pushed = [(r, i) for i, r in enumerate(due) if r >= 0]
-        while True:
-            for rank, at in pushed:
-                if rank in buckets:
-                    heappush(buckets[rank], at)
-                    continue
-                buckets[rank] = [at]
-                word = rank >> 6
-                if not leaf[word]:
-                    if not middle[word >> 6]:
-                        top |= bit[word >> 6]
-                    middle[word >> 6] |= bit[word & 63]
-                leaf[word] |= bit[rank & 63]
-            if not top:
-                return [p for p in part if p >= 0]
+        for rank in buckets:
+            leaf[rank >> 6] |= bit[rank & 63]
+            middle[rank >> 12] |= bit[rank >> 6 & 63]
+            top |= bit[rank >> 12]
+        while top:
             word = (top & -top).bit_length() - 1
             mask = middle[word]
             word = word << 6 | (mask & -mask).bit_length() - 1
             mask = leaf[word]
             rank = word << 6 | (mask & -mask).bit_length() - 1
-            held = buckets[rank]
-            i = heappop(held)
+            held, begins, ends, lower, opened = buckets[rank], self.begins[rank], self.ends[rank], self.lower[rank], []
+            if lower:
+                take = partial(heappop, held)
+            else:  # nothing can come before the rest of these
+                held.sort(reverse=True)
+                take = held.pop
+            while held:
+                i = take()
+                if due[i] != rank:
+                    continue  # stale
+                j = after[i]
+                after[i] = k = after[j]
+                before[k] = i
+                part[i] = rank
+                part[j] = due[i] = due[j] = -1
+                if begins and (r := rank_of(rank << 32 | part[k], -1)) >= 0:
+                    due[i] = r
+                    if r in buckets:
+                        heappush(buckets[r], i)
+                    else:
+                        buckets[r] = [i]
+                        opened.append(r)
+                h = before[i]
+                due[h] = r = rank_of(part[h] << 32 | rank, -1) if ends else -1
+                if r >= 0:
+                    if r in buckets:
+                        heappush(buckets[r], h)
+                    else:
+                        buckets[r] = [h]
+                        opened.append(r)
+                if lower and opened and min(opened[-2:]) < rank:
+                    break  # that comes first
             if not held:
                 del buckets[rank]
                 leaf[word] = mask = mask & mask - 1
                 if not mask:
-                    word >>= 6
-                    middle[word] = mask = middle[word] & middle[word] - 1
+                    middle[word >> 6] = mask = middle[word >> 6] ^ bit[word & 63]
                     if not mask:
-                        top &= top - 1
-            pushed = []
-            if due[i] != rank:
-                continue  # stale
-            j = after[i]
-            after[i] = k = after[j]
-            part[i], part[j], due[i], due[j] = rank, -1, -1, -1
-            if k < n:
-                before[k] = i
-                due[i] = r = rank_of(rank << 32 | part[k], -1)
-                if r >= 0:
-                    pushed.append((r, i))
-            if (h := before[i]) >= 0:
-                due[h] = r = rank_of(part[h] << 32 | rank, -1)
-                if r >= 0:
-                    pushed.append((r, h))
+                        top ^= bit[word >> 6]
+            for r in opened:
+                leaf[r >> 6] |= bit[r & 63]
+                middle[r >> 12] |= bit[r >> 6 & 63]
+                top |= bit[r >> 12]
+        ids = np.array(part)
+        left = (ids >= 0) & (ids < gap)
+        ends = (4 * np.cumsum(left)[gaps]).tolist()
+        out = ids[left].astype("<u4").tobytes()
+        return [out[a:b] for a, b in pairwise(ends)]
+
+    def _learned(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of pre-tokens that the newer table hasn't; short ones are remembered."""
+        new: dict[str, bytes] = {}
+        queued, raws, n = [], [], 0
+        for piece in pieces:
+            if (out := self.older.pop(piece, None)) is not None:  # it moves to the newer table
+                new[piece] = out
+                continue
+            raw = piece.encode("utf-8")
+            if (whole := self.ranks.get(raw)) is not None:
+                new[piece] = pack("<I", whole)
+                continue
+            queued.append(piece)
+            raws.append(raw)
+            n += len(raw)
+            if n >= QUEUED:
+                new.update(zip(queued, self.merged(raws), strict=True))
+                queued, raws, n = [], [], 0
+        if queued:
+            new.update(zip(queued, self.merged(raws), strict=True))
+        if len(self.known) >= REMEMBERED:
+            self.older, self.known = self.known, {}
+        self.known.update((p, out) for p, out in new.items() if len(p) <= SHORT)
+        return new
+
+    def _joined(self, lists: list[list[str]]) -> list[bytes]:
+        """The ids of each of some lists of pre-tokens."""
+        found = [list(map(self.known.get, pieces)) for pieces in lists]
+        new = self._learned({p for pieces, outs in zip(lists, found, strict=True) for p, out in zip(pieces, outs, strict=True) if out is None})
+        return [b"".join([new[p] if out is None else out for p, out in zip(pieces, outs, strict=True)]) for pieces, outs in zip(lists, found, strict=True)]
 
     def _ids(self, piece: str) -> bytes:
-        out = self.older.pop(piece, None)  # it moves to the newer table, its key too
-        if out is None:
-            ids = self.merge(piece.encode("utf-8"))
-            out = pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= SHORT:
-            if len(self.known) >= REMEMBERED:
-                self.older, self.known = self.known, {}
-            self.known[piece] = out
-        return out
+        return self._joined([[piece]])[0]
 
     def encode(self, text: str) -> bytes:
         """The ids, each as four bytes with the lowest first."""
-        if len(text) > LONG:
-            found, out = self.pieces.finditer(text), []
-            while some := [m.group() for m in islice(found, 1 << 16)]:
-                out.append(self._joined(some))
-            return b"".join(out)
-        return self._joined(self.pieces.findall(text))
-
-    def _joined(self, pieces: list[str]) -> bytes:
-        ids, out = self._ids, []
-        for start in range(0, len(pieces), 4096):
-            get = self.known.get  # a new table now and then
-            out += [get(p) or ids(p) for p in pieces[start : start + 4096]]
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as ``encode`` gives them."""
+        out: list[bytes] = []
+        for some in runs(texts, len, AT_ONCE):
+            if len(some) == 1 and len(some[0]) > LONG:
+                found, parts = self.pieces.finditer(some[0]), []
+                while held := [m.group() for m in islice(found, 1 << 16)]:
+                    parts += self._joined([held])
+                out.append(b"".join(parts))
+            else:
+                out += self._joined(list(map(self.pieces.findall, some)))
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that the ids stand for."""
@@ -185,7 +245,7 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str, text_col: str = "te
 
     def make():
         bpe = tokenizer(held.value, pattern)
-        return lambda batch: [bpe.encode(t) for t in texts_of(batch, text_col)]
+        return lambda batch: bpe.encode_all(texts_of(batch, text_col))
 
     return _arrow_in_place(docs, text_col, ids_col, make)
 
