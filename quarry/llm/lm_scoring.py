@@ -40,6 +40,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,8 @@ DEPTH, DEEPEST = 6, 7
 BLOCK_BYTES = 8 << 20
 #: Places whose strings are in memory at a time.
 AT_ONCE = 1 << 20
+#: Strings that are sorted at a time to be counted, in one array of 16 MB.
+SORTED = 2 << 20
 #: Of so many places of a block, one tells where bounds of shards should be.
 SPARSE = 997
 #: Every text ends with this byte, and contexts before a text's start are made of it.
@@ -68,15 +71,17 @@ def held_out(doc_id: int | None, parts: int = 7, part: int = 2) -> bool:
 
 def _log_half(n: np.ndarray) -> np.ndarray:
     """ln of Gamma(n + 1/2) / Gamma(1/2)."""
-    x = np.maximum(n, 4096) + 0.5
-    large = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) - 0.5 * np.log(np.pi)
-    return np.where(n <= 4096, _HALF_LOGS[np.minimum(n, 4096)], large)
+    out, large = _HALF_LOGS[np.minimum(n, 4096)], np.flatnonzero(n > 4096)
+    x = n[large] + 0.5
+    out[large] = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) - 0.5 * np.log(np.pi)
+    return out
 
 
 def _log_factorial(n: np.ndarray) -> np.ndarray:
-    x = np.maximum(n, 8192) + 1.0
-    large = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3)
-    return np.where(n <= 8192, _LOGS[np.minimum(n, 8192)], large)
+    out, large = _LOGS[np.minimum(n, 8192)], np.flatnonzero(n > 8192)
+    x = n[large] + 1.0
+    out[large] = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3)
+    return out
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -122,15 +127,24 @@ class Places:
 
     def counted(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct strings in order and how often each occurs."""
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        keys, counts, left = np.zeros(0, np.uint64), np.zeros(0, np.int64), int(self.ends[-1]) if len(self.ends) else 0
+        held, n = np.empty(min(left, SORTED), np.uint64), 0
         for piece in self.pieces():
-            new, n = distinct(piece)
-            keys, counts = (new, n) if not len(keys) else sums_by(np.concatenate([keys, new]), np.concatenate([counts, n]))
+            while len(piece):
+                some = piece[: len(held) - n]
+                held[n : n + len(some)] = some
+                piece, n, left = piece[len(some) :], n + len(some), left - len(some)
+                if n == len(held) or not left:
+                    new, times = distinct(held[:n], in_place=True)
+                    held, n = None, 0  # not needed while the sums are merged
+                    keys, counts = (new, times) if not len(keys) else sums_by(np.concatenate([keys, new]), np.concatenate([counts, times]))
+                    held = np.empty(min(left, SORTED), np.uint64)
         return keys, counts
 
 
-def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.sort(keys)
+def distinct(keys: np.ndarray, in_place: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    keys = keys if in_place else keys.copy()
+    keys.sort()
     first = firsts(keys)
     return keys[first], np.diff(np.r_[first, len(keys)])
 
@@ -280,10 +294,12 @@ def _list_block(x: dict, bounds: list[int], depth: int) -> Iterator[tuple]:
         if use:
             counts.update(body.split(b" ") if body else ())
     counts[b""] = sum(train)  # the end
+    others: set[bytes] = set()
     for body, use in zip(bodies, train, strict=True):
         if not use and body:
-            for w in body.split(b" "):
-                counts.setdefault(w, 0)
+            others.update(body.split(b" "))
+    counts.update(dict.fromkeys(others.difference(counts), 0))
+    del others
     words: list[list[bytes]] = [[] for _ in range(shards)]
     for w in counts:
         words[zlib.crc32(w) % shards].append(w)
@@ -318,12 +334,16 @@ def _tree(cells: list[dict], shard: int, bounds: list[int], depth: int) -> tuple
     return Tree(grams, n, depth, bounds[max(0, shard - 1) : shard + 1]), lists
 
 
-def _word_sums(cells: list[dict]) -> Counter:
-    sums: Counter = Counter()
-    for x in cells:
-        w, c = _words(x["words"], x["word_counts"])
-        sums.update(dict(zip(w, c.tolist(), strict=True)))
-    return sums
+def _word_sums(cells: list[dict]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Which of a shard's distinct words each list has, by number, and each one's count in all lists."""
+    lists = [_words(x["words"], x["word_counts"]) for x in cells]
+    number = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(w for w, _ in lists)))}
+    sums, numbers = np.zeros(len(number), np.int64), []
+    for w, n in lists:
+        at = np.fromiter(map(number.__getitem__, w), np.int64, len(w))
+        sums[at] += n  # no word is twice in a list
+        numbers.append(at)
+    return numbers, sums
 
 
 def shard_bounds(packed: DataFrame, depth: int) -> list[int]:
@@ -372,10 +392,10 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     def gathered(cells: pa.Table) -> pa.Table:
         rows = cells.to_pylist()
         shard = rows[0]["shard"]
+        words = _word_sums(rows)[1]
         tree, _ = _tree(rows, shard, bounds, depth)
-        words = _word_sums(rows)
         opened = [{"d": d, "context": context, "counts": squeeze(n), "products": squeeze(p)} for (d, context), (n, p) in sorted(tree.open.items())]
-        row = {"shard": shard, **{c: [r[c] for r in rows] for c in ("block", *CELL)}, "opened": opened, "tokens": sum(words.values()), "types": sum(n > 0 for n in words.values())}
+        row = {"shard": shard, **{c: [r[c] for r in rows] for c in ("block", *CELL)}, "opened": opened, "tokens": int(words.sum()), "types": int(np.count_nonzero(words))}
         return pa.Table.from_pylist([row], held)
 
     opened = pa.struct([("d", pa.int32()), ("context", pa.int64()), ("counts", pa.binary()), ("products", pa.binary())])
@@ -404,10 +424,11 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
                 cells = [dict(zip(CELL, v, strict=True)) for v in zip(*[m[c] for c in CELL], strict=True)]
                 tree, lists = _tree(cells, m["shard"], bounds, depth)
                 cut = {(d, context): top.value[d, context] for d in range(depth) for context in split_contexts(bounds[max(0, m["shard"] - 1) : m["shard"] + 1], d, depth).tolist() if (d, context) in top.value}
-                logs, grams, words = tree.log10(cut), tree.levels[depth]["keys"], _word_sums(cells)
+                logs, grams = tree.log10(cut), tree.levels[depth]["keys"]
                 del tree
+                numbers, words = _word_sums(cells)
                 logs = ((logs.view(np.uint64) + np.uint64(1 << 15)) & ~np.uint64((1 << 16) - 1)).view(np.float64) if len(grams) else np.zeros(0)
-                rows = ((b, m["shard"], squeeze(planes(logs[np.searchsorted(grams, g)])), squeeze(np.array([words[w] for w in _words(x["words"], x["word_counts"])[0]], np.int64))) for b, x, g in zip(m["block"], cells, lists, strict=True))
+                rows = ((b, m["shard"], squeeze(planes(logs[np.searchsorted(grams, g)])), squeeze(words[at])) for b, at, g in zip(m["block"], numbers, lists, strict=True))
                 yield table(schema, rows)
 
     answers = model.drop("opened", "tokens", "types").mapInArrow(answer, "block bigint, shard int, logs binary, counts binary")
@@ -417,24 +438,29 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
         (x,) = block.to_pylist()
         bodies, replied = _bodies(x["ends"], x["data"]), {r["shard"]: r for r in replies.to_pylist()}
         places = Places(bodies, depth)
-        # each piece's places in order of their strings, the number of each one's string, and those strings
+        # each piece's places in order of their strings, where runs of equal strings begin, and those strings
         parts = []
         for piece in places.pieces():
             order = np.argsort(piece)
             piece = piece[order]
-            first = np.r_[True, piece[1:] != piece[:-1]]
-            parts.append((order.astype(np.int32), np.cumsum(first, dtype=np.int32) - 1, piece[first]))
-        grams, _ = distinct(np.concatenate([strings for _, _, strings in parts]))
+            first = firsts(piece)
+            parts.append((order.astype(np.int32), first.astype(np.int32), piece[first]))
+        grams, _ = distinct(np.concatenate([strings for _, _, strings in parts]), in_place=True)
         logs = np.concatenate([unplanes(replied[s]["logs"], np.float64) for s in sorted(replied)])  # shards are in order of strings
         each, at = np.empty(places.ends[-1] if len(places.ends) else 0), 0
-        for order, number, strings in parts:
-            each[at + order] = logs[np.searchsorted(grams, strings)][number]
+        while parts:  # each is let go when its places are filled
+            order, first, strings = parts.pop(0)
+            each[at : at + len(order)][order] = np.repeat(logs[np.searchsorted(grams, strings)], np.diff(first, append=len(order)))
             at += len(order)
-        del parts, logs, grams
+        del logs, grams
         ends = places.ends
         score = np.add.reduceat(each, np.r_[0, ends[:-1]]) if len(ends) else each
+        del each, places
+        words = {b""}
+        for body in bodies:
+            words.update(body.split(b" "))
         names: list[list[bytes]] = [[] for _ in range(shards)]
-        for w in {w for b in bodies for w in b.split(b" ")} | {b""}:
+        for w in words:
             names[zlib.crc32(w) % shards].append(w)
         log_of: dict[bytes, float] = {}
         unseen = float(np.log10(1 / (tokens + types + 1)))
