@@ -14,6 +14,7 @@ any other rows.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -198,6 +199,16 @@ def unplanes(data: bytes, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(unsqueeze(data, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+
+def give_back() -> None:
+    """Gives the system memory that this process holds but doesn't use: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of an Arrow batch, null as empty."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
@@ -271,5 +282,6 @@ def sums_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Distinct keys in order and the sums of their values."""
     order = np.argsort(keys, kind="stable")
     keys, values = keys[order], values[order]
+    del order
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(values, first) if len(first) else values[:0]

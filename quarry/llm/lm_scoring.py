@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import blocks, lower_bytes, planes, saved, squeeze, sums_by, table, unplanes, unsqueeze
+from quarry.llm.common import blocks, give_back, lower_bytes, planes, saved, squeeze, sums_by, table, unplanes, unsqueeze
 
 #: Bytes of context, by default and at most: a string of context and byte must fit 64 bits.
 DEPTH, DEEPEST = 6, 7
@@ -112,19 +112,49 @@ class Places:
         return key
 
     def pieces(self) -> Iterator[np.ndarray]:
-        """The strings, in order, some at a time; the first places are never predicted, so each has its context before it."""
-        for start in range(self.depth, len(self.raw), AT_ONCE):
-            stop = min(start + AT_ONCE, len(self.raw))
+        """The strings, in order, some at a time: whole texts, but one of more places is cut, as told from its own start.
+
+        So sums over pieces don't depend on what else is in a block.
+        """
+        stops, begin = self.ends + self.depth * np.arange(1, len(self.ends) + 1), 0
+        while begin < len(self.raw):
+            whole = int(np.searchsorted(stops, begin + AT_ONCE, "right"))
+            stop = begin + AT_ONCE if not whole or stops[whole - 1] <= begin else int(stops[whole - 1])
+            start = max(begin, self.depth)  # the first places are never predicted, so each has its context before it
             wide = self.raw[start - self.depth : stop].astype(np.uint64)
             key = wide[self.depth :].copy()
             for d in range(1, self.depth + 1):
                 key |= wide[self.depth - d : len(wide) - d] << np.uint64(8 * (self.depth + 1 - d))
-            yield key[self.told[start:stop]]
+            del wide
+            key = key[self.told[start:stop]]
+            yield key
+            del key  # so that there are never two pieces
+            begin = stop
 
     def sparse(self, step: int) -> np.ndarray:
         """Distinct strings at one of so many places."""
         return distinct(self.strings(np.flatnonzero(self.told)[::step]))[0]
 
+    def known(self) -> np.ndarray:
+        """Distinct strings in order."""
+        held, n = np.empty(min(int(self.ends[-1]) if len(self.ends) else 0, SORTED), np.uint64), 0
+        for piece in self.pieces():
+            piece.sort()
+            piece = piece[firsts(piece)]
+            if n + len(piece) > len(held):
+                new = held[:n]
+                new.sort()
+                new = new[firsts(new)]
+                held, n = np.empty(max(len(new) + len(piece), 2 * len(new), len(held)), np.uint64), len(new)
+                held[:n] = new
+                del new
+            held[n : n + len(piece)] = piece
+            n += len(piece)
+            del piece
+        held = held[:n]
+        held.sort()
+        return held[firsts(held)]
+
     def counted(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct strings in order and how often each occurs."""
         keys, counts, left = np.zeros(0, np.uint64), np.zeros(0, np.int64), int(self.ends[-1]) if len(self.ends) else 0
@@ -134,10 +164,16 @@ class Places:
                 some = piece[: len(held) - n]
                 held[n : n + len(some)] = some
                 piece, n, left = piece[len(some) :], n + len(some), left - len(some)
+                del some
                 if n == len(held) or not left:
                     new, times = distinct(held[:n], in_place=True)
                     held, n = None, 0  # not needed while the sums are merged
-                    keys, counts = (new, times) if not len(keys) else sums_by(np.concatenate([keys, new]), np.concatenate([counts, times]))
+                    if len(keys):
+                        both = [np.concatenate([keys, new]), np.concatenate([counts, times])]
+                        del keys, counts, new, times
+                        keys, counts = sums_by(both.pop(0), both.pop())  # which lets go of them in turn
+                    else:
+                        keys, counts = new, times
                     held = np.empty(min(left, SORTED), np.uint64)
         return keys, counts
 
@@ -286,9 +322,19 @@ def normal_text(text: str) -> bytes:
     return b" ".join(lower_bytes(text).split())
 
 
-def _list_block(x: dict, bounds: list[int], depth: int) -> Iterator[tuple]:
-    bodies, ids = _bodies(x["ends"], x["data"]), x["ids"]
-    train, shards = [not held_out(i) for i in ids], len(bounds) + 1
+def _block_grams(bodies: list[bytes], train: list[bool], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct strings of a block in order and how often training texts have each."""
+    grams, n = Places([b for b, use in zip(bodies, train, strict=True) if use], depth).counted()
+    if not all(train):
+        new = Places([b for b, use in zip(bodies, train, strict=True) if not use], depth).known()
+        both = [np.concatenate([grams, new]), np.concatenate([n, np.zeros(len(new), np.int64)])]
+        del grams, n, new
+        grams, n = sums_by(both.pop(0), both.pop())
+    return grams, n
+
+
+def _block_words(bodies: list[bytes], train: list[bool]) -> Counter:
+    """Distinct words of a block and how often training texts have each."""
     counts: Counter = Counter()
     for body, use in zip(bodies, train, strict=True):
         if use:
@@ -299,14 +345,17 @@ def _list_block(x: dict, bounds: list[int], depth: int) -> Iterator[tuple]:
         if not use and body:
             others.update(body.split(b" "))
     counts.update(dict.fromkeys(others.difference(counts), 0))
-    del others
+    return counts
+
+
+def _list_block(x: dict, bounds: list[int], depth: int) -> Iterator[tuple]:
+    bodies, train, shards = _bodies(x["ends"], x["data"]), [not held_out(i) for i in x["ids"]], len(bounds) + 1
+    grams, n = _block_grams(bodies, train, depth)  # before there are words in memory
+    counts = _block_words(bodies, train)
+    del bodies
     words: list[list[bytes]] = [[] for _ in range(shards)]
     for w in counts:
         words[zlib.crc32(w) % shards].append(w)
-    grams, n = Places([b for b, use in zip(bodies, train, strict=True) if use], depth).counted()
-    if not all(train):
-        new, _ = Places([b for b, use in zip(bodies, train, strict=True) if not use], depth).counted()
-        grams, n = sums_by(np.concatenate([grams, new]), np.concatenate([n, np.zeros(len(new), np.int64)]))
     cuts = [0, *np.searchsorted(grams >> np.uint64(8), np.array(bounds, np.uint64)).tolist(), len(grams)]
     for s in range(shards):
         at, w = slice(cuts[s], cuts[s + 1]), sorted(words[s])
@@ -346,6 +395,61 @@ def _word_sums(cells: list[dict]) -> tuple[list[np.ndarray], np.ndarray]:
     return numbers, sums
 
 
+#: A row for each document of a block.
+RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
+
+
+def _place_scores(places: Places, replies: list[dict]) -> np.ndarray:
+    """The sum of each text's log-probabilities, from shards' answers in order of strings.
+
+    Strings are made and sorted twice, once to know the distinct ones and once to look them up, so that
+    only one piece's are held at a time, and no number for each place of the block.
+    """
+    grams = places.known()
+    logs, at = np.empty(len(grams)), 0
+    for r in replies:
+        some = unplanes(r["logs"], np.float64)
+        logs[at : at + len(some)] = some
+        at += len(some)
+    starts, score, at = np.r_[0, places.ends[:-1]], np.zeros(len(places.ends)), 0
+    for piece in places.pieces():
+        order = np.argsort(piece)
+        piece = piece[order]
+        first = firsts(piece)
+        found = logs[np.searchsorted(grams, piece[first])]
+        each = piece.view(np.float64)  # its strings are not needed any more
+        each[order] = np.repeat(found, np.diff(first, append=len(order)))
+        of = slice(*np.searchsorted(places.ends, [at, at + len(each) - 1], "right") + [0, 1])
+        score[of] += np.add.reduceat(each, np.maximum(starts[of] - at, 0))
+        at += len(each)
+        del order, piece, first, found, each
+    return score
+
+
+def _score_block(x: dict, replies: list[dict], shards: int, depth: int, tokens: int, types: int) -> Iterator[tuple]:
+    """The rows of a block's documents, from each shard's answer to its list."""
+    replies = sorted(replies, key=lambda r: r["shard"])
+    places = Places(_bodies(x["ends"], x["data"]), depth)
+    sizes, score = np.diff(places.ends, prepend=0).tolist(), _place_scores(places, replies).tolist()
+    del places
+    bodies, words = _bodies(x["ends"], x["data"]), {b""}
+    for body in bodies:
+        words.update(body.split(b" "))
+    names: list[list[bytes]] = [[] for _ in range(shards)]
+    for w in words:
+        names[zlib.crc32(w) % shards].append(w)
+    del words
+    log_of: dict[bytes, float] = {}
+    unseen, replied = float(np.log10(1 / (tokens + types + 1))), {r["shard"]: r["counts"] for r in replies}
+    for s, ws in enumerate(names):
+        if ws:
+            n = unsqueeze(replied[s], np.int64)
+            log_of.update(zip(sorted(ws), np.where(n > 0, np.log10((n + 1) / (tokens + types + 1)), unseen).tolist(), strict=True))
+    for i, body, size, total in zip(x["ids"], bodies, sizes, score, strict=True):
+        base = list(map(log_of.__getitem__, [*(body.split(b" ") if body else ()), b""]))
+        yield i, held_out(i), len(base), len(base) - base.count(unseen), tokens, sum(base), total, -total * np.log2(10) / size
+
+
 def shard_bounds(packed: DataFrame, depth: int) -> list[int]:
     """Contexts at which shards end: quantiles of a sparse sample of all blocks' contexts, one fewer than blocks."""
     n_blocks = packed.count()
@@ -388,14 +492,15 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
         for batch in batches:
             for x in batch.to_pylist():
                 yield table(schema, _list_block(x, bounds, depth))
+                give_back()
 
     def gathered(cells: pa.Table) -> pa.Table:
         rows = cells.to_pylist()
         shard = rows[0]["shard"]
         words = _word_sums(rows)[1]
-        tree, _ = _tree(rows, shard, bounds, depth)
-        opened = [{"d": d, "context": context, "counts": squeeze(n), "products": squeeze(p)} for (d, context), (n, p) in sorted(tree.open.items())]
+        opened = [{"d": d, "context": context, "counts": squeeze(n), "products": squeeze(p)} for (d, context), (n, p) in sorted(_tree(rows, shard, bounds, depth)[0].open.items())]
         row = {"shard": shard, **{c: [r[c] for r in rows] for c in ("block", *CELL)}, "opened": opened, "tokens": int(words.sum()), "types": int(np.count_nonzero(words))}
+        give_back()
         return pa.Table.from_pylist([row], held)
 
     opened = pa.struct([("d", pa.int32()), ("context", pa.int64()), ("counts", pa.binary()), ("products", pa.binary())])
@@ -416,63 +521,29 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     sums = model.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("types"), F.lit(0)).alias("types")).first()
     tokens, types = sums["tokens"], sums["types"]
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def answered(m: dict) -> pa.RecordBatch:
         schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("logs", pa.binary()), ("counts", pa.binary())])
+        cells = [dict(zip(CELL, v, strict=True)) for v in zip(*[m[c] for c in CELL], strict=True)]
+        tree, lists = _tree(cells, m["shard"], bounds, depth)
+        cut = {(d, context): top.value[d, context] for d in range(depth) for context in split_contexts(bounds[max(0, m["shard"] - 1) : m["shard"] + 1], d, depth).tolist() if (d, context) in top.value}
+        logs, grams = tree.log10(cut), tree.levels[depth]["keys"]
+        del tree
+        numbers, words = _word_sums(cells)
+        logs = ((logs.view(np.uint64) + np.uint64(1 << 15)) & ~np.uint64((1 << 16) - 1)).view(np.float64) if len(grams) else np.zeros(0)
+        return table(schema, ((b, m["shard"], squeeze(planes(logs[np.searchsorted(grams, g)])), squeeze(words[at])) for b, at, g in zip(m["block"], numbers, lists, strict=True)))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                (m,) = batch.slice(i, 1).to_pylist()
-                cells = [dict(zip(CELL, v, strict=True)) for v in zip(*[m[c] for c in CELL], strict=True)]
-                tree, lists = _tree(cells, m["shard"], bounds, depth)
-                cut = {(d, context): top.value[d, context] for d in range(depth) for context in split_contexts(bounds[max(0, m["shard"] - 1) : m["shard"] + 1], d, depth).tolist() if (d, context) in top.value}
-                logs, grams = tree.log10(cut), tree.levels[depth]["keys"]
-                del tree
-                numbers, words = _word_sums(cells)
-                logs = ((logs.view(np.uint64) + np.uint64(1 << 15)) & ~np.uint64((1 << 16) - 1)).view(np.float64) if len(grams) else np.zeros(0)
-                rows = ((b, m["shard"], squeeze(planes(logs[np.searchsorted(grams, g)])), squeeze(words[at])) for b, at, g in zip(m["block"], numbers, lists, strict=True))
-                yield table(schema, rows)
+                yield answered(batch.slice(i, 1).to_pylist()[0])
+                give_back()
 
     answers = model.drop("opened", "tokens", "types").mapInArrow(answer, "block bigint, shard int, logs binary, counts binary")
-    result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
-
     def scored(block: pa.Table, replies: pa.Table) -> pa.Table:
         (x,) = block.to_pylist()
-        bodies, replied = _bodies(x["ends"], x["data"]), {r["shard"]: r for r in replies.to_pylist()}
-        places = Places(bodies, depth)
-        # each piece's places in order of their strings, where runs of equal strings begin, and those strings
-        parts = []
-        for piece in places.pieces():
-            order = np.argsort(piece)
-            piece = piece[order]
-            first = firsts(piece)
-            parts.append((order.astype(np.int32), first.astype(np.int32), piece[first]))
-        grams, _ = distinct(np.concatenate([strings for _, _, strings in parts]), in_place=True)
-        logs = np.concatenate([unplanes(replied[s]["logs"], np.float64) for s in sorted(replied)])  # shards are in order of strings
-        each, at = np.empty(places.ends[-1] if len(places.ends) else 0), 0
-        while parts:  # each is let go when its places are filled
-            order, first, strings = parts.pop(0)
-            each[at : at + len(order)][order] = np.repeat(logs[np.searchsorted(grams, strings)], np.diff(first, append=len(order)))
-            at += len(order)
-        del logs, grams
-        ends = places.ends
-        score = np.add.reduceat(each, np.r_[0, ends[:-1]]) if len(ends) else each
-        del each, places
-        words = {b""}
-        for body in bodies:
-            words.update(body.split(b" "))
-        names: list[list[bytes]] = [[] for _ in range(shards)]
-        for w in words:
-            names[zlib.crc32(w) % shards].append(w)
-        log_of: dict[bytes, float] = {}
-        unseen = float(np.log10(1 / (tokens + types + 1)))
-        for s, ws in enumerate(names):
-            if ws:
-                n = unsqueeze(replied[s]["counts"], np.int64)
-                log_of.update(zip(sorted(ws), np.where(n > 0, np.log10((n + 1) / (tokens + types + 1)), unseen).tolist(), strict=True))
-        rows = []
-        for i, body, size, total in zip(x["ids"], bodies, np.diff(ends, prepend=0).tolist(), score.tolist(), strict=True):
-            base = list(map(log_of.__getitem__, [*(body.split(b" ") if body else ()), b""]))
-            rows.append((i, held_out(i), len(base), len(base) - base.count(unseen), tokens, sum(base), total, -total * np.log2(10) / size))
-        return pa.Table.from_batches([table(result, rows)], result)
+        rows = table(RESULT, _score_block(x, replies.to_pylist(), shards, depth, tokens, types))
+        give_back()
+        return pa.Table.from_batches([rows], RESULT)
 
     done = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double")
     return done.withColumnRenamed("doc_id", id_col)
